@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -49,8 +48,10 @@ IMPLIED_END = {
 }
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>"
+    r"|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>)", re.S
 )
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
@@ -69,11 +70,11 @@ def read_nodes(source: str) -> tuple[str, list[list]]:
     ``children`` counts all child nodes; ``from``/``to`` is the range in ``source``.
     """
     nodes: list[list] = []
-    stack: list[int] = []
-    opened: Counter[str] = Counter()
+    stack: list[int] = []  # open elements
+    opened: dict[str, int] = {}  # how many of each tag are open
     text: list[str] = []
-    size = 0
-    at = 0
+    size = at = 0
+    search, unescape = _MARKUP.search, html.unescape
 
     def close(depth: int, upto: int) -> None:
         while len(stack) > depth:
@@ -81,24 +82,7 @@ def read_nodes(source: str) -> tuple[str, list[list]]:
             opened[n[3]] -= 1
             n[0], n[6], n[10] = len(nodes) - 1, size, upto
 
-    def add_text(raw: str) -> None:
-        nonlocal size
-        if not raw:
-            return
-        s = html.unescape(raw)
-        text.append(s)
-        size += len(s)
-        add_child(True)
-
-    def add_child(holds_text: bool) -> None:
-        if stack:
-            n = nodes[stack[-1]]
-            n[7] += 1
-            n[8] = holds_text if n[7] == 1 else False
-
     def find(tags: Sequence[str], barrier: Sequence[str] = ()) -> int:
-        if not any(opened[t] for t in tags):
-            return -1
         for i in range(len(stack) - 1, -1, -1):
             t = nodes[stack[i]][3]
             if t in tags:
@@ -107,46 +91,60 @@ def read_nodes(source: str) -> tuple[str, list[list]]:
                 break
         return -1
 
-    m = _MARKUP.search(source)
-    while m:
-        add_text(source[at : m.start()])
+    while True:
+        m = search(source, at)
+        upto = m.start() if m else len(source)
+        if upto > at:
+            piece = unescape(source[at:upto])
+            text.append(piece)
+            size += len(piece)
+            if stack:
+                n = nodes[stack[-1]]
+                n[7] += 1
+                n[8] = n[7] == 1
+        if not m:
+            break
         at = m.end()
-        tag = m[2].lower() if m[2] else None
+        slash, tag, rest = m.groups()
         if tag is None:
-            if m[0].startswith("<!--"):
-                add_child(False)
-        elif m[1]:
-            i = find((tag,))
+            if stack and source.startswith("!--", upto + 1):
+                nodes[stack[-1]][7] += 1
+                nodes[stack[-1]][8] = False
+            continue
+        tag = tag.lower()
+        if slash:
+            if opened.get(tag):
+                close(find((tag,)), at)
+            continue
+        if opened.get("p") and tag in ENDS_PARAGRAPH:
+            i = find(("p",), ("td", "th", "button", "object"))
             if i >= 0:
-                close(i, at)
-        else:
-            if tag in ENDS_PARAGRAPH:
-                i = find(("p",), ("td", "th", "button", "object"))
-                if i >= 0:
-                    close(i, m.start())
-            if tag in IMPLIED_END:
-                i = find(*IMPLIED_END[tag])
-                if i >= 0:
-                    close(i, m.start())
-            add_child(False)
-            parent = stack[-1] if stack else -1
-            nodes.append(
-                [len(nodes), parent, len(stack), tag, _attributes(m[3]), size, size, 0, False, m.start(), at]
-            )
-            if tag in RAW:
-                stop = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-                at = stop.end() if stop else len(source)
-                nodes[-1][10] = at
-            elif tag not in VOID and not m[3].endswith("/"):
-                stack.append(len(nodes) - 1)
-                opened[tag] += 1
-        m = _MARKUP.search(source, at)
-    add_text(source[at:])
+                close(i, upto)
+        implied = IMPLIED_END.get(tag)
+        if implied and any(opened.get(t) for t in implied[0]):
+            i = find(*implied)
+            if i >= 0:
+                close(i, upto)
+        parent = -1
+        if stack:
+            parent = stack[-1]
+            n = nodes[parent]
+            n[7] += 1
+            n[8] = False
+        number = len(nodes)
+        attrs = _attributes(rest) if "=" in rest or rest.strip(" /\n") else {}
+        node = [number, parent, len(stack), tag, attrs, size, size, 0, False, upto, at]
+        nodes.append(node)
+        if tag in RAW:
+            stop = _RAW_END[tag].search(source, at)
+            at = node[10] = stop.end() if stop else len(source)
+        elif tag not in VOID and not rest.endswith("/"):
+            stack.append(number)
+            opened[tag] = opened.get(tag, 0) + 1
     close(0, len(source))
     for n in reversed(nodes):  # children come after their parent
-        p = n[1]
-        if p >= 0 and n[8] and nodes[p][7] == 1:
-            nodes[p][8] = True
+        if n[8] and n[1] >= 0 and nodes[n[1]][7] == 1:
+            nodes[n[1]][8] = True
     return "".join(text), nodes
 
 

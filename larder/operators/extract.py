@@ -195,6 +195,25 @@ def kept_elements(layout: SiteLayout) -> list[str] | None:
     return None if None in tags else sorted(tags)
 
 
+def fields_by_site(layouts: dict[str, SiteLayout], domain: Column, nodes: Column, text: Column) -> dict[str, Column]:
+    """The fields of :func:`fields`, each chosen by the page's domain; unknown sites get NULL."""
+    sites: list[tuple[SiteLayout, list[str]]] = []
+    for d, lay in layouts.items():
+        same = next((names for known, names in sites if known is lay), None)
+        if same is None:
+            sites.append((lay, [d]))
+        else:
+            same.append(d)
+    per_layout = [(domain.isin(names), fields(lay, nodes, text)) for lay, names in sites]
+    out = {}
+    for k in per_layout[0][1]:
+        chosen = F.when(per_layout[0][0], per_layout[0][1][k])
+        for mine, got in per_layout[1:]:
+            chosen = chosen.when(mine, got[k])
+        out[k] = chosen
+    return out
+
+
 def scrape(
     pages: DataFrame,
     layouts: dict[str, SiteLayout] | SiteLayout = DEFAULT_LAYOUT,
@@ -203,19 +222,17 @@ def scrape(
 ) -> DataFrame:
     """``pages(domain, path, html)`` -> recipe rows, plus ``raw_count`` for the error table.
 
-    With several layouts each site's pages take their own branch. ``images``
-    (column ``file_name``, unique) says which images are stored.
+    With several layouts each page takes its site's, after one common parse.
+    ``images`` (column ``file_name``, unique) says which images are stored.
     """
-    if isinstance(layouts, dict):
-        branches = [scrape(pages.where(F.col("domain") == d), lay, images, image_folder) for d, lay in layouts.items()]
-        out = branches[0]
-        for b in branches[1:]:
-            out = out.unionByName(b)
-        return out
-
     keys = [c for c in pages.columns if c != "html"]
-    dom = parse_pages(pages, keys=keys, keep=kept_elements(layouts))
-    got = fields(layouts, F.col("nodes"), F.col("text"))
+    nodes, text = F.col("nodes"), F.col("text")
+    if isinstance(layouts, dict):
+        dom = parse_pages(pages.where(F.col("domain").isin(list(layouts))), keys=keys)
+        got = fields_by_site(layouts, F.col("domain"), nodes, text)
+    else:
+        dom = parse_pages(pages, keys=keys, keep=kept_elements(layouts))
+        got = fields(layouts, nodes, text)
     rows = dom.select(*keys, *[c.alias(k) for k, c in got.items()])
     if images is not None:
         # pages without an image get a key of their own, or they would all meet in one task

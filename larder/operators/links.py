@@ -33,10 +33,11 @@ def anchor_array(nodes: Column, text: Column, allow: Sequence[str] = ()) -> Colu
 
     if not allow:
         return F.transform(F.filter(anchors, lambda n: n["single"]), shape)
-    lists = [
-        F.transform(F.filter(anchors, lambda n, w=w: F.contains(F.element_at(n["attrs"], "href"), F.lit(w))), shape)
-        for w in allow
-    ]
+
+    def containing(word: str) -> Column:
+        return F.filter(anchors, lambda n: F.contains(F.element_at(n["attrs"], "href"), F.lit(word)))
+
+    lists = [F.transform(containing(word), shape) for word in allow]
     return lists[0] if len(lists) == 1 else F.concat(*lists)
 
 

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.functions import urls
+from larder.functions.text import percent_ratio, rating_ratio, stripped_text
 from larder.operators import analytics as an
+from larder.operators import dom, extract, frontier, links
+from larder.operators.dom import Sel
 from larder.plans import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,5 +48,234 @@ def analytics() -> dict[str, Query]:
     }
 
 
+OWN_HOST = "www.ththhe.example.com"
+
+
+def _page_urls(s: SparkSession, d: str) -> DataFrame:
+    return v.table(s, d, "pages").select("page_id", "url").withColumn("parts", urls.url_parts("url"))
+
+
+def _site_links(s: SparkSession, d: str, allow: tuple[str, ...] = ()) -> DataFrame:
+    parsed = dom.parse_pages(v.site_pages(s, d), keep=("a",), outer=("a",), with_text=False)
+    return links.page_links(parsed, ["path"], allow).withColumnRenamed("path", "src")
+
+
+def url_and_link() -> dict[str, Query]:
+    def hrefs(s: SparkSession, d: str) -> DataFrame:
+        """Every way a page of the table could be linked to."""
+        p = _page_urls(s, d).where(F.col("parts.domain").isNotNull())
+        dom_, path = F.col("parts.domain"), F.col("parts.path")
+        forms = F.array(
+            F.col("url"),
+            F.concat(F.lit("//"), dom_, path),
+            F.concat(F.lit("/.."), path),
+            path,
+            F.substring(path, 2, 1000),
+            F.concat(F.lit("//"), dom_),
+        )
+        return p.select("page_id", F.posexplode(forms).alias("form", "href"))
+
+    def resolved(s: SparkSession, d: str) -> DataFrame:
+        return hrefs(s, d).withColumn("t", urls.resolve_href("href")).select(
+            "page_id", "form", "t.domain", "t.path", F.col("t.error").isNotNull().alias("failed")
+        )
+
+    def resolved_site(s: SparkSession, d: str) -> DataFrame:
+        return links.resolve_links(_site_links(s, d))
+
+    rules = links.LinkRules(avoid=("private",))
+    return {
+        "s3_stored_file_key": lambda s, d: _page_urls(s, d)
+        .withColumn("file_name", urls.path_to_file_name("parts.path"))
+        .select("page_id", "file_name", urls.file_name_to_path("file_name").alias("path")),
+        "l1_url_parts": lambda s, d: _page_urls(s, d).select("page_id", "parts.scheme", "parts.domain", "parts.path"),
+        "l2_seed_base_url": lambda s, d: _page_urls(s, d)
+        .withColumn("base_url", urls.base_url(F.col("parts")))
+        .where(F.col("base_url").isNotNull())
+        .select("page_id", "base_url"),
+        "l3_page_links": lambda s, d: links.page_links(
+            dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("a",), with_text=False), ["page_id"]
+        ).select("page_id", "pos", "href"),
+        "l3_allowed_links": lambda s, d: _site_links(s, d, ("/o/", "/s/", "o/../", "two/")).select("src", "href"),
+        "l4_resolve_href": resolved,
+        "l5_same_domain": lambda s, d: _page_urls(s, d).select(
+            "page_id", urls.same_domain("parts.domain", F.lit(OWN_HOST)).alias("internal")
+        ),
+        "l6_visible_links": lambda s, d: _site_links(s, d).where(urls.visible("outer_html")).select("src", "href"),
+        "l7_avoided_links": lambda s, d: resolved_site(s, d)
+        .where(F.col("path").isNotNull() & ~urls.contains_any("path", rules.avoid))
+        .select("src", "path"),
+        "l8_tidy_paths": lambda s, d: resolved_site(s, d).where(urls.tidy_path("path")).select("src", "path"),
+        "l9_unseen_links": lambda s, d: links.unseen(
+            resolved_site(s, d)
+            .where(F.col("error").isNull())
+            .select(F.coalesce("domain", F.lit(v.MARKET)).alias("domain"), "path"),
+            v.crawl_state(s, d),
+        ),
+        "l10_admitted_links": lambda s, d: links.admit(_site_links(s, d), v.MARKET, rules, v.crawl_state(s, d)),
+    }
+
+
+RECIPE_MARK = (Sel("h2", id="recipe-page", text=r"(?i)^\s*Ingredients\s*$"),)
+CRAWL_LIMIT = 1000
+
+
+def crawl() -> dict[str, Query]:
+    def paths(s: SparkSession, d: str) -> DataFrame:
+        return v.site_nodes(s, d)
+
+    def held(s: SparkSession, d: str, *states: str) -> DataFrame:
+        return v.crawl_state(s, d).where(F.col("state").isin(*states)).select("path")
+
+    def marked(s: SparkSession, d: str) -> DataFrame:
+        return frontier.classify(
+            v.site_pages(s, d), ["path"], predicate=dom.has_element(*RECIPE_MARK), keep=("h2",)
+        )
+
+    def reached(s: SparkSession, d: str) -> DataFrame:
+        edges = v.site_edges(s, d)
+        # one link to a page that does not exist, on each region page
+        lost = v.table(s, d, "region").select(
+            F.concat(F.lit("/r/"), F.col("r_regionkey").cast("string")).alias("src"),
+            F.concat(F.lit("/lost/"), F.col("r_regionkey").cast("string")).alias("dst"),
+        )
+        return frontier.reach(edges.unionByName(lost), ["/"])
+
+    def corpus(s: SparkSession, d: str) -> DataFrame:
+        return paths(s, d).withColumn("scrapable", F.lit(False))
+
+    def listing(s: SparkSession, d: str) -> DataFrame:
+        parsed = dom.parse_pages(v.listing_pages(s, d), keys=["page_no"], keep=("h1",))
+        end = dom.has_element(Sel("h1", text=frontier.END_HEADING))
+        return parsed.select("page_no", end(F.col("nodes"), F.col("text")).alias("is_end"))
+
+    return {
+        "f1_reachable": reached,
+        "f1_reachable_from_two": lambda s, d: frontier.reach(v.site_edges(s, d), ["/n/3", "/r/1"]).select("path"),
+        "f2_page_limit": lambda s, d: frontier.limit_pages(
+            frontier.page_states(reached(s, d), corpus(s, d)), CRAWL_LIMIT
+        ).select("path", "depth", "state", "position"),
+        "f3_set_union": lambda s, d: frontier.add_to_set(held(s, d, "in_progress", "to_scrape"), paths(s, d)),
+        "f4_set_difference": lambda s, d: frontier.remove_from_set(paths(s, d), held(s, d, "finished")),
+        "f5_state_sizes": lambda s, d: frontier.state_sizes(v.crawl_state(s, d)),
+        "f5_membership": lambda s, d: frontier.in_set(paths(s, d), held(s, d, "errored")),
+        "f6_page_states": lambda s, d: frontier.page_states(
+            reached(s, d).select("path"), marked(s, d)
+        ),
+        "f7_redirects": lambda s, d: frontier.redirect_states(paths(s, d), v.redirects(s, d)),
+        "f7_reach_redirected": lambda s, d: frontier.reach(
+            v.site_edges(s, d)
+            .join(v.redirects(s, d), F.col("src") == F.col("old_path"), "left")
+            .select(F.coalesce("new_path", "src").alias("src"), "dst"),
+            ["/"],
+            v.redirects(s, d),
+        ).select("path"),
+        "f8_classify_by_path": lambda s, d: frontier.classify(
+            _page_urls(s, d).select("page_id", F.col("parts.path").alias("path")), ["page_id"], r"/EN/\d+"
+        ),
+        "f9_classify_by_element": lambda s, d: marked(s, d).groupBy("path").agg(F.max("scrapable").alias("scrapable")),
+        "f10_listing_scan": lambda s, d: frontier.listing_scan(listing(s, d), v.listing_visited(s, d)),
+        "f11_drain": lambda s, d: frontier.drain(v.crawl_state(s, d), v.site_pages(s, d)),
+        "f12_early_stop": lambda s, d: frontier.listing_scan(
+            listing(s, d), v.listing_visited(s, d), stop_after_seen=20
+        ),
+        "f13_resume": lambda s, d: frontier.resume(v.crawl_state(s, d), v.MARKET, "/"),
+    }
+
+
+def _recipe_dom(s: SparkSession, d: str) -> DataFrame:
+    return dom.parse_pages(v.recipe_pages(s, d), keys=["path"])
+
+
+def _field(name: str) -> Query:
+    def run(s: SparkSession, d: str) -> DataFrame:
+        got = extract.fields(extract.DEFAULT_LAYOUT, F.col("nodes"), F.col("text"))
+        return _recipe_dom(s, d).select("path", got[name].alias(name))
+
+    return run
+
+
+def _exploded(rows: DataFrame, column: str) -> DataFrame:
+    groups = rows.select("path", F.posexplode(column).alias("group_pos", "g"))
+    return groups.select("path", "group_pos", F.col("g.group").alias("group"), F.posexplode("g.lines").alias("pos", "line"))
+
+
+def html_and_recipes() -> dict[str, Query]:
+    nodes, text = F.col("nodes"), F.col("text")
+    lay = extract.DEFAULT_LAYOUT
+
+    def ratings(s: SparkSession, d: str) -> DataFrame:
+        return _recipe_dom(s, d).select("path", extract.ratings(nodes, text, lay).alias("r")).select(
+            "path", "r.rating", "r.make_again", F.col("r.ratings").cast("string").alias("ratings")
+        )
+
+    def scraped(s: SparkSession, d: str) -> DataFrame:
+        return extract.scrape(v.recipe_pages(s, d).drop("o_orderkey"), images=v.image_manifest(s, d))
+
+    def per_site(s: SparkSession, d: str) -> DataFrame:
+        """Two layouts: every second site names its recipes by author."""
+        own = extract.SiteLayout(override={"title": lambda n, t: extract.author_names(n, t, lay.authors)})
+        layouts = {f"www.site{i}.example": own if i % 2 else lay for i in range(25)}
+        return extract.scrape(v.recipe_pages(s, d).drop("o_orderkey"), layouts).select("path", "title")
+
+    def ratio_texts(s: SparkSession, d: str) -> DataFrame:
+        o = v.table(s, d, "orders")
+        k = F.col("o_orderkey")
+        return o.select(
+            "o_orderkey",
+            F.concat(F.lit("about "), (k % 9).cast("string"), F.lit(" / "), (k % 5).cast("string")).alias("ratio"),
+            F.concat((k % 101).cast("string"), F.when(k % 2 == 0, F.lit(" %")).otherwise(F.lit(""))).alias("percent"),
+        )
+
+    return {
+        "h1_node_table": lambda s, d: dom.html_nodes(dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"]), ["page_id"])
+        .where(F.col("tag").isin("a", "li", "h1", "article", "footer", "title", "script"))
+        .groupBy("page_id", "tag")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "h2_select_elements": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"])
+        .select("page_id", F.explode(dom.select_all(nodes, text, Sel("nav"), Sel("ul"), Sel("a"))).alias("n"), "text")
+        .select("page_id", dom.node_text(F.col("n"), F.col("text")).alias("label")),
+        "h3_stripped_text": lambda s, d: v.table(s, d, "documents").select("doc_id", stripped_text("text").alias("text")),
+        "h4_main_content": lambda s, d: extract.trim_pages(v.recipe_pages(s, d)).select(
+            "path",
+            F.startswith("html", F.lit('<div class="main-content')).alias("trimmed"),
+            F.endswith("html", F.lit("</div>")).alias("closed"),
+            F.contains("html", F.lit("<nav>")).alias("has_menu"),
+        ),
+        "h5_title": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("h1",)).select(
+            "page_id", dom.first_text(nodes, text, Sel("h1")).alias("title")
+        ),
+        "h5_recipe_title": _field("title"),
+        "h6_ingredient_groups": lambda s, d: _exploded(_field("ingredients")(s, d), "ingredients"),
+        "h7_instruction_groups": lambda s, d: _exploded(_field("instructions")(s, d), "instructions"),
+        "h8_summary": lambda s, d: _recipe_dom(s, d).select(
+            "path",
+            *[extract.summary_field(nodes, text, lay.summary_list, c).alias(k) for k, c in lay.summary.items()],
+        ),
+        "h9_authors": _field("author"),
+        "h10_description": _field("description"),
+        "h11_ratings": ratings,
+        "h12_rating_ratio": lambda s, d: ratio_texts(s, d).select("o_orderkey", F.round(rating_ratio("ratio"), 9).alias("value")),
+        "h13_percent_ratio": lambda s, d: ratio_texts(s, d).select("o_orderkey", percent_ratio("percent").alias("value")),
+        "h14_images": lambda s, d: scraped(s, d).select("path", "misc.image_url", "misc.image_location"),
+        "h15_image_plan": lambda s, d: extract.image_plan(
+            v.site_pages(s, d),
+            v.table(s, d, "orders").where(F.col("o_orderkey") % 3 == 0).select(
+                urls.path_to_file_name(F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string")), "png").alias("file_name")
+            ),
+            (Sel("div", cls="my-image"), Sel("img")),
+            "src",
+            "https://" + v.MARKET,
+        ),
+        "h16_recipe_rows": lambda s, d: scraped(s, d).select(
+            "domain", "path", "title",
+            an.part_count("ingredients").cast("string").alias("parts"),
+            an.line_count("ingredients").cast("string").alias("lines"),
+            "misc.servings", "misc.author", "misc.rating", "misc.image_location",
+        ),
+        "h17_site_layouts": per_site,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**analytics()}
+    return {**analytics(), **url_and_link(), **crawl(), **html_and_recipes()}
