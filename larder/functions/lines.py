@@ -77,6 +77,14 @@ def fraction_glyphs(c: Column | str) -> Column:
     return F.when(col(c).rlike("[½⅓⅔¼¾⅕-⅞⁄]"), out).otherwise(col(c))
 
 
+def _map_literal(d: dict[str, str] | dict[str, float]) -> Column:
+    """A constant map, written as SQL: one call instead of one per entry."""
+    def value(v: str | float) -> str:
+        return f"'{v}'" if isinstance(v, str) else f"{v!r}D"
+
+    return F.expr("map(" + ", ".join(f"'{k}', {value(v)}" for k, v in d.items()) + ")")
+
+
 def _words_of(d: dict[str, str]) -> str:
     return "|".join(sorted(d, key=len, reverse=True))
 
@@ -84,7 +92,7 @@ def _words_of(d: dict[str, str]) -> str:
 def spelled_numbers(c: Column | str) -> Column:
     """Number and fraction words of a plain-form line to digits; a leading ``a`` is 1."""
     t = F.regexp_replace(col(c), r"\bhalf-(?=[a-z])", "half ")
-    words = F.create_map(*[F.lit(x) for kv in {**voc.NUMBER_WORDS, **voc.FRACTION_WORDS}.items() for x in kv])
+    words = _map_literal({**voc.NUMBER_WORDS, **voc.FRACTION_WORDS})
     t = F.array_join(F.transform(F.split(t, " "), lambda w: F.coalesce(F.element_at(words, w), w)), " ")
     t = F.regexp_replace(t, r"\b(\d+) and (?:an? |1 )?/(\d)\b", "$1 1/$2")
     t = F.regexp_replace(t, r"\b(\d+) /(\d)\b", "$1/$2")
@@ -206,13 +214,13 @@ def _factors(table: dict[str, float]) -> Column:
         forms[n] = f
         if len(n) > 1:
             forms[n + ("es" if n.endswith("ch") else "s")] = f
-    return F.create_map(*[F.lit(x) for kv in forms.items() for x in kv])
+    return _map_literal(forms)
 
 
 def measures(marked: Column) -> Column:
     """Measures of a marked line: ARRAY<STRUCT<plus, each, preferred, cups, grams>>."""
     cups, grams = _factors(voc.CUPS), _factors(voc.GRAMS)
-    preferred = F.array(*[F.lit(u + s) for u in voc.PREFERRED_UNITS for s in ("", "s")])
+    preferred = F.expr("array(" + ", ".join(f"'{u}', '{u}s'" for u in voc.PREFERRED_UNITS) + ")")
 
     def amount(p: Column, table: Column) -> Column:
         low_unit = F.when(p[3] != "", p[3]).otherwise(p[5])

@@ -12,6 +12,7 @@ from larder.functions.text import percent_ratio, rating_ratio, stripped_text
 from larder.operators import analytics as an
 from larder.operators import dom, extract, frontier, links
 from larder.operators.dom import Sel
+from larder.plans import line_queries, more_queries
 from larder.plans import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,4 +279,7 @@ def html_and_recipes() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return {**analytics(), **url_and_link(), **crawl(), **html_and_recipes()}
+    return {
+        **analytics(), **url_and_link(), **crawl(), **html_and_recipes(),
+        **line_queries.queries(), **more_queries.insights(), **more_queries.stored(),
+    }
