@@ -160,7 +160,7 @@ _ITEMS = [
     ("sage", r"(?<=\d )(?:fresh )?sage lea(?:f|ves)\b", "sageleaf sage"),
     ("egg", r"(?<=\d )egg (white|yolk)s?\b", "egg$1 egg"),
     ("butter|margarine", r"(?<=\d )sticks?\b", "butterstick"),
-    ("bread", r"(?<=\d )slices?\b", "breadslice"),
+    ("bread", r"(?<=\d )(?:(?:thick|thin|thickly|thinly|whole|fresh) )*slices?\b", "breadslice"),
 ]
 # 'one half-pound piece', not one and a half pounds (weights of pieces only)
 _PIECE = r"^(\d+) (\d+/\d+) (lb|pound)\b(?=.*\b(?:breast|thigh|fillet|filet|steak|chop|drumstick)s?\b)"
