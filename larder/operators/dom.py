@@ -12,8 +12,6 @@ numbers ``id + 1 .. end``. Text is not repeated along the tree: ``start`` and
 
 from __future__ import annotations
 
-import html
-import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,135 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.text import let, stripped_text
+from larder.operators.markup import NodeRows
 
 NODE_TYPE = (
     "struct<id:int,end:int,parent:int,depth:int,tag:string,attrs:map<string,string>,"
     "classes:array<string>,start:int,stop:int,single:boolean,outer:string>"
 )
 
-# Fixed values from the HTML standard: elements without content, elements whose
-# content is not markup, elements whose start ends an open paragraph, and what
-# else a start tag ends (up to the nearest of the enclosing tags).
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style".split())
-ENDS_PARAGRAPH = frozenset(
-    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
-    "h5 h6 header hr main menu nav ol p pre section table ul li dd dt".split()
-)
-IMPLIED_END = {
-    "li": (("li",), ("ul", "ol", "menu")),
-    "dd": (("dd", "dt"), ("dl",)),
-    "dt": (("dd", "dt"), ("dl",)),
-    "tr": (("tr",), ("table", "tbody", "thead", "tfoot")),
-    "td": (("td", "th"), ("tr", "table")),
-    "th": (("td", "th"), ("tr", "table")),
-    "option": (("option",), ("select",)),
-}
-
-_MARKUP = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>"
-    r"|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>)", re.S
-)
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-
-
-def _attributes(source: str) -> dict[str, str]:
-    out: dict[str, str] = {}
-    for m in _ATTRIBUTE.finditer(source):
-        value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4]
-        out.setdefault(m[1].lower(), html.unescape(value or ""))
-    return out
-
-
-def read_nodes(source: str) -> tuple[str, list[list]]:
-    """Text of a page and its elements, in document order.
-
-    Element: [end, parent, depth, tag, attrs, start, stop, children, single, from, to].
-    ``children`` counts all child nodes; ``from``/``to`` is the range in ``source``.
-    """
-    nodes: list[list] = []
-    stack: list[int] = []  # open elements
-    opened: dict[str, int] = {}  # how many of each tag are open
-    text: list[str] = []
-    size = at = 0
-    search, unescape = _MARKUP.search, html.unescape
-
-    def close(depth: int, upto: int) -> None:
-        while len(stack) > depth:
-            n = nodes[stack.pop()]
-            opened[n[3]] -= 1
-            n[0], n[6], n[10] = len(nodes) - 1, size, upto
-
-    def find(tags: Sequence[str], barrier: Sequence[str] = ()) -> int:
-        for i in range(len(stack) - 1, -1, -1):
-            t = nodes[stack[i]][3]
-            if t in tags:
-                return i
-            if t in barrier:
-                break
-        return -1
-
-    while True:
-        m = search(source, at)
-        upto = m.start() if m else len(source)
-        if upto > at:
-            piece = unescape(source[at:upto])
-            text.append(piece)
-            size += len(piece)
-            if stack:
-                n = nodes[stack[-1]]
-                n[7] += 1
-                n[8] = n[7] == 1
-        if not m:
-            break
-        at = m.end()
-        slash, tag, rest = m.groups()
-        if tag is None:
-            if stack and source.startswith("!--", upto + 1):
-                nodes[stack[-1]][7] += 1
-                nodes[stack[-1]][8] = False
-            continue
-        tag = tag.lower()
-        if slash:
-            if opened.get(tag):
-                close(find((tag,)), at)
-            continue
-        if opened.get("p") and tag in ENDS_PARAGRAPH:
-            i = find(("p",), ("td", "th", "button", "object"))
-            if i >= 0:
-                close(i, upto)
-        implied = IMPLIED_END.get(tag)
-        if implied and any(opened.get(t) for t in implied[0]):
-            i = find(*implied)
-            if i >= 0:
-                close(i, upto)
-        parent = -1
-        if stack:
-            parent = stack[-1]
-            n = nodes[parent]
-            n[7] += 1
-            n[8] = False
-        number = len(nodes)
-        attrs = _attributes(rest) if "=" in rest or rest.strip(" /\n") else {}
-        node = [number, parent, len(stack), tag, attrs, size, size, 0, False, upto, at]
-        nodes.append(node)
-        if tag in RAW:
-            stop = _RAW_END[tag].search(source, at)
-            at = node[10] = stop.end() if stop else len(source)
-        elif tag not in VOID and not rest.endswith("/"):
-            stack.append(number)
-            opened[tag] = opened.get(tag, 0) + 1
-    close(0, len(source))
-    for n in reversed(nodes):  # children come after their parent
-        if n[8] and n[1] >= 0 and nodes[n[1]][7] == 1:
-            nodes[n[1]][8] = True
-    return "".join(text), nodes
-
-
-def _wanted(spec: frozenset[str] | None, tag: str, classes: list[str]) -> bool:
-    return spec is None or tag in spec or any("." + c in spec for c in classes)
-
 
 def parse_pages(
     pages: DataFrame,
@@ -159,91 +35,39 @@ def parse_pages(
     keep: Sequence[str] | None = None,
     outer: Sequence[str] = (),
     with_text: bool = True,
+    children_of: Sequence[tuple[str, str]] = (),
     nodes_per_batch: int = 50_000,
 ) -> DataFrame:
     """Add ``text`` and ``nodes`` to ``keys``; the page source is left behind unless it is a key.
 
     ``keep`` (tags, or classes as ``.name``) limits the elements that are
-    emitted, ``outer`` those that carry their own source. Output batches are cut
+    emitted, with the children of elements that carry an attribute value of
+    ``children_of``; ``outer`` names those that carry their own source. Output batches are cut
     by element count, so a run of large pages does not pile up.
     """
     keys = [c for c in pages.columns if c != html_col] if keys is None else list(keys)
     kept = None if keep is None else frozenset(keep)
     outer_of = frozenset(outer)
+    boxes = tuple(children_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done, acc = 0, _Rows()
+            done, acc = 0, NodeRows()
             for row, source in enumerate(batch.column(html_col).to_pylist(), 1):
-                acc.add(source, kept, outer_of, with_text)
+                acc.add(source, kept, outer_of, with_text, boxes)
                 if acc.count >= nodes_per_batch or row == batch.num_rows:
                     part = batch.slice(done, row - done)
                     text, nodes = acc.arrays()
                     yield pa.RecordBatch.from_arrays(
                         [part.column(k) for k in keys] + [text, nodes], [*keys, "text", "nodes"]
                     )
-                    done, acc = row, _Rows()
+                    done, acc = row, NodeRows()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keys).schema.fields)
     schema = f"{schema + ', ' if keys else ''}text string, nodes array<{NODE_TYPE}>"
     return pages.select(*keys, *([] if html_col in keys else [html_col])).mapInArrow(run, schema)
 
 
-class _Rows:
-    """Column buffers of one output batch."""
-
-    def __init__(self) -> None:
-        self.text: list[str | None] = []
-        self.offsets = [0]
-        self.flat: list[list] = [[] for _ in range(11)]
-        self.attr_at = [0]
-        self.attr_keys: list[str] = []
-        self.attr_values: list[str] = []
-        self.count = 0
-
-    def add(self, source: str | None, keep: frozenset[str] | None, outer: frozenset[str], with_text: bool) -> None:
-        text, nodes = read_nodes(source) if source is not None else (None, [])
-        self.text.append(text if with_text else None)
-        f = self.flat
-        for i, (end, parent, depth, tag, attrs, start, stop, _, single, begin, to) in enumerate(nodes):
-            classes = attrs.get("class", "").split()
-            if not _wanted(keep, tag, classes):
-                continue
-            shown = source[begin:to] if outer and _wanted(outer, tag, classes) else None
-            for column, value in zip(f, (i, end, parent, depth, tag, classes, start, stop, single, shown), strict=False):
-                column.append(value)
-            self.attr_keys.extend(attrs)
-            self.attr_values.extend(attrs.values())
-            self.attr_at.append(len(self.attr_keys))
-            self.count += 1
-        self.offsets.append(self.count)
-
-    def arrays(self) -> tuple[pa.Array, pa.Array]:
-        i, end, parent, depth, tag, classes, start, stop, single, shown, _ = self.flat
-        attrs = pa.MapArray.from_arrays(
-            pa.array(self.attr_at, pa.int32()),
-            pa.array(self.attr_keys, pa.string()),
-            pa.array(self.attr_values, pa.string()),
-        )
-        ints = {k: pa.array(v, pa.int32()) for k, v in
-                dict(id=i, end=end, parent=parent, depth=depth, start=start, stop=stop).items()}
-        columns = {
-            **{k: ints[k] for k in ("id", "end", "parent", "depth")},
-            "tag": pa.array(tag, pa.string()),
-            "attrs": attrs,
-            "classes": pa.array(classes, pa.list_(pa.string())),
-            "start": ints["start"],
-            "stop": ints["stop"],
-            "single": pa.array(single, pa.bool_()),
-            "outer": pa.array(shown, pa.string()),
-        }
-        nodes = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
-        return (
-            pa.array(self.text, pa.string()),
-            pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), nodes),
-        )
-
-
 def html_nodes(dom: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The node table: one row per element, with its text."""
     flat = dom.select(*keys, F.col("text").alias("_text"), F.explode("nodes").alias("n"))

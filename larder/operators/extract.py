@@ -180,21 +180,25 @@ def fields(layout: SiteLayout, nodes: Column, text: Column) -> dict[str, Column]
     return out
 
 
-def kept_elements(layout: SiteLayout) -> list[str] | None:
-    """Tags the parser must emit for a layout; all where a site brings own functions.
-
-    Children of the description box can be any element, so this narrows only
-    when the layout has no description.
-    """
-    if layout.override or layout.description:
-        return None
-    paths = [layout.title, layout.ingredient_groups, layout.instruction_groups, layout.authors,
-             layout.review_count, layout.rating, layout.make_again, layout.image,
-             (layout.group_name, layout.group_line, layout.summary_list)]
-    tags = {s.tag for p in paths for s in p} | {"dd"}
+def tags_of(*paths: Sequence[Sel]) -> list[str] | None:
+    """Tags the parser must emit for some selectors; None (all) where a step names no tag."""
+    tags = {s.tag for p in paths for s in p}
     return None if None in tags else sorted(tags)
 
 
+def parse_for(pages: DataFrame, layout: SiteLayout, keys: Sequence[str]) -> DataFrame:
+    """Parse with only the elements a layout looks at; all where a site brings own functions."""
+    box = layout.description[-1] if layout.description else None
+    if layout.override or (box is not None and box.attr is None):
+        return parse_pages(pages, keys=keys)
+    keep = tags_of(
+        layout.title, layout.ingredient_groups, layout.instruction_groups, layout.authors, layout.description,
+        layout.review_count, layout.rating, layout.make_again, layout.image,
+        (layout.group_name, layout.group_line, layout.summary_list, Sel("dd")),
+    )
+    return parse_pages(pages, keys=keys, keep=keep, children_of=[box.attr] if box else [])
+
+
 def fields_by_site(layouts: dict[str, SiteLayout], domain: Column, nodes: Column, text: Column) -> dict[str, Column]:
     """The fields of :func:`fields`, each chosen by the page's domain; unknown sites get NULL."""
     sites: list[tuple[SiteLayout, list[str]]] = []
@@ -231,7 +235,7 @@ def scrape(
         dom = parse_pages(pages.where(F.col("domain").isin(list(layouts))), keys=keys)
         got = fields_by_site(layouts, F.col("domain"), nodes, text)
     else:
-        dom = parse_pages(pages, keys=keys, keep=kept_elements(layouts))
+        dom = parse_for(pages, layouts, keys)
         got = fields(layouts, nodes, text)
     rows = dom.select(*keys, *[c.alias(k) for k, c in got.items()])
     if images is not None:
@@ -288,7 +292,7 @@ def image_plan(
 
     A relative address is completed with the site's base url.
     """
-    dom = parse_pages(pages, keys=[c for c in pages.columns if c != "html"], with_text=False)
+    dom = parse_pages(pages, keys=["path"], keep=tags_of(css), with_text=False)
     source = image_source(F.col("nodes"), F.col("text"), css, attribute)
     found = dom.select("path", source.alias("_src")).where(F.col("_src").isNotNull() & (F.col("_src") != ""))
     parts = urls.url_parts("_src")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,14 +184,17 @@ def crawl() -> dict[str, Query]:
     }
 
 
-def _recipe_dom(s: SparkSession, d: str) -> DataFrame:
-    return dom.parse_pages(v.recipe_pages(s, d), keys=["path"])
+def _recipe_dom(s: SparkSession, d: str, *paths: Sequence[Sel], children_of: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Recipe pages parsed for the elements on ``paths``."""
+    return dom.parse_pages(
+        v.recipe_pages(s, d), keys=["path"], keep=extract.tags_of(*paths), children_of=children_of
+    )
 
 
-def _field(name: str) -> Query:
+def _field(name: str, *paths: Sequence[Sel], children_of: Sequence[tuple[str, str]] = ()) -> Query:
     def run(s: SparkSession, d: str) -> DataFrame:
         got = extract.fields(extract.DEFAULT_LAYOUT, F.col("nodes"), F.col("text"))
-        return _recipe_dom(s, d).select("path", got[name].alias(name))
+        return _recipe_dom(s, d, *paths, children_of=children_of).select("path", got[name].alias(name))
 
     return run
 
@@ -206,7 +209,7 @@ def html_and_recipes() -> dict[str, Query]:
     lay = extract.DEFAULT_LAYOUT
 
     def ratings(s: SparkSession, d: str) -> DataFrame:
-        return _recipe_dom(s, d).select("path", extract.ratings(nodes, text, lay).alias("r")).select(
+        return _recipe_dom(s, d, lay.review_count, lay.rating, lay.make_again).select("path", extract.ratings(nodes, text, lay).alias("r")).select(
             "path", "r.rating", "r.make_again", F.col("r.ratings").cast("string").alias("ratings")
         )
 
@@ -233,7 +236,7 @@ def html_and_recipes() -> dict[str, Query]:
         .where(F.col("tag").isin("a", "li", "h1", "article", "footer", "title", "script"))
         .groupBy("page_id", "tag")
         .agg(F.count(F.lit(1)).alias("n")),
-        "h2_select_elements": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"])
+        "h2_select_elements": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("nav", "ul", "a"))
         .select("page_id", F.explode(dom.select_all(nodes, text, Sel("nav"), Sel("ul"), Sel("a"))).alias("n"), "text")
         .select("page_id", dom.node_text(F.col("n"), F.col("text")).alias("label")),
         "h3_stripped_text": lambda s, d: v.table(s, d, "documents").select("doc_id", stripped_text("text").alias("text")),
@@ -246,15 +249,19 @@ def html_and_recipes() -> dict[str, Query]:
         "h5_title": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("h1",)).select(
             "page_id", dom.first_text(nodes, text, Sel("h1")).alias("title")
         ),
-        "h5_recipe_title": _field("title"),
-        "h6_ingredient_groups": lambda s, d: _exploded(_field("ingredients")(s, d), "ingredients"),
-        "h7_instruction_groups": lambda s, d: _exploded(_field("instructions")(s, d), "instructions"),
-        "h8_summary": lambda s, d: _recipe_dom(s, d).select(
+        "h5_recipe_title": _field("title", lay.title),
+        "h6_ingredient_groups": lambda s, d: _exploded(
+            _field("ingredients", lay.ingredient_groups, (lay.group_name, lay.group_line))(s, d), "ingredients"
+        ),
+        "h7_instruction_groups": lambda s, d: _exploded(
+            _field("instructions", lay.instruction_groups, (lay.group_name, lay.group_line))(s, d), "instructions"
+        ),
+        "h8_summary": lambda s, d: _recipe_dom(s, d, (lay.summary_list, Sel("dd"))).select(
             "path",
             *[extract.summary_field(nodes, text, lay.summary_list, c).alias(k) for k, c in lay.summary.items()],
         ),
-        "h9_authors": _field("author"),
-        "h10_description": _field("description"),
+        "h9_authors": _field("author", lay.authors),
+        "h10_description": _field("description", lay.description, children_of=[("itemprop", "description")]),
         "h11_ratings": ratings,
         "h12_rating_ratio": lambda s, d: ratio_texts(s, d).select("o_orderkey", F.round(rating_ratio("ratio"), 9).alias("value")),
         "h13_percent_ratio": lambda s, d: ratio_texts(s, d).select("o_orderkey", percent_ratio("percent").alias("value")),

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import dom, extract
-from larder.operators.dom import Sel, read_nodes
+from larder.operators.dom import Sel
+from larder.operators.markup import Page
 
 PAGE = """<html><body><div class="main-content x"><h1>Big
  Cake &amp; Co </h1>
@@ -81,18 +82,27 @@ def test_images(spark):
 
 
 def test_tokenizer():
-    text, nodes = read_nodes('<p>a<p>b<br>c<ul><li>1<li>2<ul><li>3</ul><li>4</ul><!--x--><i title="a>b" x=\'y\'>t</i></nope><td>z')
-    assert text == "abc1234tz"
-    tags = [(n[3], n[1]) for n in nodes]
-    assert tags == [("p", -1), ("p", -1), ("br", 1), ("ul", -1), ("li", 3), ("li", 3), ("ul", 5), ("li", 6), ("li", 3), ("i", -1), ("td", -1)]
-    assert nodes[5][0] == 7 and nodes[3][0] == 8
-    assert nodes[9][4] == {"title": "a>b", "x": "y"}
+    p = Page('<p>a<p>b<br>c<ul><li>1<li>2<ul><li>3</ul><li>4</ul><!--x--><i title="a>b" x=\'y\'>t</i></nope><td>z')
+    assert p.text == "abc1234tz"
+    assert list(zip(p.tag, p.parent, strict=True)) == [
+        ("p", -1), ("p", -1), ("br", 1), ("ul", -1), ("li", 3), ("li", 3), ("ul", 5), ("li", 6), ("li", 3), ("i", -1), ("td", -1)]
+    assert p.end[5] == 7 and p.end[3] == 8
+    assert p.attrs[9] == {"title": "a>b", "x": "y"}
+
+
+def test_source_ranges():
+    source = "<div><p>a<p>b</div><script>if (a<b) '</p>'</script><a href=/x>y</a><b>open"
+    p = Page(source)
+    parts = {t: source[b:e] for t, b, e in zip(p.tag, p.begin, p.to, strict=True)}
+    assert parts == {"div": "<div><p>a<p>b</div>", "p": "<p>b", "script": "<script>if (a<b) '</p>'</script>",
+                     "a": "<a href=/x>y</a>", "b": "<b>open"}
+    assert p.text == "abyopen"
 
 
 @pytest.mark.parametrize("html", ["<", "<a", "<a href='x", "</", "<!--", "<script>x", "a < b > c", "<p <b>x</b>", "<>", "&#0; &bogus; &amp"])
 def test_broken_markup_is_read(html):
-    text, nodes = read_nodes(html)
-    assert all(n[0] >= i and n[5] <= n[6] <= len(text) for i, n in enumerate(nodes))
+    p = Page(html)
+    assert all(p.end[i] >= i and p.start[i] <= p.stop[i] <= len(p.text) for i in range(len(p.tag)))
 
 
 def test_node_table_and_selection(spark):
