@@ -160,24 +160,25 @@ def image_file_name(image_url: Column | str, path: Column | str) -> Column:
     return urls.path_to_file_name(path, F.element_at(F.split(u, r"\."), -1))
 
 
-def fields(layout: SiteLayout, nodes: Column, text: Column) -> dict[str, Column]:
-    """Every field of a recipe as an expression over one page."""
-    out = {
-        "title": first_text(nodes, text, *layout.title),
-        "ingredients": grouped_lines(
-            nodes, text, layout.ingredient_groups, layout.group_name, layout.group_line, layout.skip_ingredient_prefix
-        ),
-        "instructions": grouped_lines(
-            nodes, text, layout.instruction_groups, layout.group_name, layout.group_line
-        ),
-        **{k: summary_field(nodes, text, layout.summary_list, c) for k, c in layout.summary.items()},
-        "author": author_names(nodes, text, layout.authors),
-        "description": description_text(nodes, text, layout.description),
-        "_ratings": ratings(nodes, text, layout),
-        "image_url": image_source(nodes, text, layout.image, layout.image_attribute),
+def fields(layout: SiteLayout) -> dict[str, Callable[[Column, Column], Column]]:
+    """Every field of a recipe as a function of a page's nodes and text."""
+    def parts(groups: Sequence[Sel], skip: str | None = None) -> Callable[[Column, Column], Column]:
+        return lambda n, t: grouped_lines(n, t, groups, layout.group_name, layout.group_line, skip)
+
+    def summary(css_class: str) -> Callable[[Column, Column], Column]:
+        return lambda n, t: summary_field(n, t, layout.summary_list, css_class)
+
+    return {
+        "title": lambda n, t: first_text(n, t, *layout.title),
+        "ingredients": parts(layout.ingredient_groups, layout.skip_ingredient_prefix),
+        "instructions": parts(layout.instruction_groups),
+        **{k: summary(c) for k, c in layout.summary.items()},
+        "author": lambda n, t: author_names(n, t, layout.authors),
+        "description": lambda n, t: description_text(n, t, layout.description),
+        "_ratings": lambda n, t: ratings(n, t, layout),
+        "image_url": lambda n, t: image_source(n, t, layout.image, layout.image_attribute),
+        **layout.override,
     }
-    out.update({k: f(nodes, text) for k, f in layout.override.items()})
-    return out
 
 
 def tags_of(*paths: Sequence[Sel]) -> list[str] | None:
@@ -208,12 +209,12 @@ def fields_by_site(layouts: dict[str, SiteLayout], domain: Column, nodes: Column
             sites.append((lay, [d]))
         else:
             same.append(d)
-    per_layout = [(domain.isin(names), fields(lay, nodes, text)) for lay, names in sites]
+    per_layout = [(domain.isin(names), fields(lay)) for lay, names in sites]
     out = {}
-    for k in per_layout[0][1]:
-        chosen = F.when(per_layout[0][0], per_layout[0][1][k])
+    for k, first in per_layout[0][1].items():
+        chosen = F.when(per_layout[0][0], first(nodes, text))
         for mine, got in per_layout[1:]:
-            chosen = chosen.when(mine, got[k])
+            chosen = chosen.when(mine, got[k](nodes, text))
         out[k] = chosen
     return out
 
@@ -236,7 +237,7 @@ def scrape(
         got = fields_by_site(layouts, F.col("domain"), nodes, text)
     else:
         dom = parse_for(pages, layouts, keys)
-        got = fields(layouts, nodes, text)
+        got = {k: f(nodes, text) for k, f in fields(layouts).items()}
     rows = dom.select(*keys, *[c.alias(k) for k, c in got.items()])
     if images is not None:
         # pages without an image get a key of their own, or they would all meet in one task

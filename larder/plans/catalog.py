@@ -193,8 +193,9 @@ def _recipe_dom(s: SparkSession, d: str, *paths: Sequence[Sel], children_of: Seq
 
 def _field(name: str, *paths: Sequence[Sel], children_of: Sequence[tuple[str, str]] = ()) -> Query:
     def run(s: SparkSession, d: str) -> DataFrame:
-        got = extract.fields(extract.DEFAULT_LAYOUT, F.col("nodes"), F.col("text"))
-        return _recipe_dom(s, d, *paths, children_of=children_of).select("path", got[name].alias(name))
+        read = extract.fields(extract.DEFAULT_LAYOUT)[name]
+        parsed = _recipe_dom(s, d, *paths, children_of=children_of)
+        return parsed.select("path", read(F.col("nodes"), F.col("text")).alias(name))
 
     return run
 

@@ -28,47 +28,34 @@ def ingredient_name(p_name: Column) -> Column:
     return F.replace(F.replace(p_name, F.lit("small"), F.lit("green")), F.lit("large"), F.lit("amber"))
 
 
-def amount_text(number: Column, quantity: Column) -> Column:
-    """Quarters as a mixed number for volumes, whole numbers otherwise."""
-    q = quantity.cast("int")
-    whole, rest = F.floor(q / 4), F.pmod(q, F.lit(4))
-    mixed = F.concat_ws(
-        " ",
-        F.when(whole > 0, whole.cast("string")),
-        F.when(rest > 0, F.concat(rest.cast("string"), F.lit("/4"))),
-    )
-    return F.when(number <= 2, mixed).otherwise(q.cast("string"))
-
-
-def amount_value(number: Column, quantity: Column) -> Column:
-    return F.when(number <= 2, quantity / 4).otherwise(quantity)
-
-
 def line_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with the pieces a line is made of."""
+    """lineitem with the pieces a line is made of.
+
+    Volumes come in quarters, written as a mixed number; all else in whole numbers.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus",
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    amount = amount_value(F.col("l_linenumber"), F.col("l_quantity"))
-    unit = F.get(F.array(*[F.lit(u) for u in UNITS]), F.col("l_linenumber") - 1)
-    many = F.col("amount") > 1
-    plural = F.when(F.col("unit") == "pinch", "pinches").otherwise(F.concat("unit", F.lit("s")))
+    part = table(spark, sf_dir, "part").select("p_partkey", ingredient_name(F.col("p_name")).alias("name"))
+    units = ", ".join(f"'{u}'" for u in UNITS)
     return (
         li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
+        .selectExpr(
             *li.columns,
-            ingredient_name(F.col("p_name")).alias("name"),
-            amount_text(F.col("l_linenumber"), F.col("l_quantity")).alias("amount_text"),
-            amount.alias("amount"),
-            unit.alias("unit"),
+            "name",
+            """CASE WHEN l_linenumber > 2 THEN string(int(l_quantity)) ELSE concat_ws(' ',
+                 CASE WHEN l_quantity >= 4 THEN string(int(l_quantity) div 4) END,
+                 CASE WHEN l_quantity % 4 > 0 THEN concat(int(l_quantity) % 4, '/4') END) END AS amount_text""",
+            "CASE WHEN l_linenumber <= 2 THEN l_quantity / 4 ELSE l_quantity END AS amount",
+            f"get(array({units}), l_linenumber - 1) AS unit",
+        )
+        .selectExpr(
+            "*",
+            "CASE WHEN amount <= 1 THEN unit WHEN unit = 'pinch' THEN 'pinches' ELSE concat(unit, 's') END AS unit_text",
+            "CASE WHEN amount <= 1 THEN name ELSE concat(name, 's') END AS noun",
         )
-        .withColumns({
-            "unit_text": F.when(many, plural).otherwise(F.col("unit")),
-            "noun": F.when(many, F.concat("name", F.lit("s"))).otherwise(F.col("name")),
-        })
-        .withColumn("line", F.concat_ws(" ", "amount_text", "unit_text", "noun"))
+        .selectExpr("*", "concat_ws(' ', amount_text, unit_text, noun) AS line")
     )
 
 
@@ -92,23 +79,22 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the row-level facts of a recipe."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
-    k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    return o.join(c, ck == F.col("c_custkey")).select(
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
         "c_nationkey",
-        F.concat(F.lit("www.site"), F.col("c_nationkey").cast("string"), F.lit(".example")).alias("domain"),
-        recipe_path(k).alias("path"),
-        F.concat(F.lit("Serves "), (k % 12 + 1).cast("string")).alias("servings"),
-        F.concat((ck % 60).cast("string"), F.lit(" minutes")).alias("prep_time"),
-        F.when(k % 7 != 0, F.concat((k % 90 + 1).cast("string"), F.lit(" minutes"))).alias("cook_time"),
-        F.when(k % 11 == 0, F.concat("c_name", F.lit("\nGuest Cook"))).otherwise(F.col("c_name")).alias("author"),
-        F.when(k % 9 != 0, F.concat(F.lit("Made by "), F.col("c_name"), F.lit(".\nKeeps well."))).alias("description"),
-        (ck % 5).cast("int").alias("rating_count"),
-        (k % 5).cast("int").alias("quarters"),
-        (k % 101).cast("int").alias("percent"),
-        F.when(k % 13 != 0, F.concat(F.lit(IMAGE_HOST), k.cast("string"), F.lit(".jpg"))).alias("image_url"),
+        "concat('www.site', c_nationkey, '.example') AS domain",
+        "concat('recipes/', o_orderkey, '.html') AS path",
+        "concat('Serves ', o_orderkey % 12 + 1) AS servings",
+        "concat(o_custkey % 60, ' minutes') AS prep_time",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN concat(o_orderkey % 90 + 1, ' minutes') END AS cook_time",
+        r"CASE WHEN o_orderkey % 11 = 0 THEN concat(c_name, '\nGuest Cook') ELSE c_name END AS author",
+        r"CASE WHEN o_orderkey % 9 <> 0 THEN concat('Made by ', c_name, '.\nKeeps well.') END AS description",
+        "int(o_custkey % 5) AS rating_count",
+        "int(o_orderkey % 5) AS quarters",
+        "int(o_orderkey % 101) AS percent",
+        f"CASE WHEN o_orderkey % 13 <> 0 THEN concat('{IMAGE_HOST}', o_orderkey, '.jpg') END AS image_url",
     )
 
 
@@ -127,56 +113,34 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _group(letter_col: str, letter: str, text) -> Column:
-    """Lines of one letter."""
-    return F.transform(F.filter("ls", lambda x: x[letter_col] == letter), text)
-
-
-def _named_groups(pairs: list[tuple[str | None, Column]]) -> Column:
-    """Non-empty groups; an unnamed one is called by its place among the groups."""
-    arr = F.filter(
-        F.array(*[F.struct(F.lit(n).alias("name"), ls.alias("lines")) for n, ls in pairs]),
-        lambda g: F.size(g["lines"]) > 0,
+def _groups_sql(*groups: tuple[str | None, str, str, str]) -> str:
+    """Non-empty groups (name, column, letter, text of a line x); an unnamed one is called by its place."""
+    each = ", ".join(
+        f"named_struct('name', {repr(n) if n else 'CAST(NULL AS STRING)'}, "
+        f"'lines', transform(filter(ls, x -> x.{column} = '{letter}'), x -> {text}))"
+        for n, column, letter, text in groups
     )
-    return F.transform(
-        arr,
-        lambda g, i: F.struct(
-            F.coalesce(g["name"], F.concat(F.lit("part_"), (i + 1).cast("string"))).alias("group"),
-            g["lines"].alias("lines"),
-        ),
+    return (
+        f"CASE WHEN ls IS NOT NULL THEN transform(filter(array({each}), g -> size(g.lines) > 0), "
+        "(g, i) -> named_struct('group', coalesce(g.name, concat('part_', i + 1)), 'lines', g.lines)) END"
     )
 
 
-def step_text(name: Column) -> Column:
-    return F.concat(F.lit("Add the "), name, F.lit("."))
-
-
 def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order facts with title and grouped lines."""
-    k = F.col("o_orderkey")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     facts = order_facts(spark, sf_dir).repartition(n, "o_orderkey")  # the partitioning of _parts
-    joined = facts.join(_parts(spark, sf_dir), k == F.col("l_orderkey"), "left")
-    line = lambda x: x["line"]
-    step = lambda x: step_text(x["name"])
-    return joined.select(
+    joined = facts.join(_parts(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    step = "concat('Add the ', x.name, '.')"
+    ingredients = _groups_sql(
+        ("For A", "l_returnflag", "A", "x.line"), (None, "l_returnflag", "N", "x.line"), ("For R", "l_returnflag", "R", "x.line")
+    )
+    instructions = _groups_sql((None, "l_linestatus", "F", step), ("Finish:", "l_linestatus", "O", step))
+    return joined.selectExpr(
         *facts.columns,
-        F.when(k % 97 != 0, F.concat(F.get("ls", F.lit(0))["name"], F.lit(" pie"))).alias("title"),
-        F.when(
-            F.col("ls").isNotNull(),
-            _named_groups([
-                ("For A", _group("l_returnflag", "A", line)),
-                (None, _group("l_returnflag", "N", line)),
-                ("For R", _group("l_returnflag", "R", line)),
-            ]),
-        ).alias("ingredients"),
-        F.when(
-            F.col("ls").isNotNull(),
-            _named_groups([
-                (None, _group("l_linestatus", "F", step)),
-                ("Finish:", _group("l_linestatus", "O", step)),
-            ]),
-        ).alias("instructions"),
+        "CASE WHEN o_orderkey % 97 <> 0 THEN concat(get(ls, 0).name, ' pie') END AS title",
+        f"{ingredients} AS ingredients",
+        f"{instructions} AS instructions",
     )
 
 
@@ -188,86 +152,69 @@ def image_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, as a scrape of its page gives it."""
-    rated = F.col("rating_count") > 0
-    stored = F.col("image_url").isNotNull() & (F.col("o_orderkey") % 3 == 0)
-    return _content(spark, sf_dir).select(
+    return _content(spark, sf_dir).selectExpr(
         "domain",
         "path",
         "title",
         "ingredients",
         "instructions",
-        F.struct(
-            "servings", "prep_time", "cook_time", "author", "description",
-            F.when(rated, F.nullif(F.col("quarters") / 4, F.lit(0.0))).alias("rating"),
-            F.when(rated, F.nullif(F.round(F.col("percent") * F.lit(0.01), 2), F.lit(0.0))).alias("make_again"),
-            F.when(rated, F.col("rating_count")).alias("ratings"),
-            F.when(
-                stored, F.concat(F.lit("images/"), urls.path_to_file_name(F.col("path"), "jpg"))
-            ).alias("image_location"),
-            "image_url",
-        ).alias("misc"),
+        """struct(servings, prep_time, cook_time, author, description,
+            CASE WHEN rating_count > 0 THEN nullif(quarters / 4D, 0D) END AS rating,
+            CASE WHEN rating_count > 0 THEN nullif(round(percent * 0.01D, 2), 0D) END AS make_again,
+            CASE WHEN rating_count > 0 THEN rating_count END AS ratings,
+            CASE WHEN image_url IS NOT NULL AND o_orderkey % 3 = 0
+                 THEN concat('images/', url_encode(path), '.jpg') END AS image_location,
+            image_url) AS misc""",
     )
 
 
 # --- recipe pages ------------------------------------------------------------
 
 
-def _tag(tag: str, inner: Column, attrs: str = "") -> Column:
-    return F.concat(F.lit(f"<{tag}{attrs}>"), inner, F.lit(f"</{tag}>"))
-
-
-def _list_html(groups: Column, outer_cls: str, list_cls: str, group_cls: str, inner_list: str) -> Column:
-    def group(g: Column) -> Column:
-        name = F.when(~F.startswith(g["group"], F.lit("part_")), _tag("strong", g["group"])).otherwise(F.lit(""))
-        items = F.array_join(F.transform(g["lines"], lambda t: F.concat(F.lit("<li>"), t)), "")  # li left open
-        return _tag("li", F.concat(name, _tag(inner_list, items)), f' class="{group_cls}"')
-
-    body = _tag("ol", F.array_join(F.transform(groups, group), ""), f' class="{list_cls}"')
-    return F.when(groups.isNotNull(), _tag("div", body, f' class="{outer_cls}"')).otherwise(F.lit(""))
-
-
-def _opt(c: Column | str, html: Column) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNotNull(), html).otherwise(F.lit(""))
+def _list_html(column: str, outer_cls: str, list_cls: str, group_cls: str, inner: str) -> str:
+    """Groups as markup; the last ``li`` of each list is left open."""
+    name = "CASE WHEN startswith(g.group, 'part_') THEN '' ELSE concat('<strong>', g.group, '</strong>') END"
+    items = "array_join(transform(g.lines, t -> concat('<li>', t)), '')"
+    group = f"""concat('<li class="{group_cls}">', {name}, '<{inner}>', {items}, '</{inner}></li>')"""
+    return f"""coalesce(concat('<div class="{outer_cls}"><ol class="{list_cls}">',
+        array_join(transform({column}, g -> {group}), ''), '</ol></div>'), '')"""
 
 
 def recipe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(domain, path, html, o_orderkey): ``recipes`` as saved pages.
 
     Every tenth page lacks the main-content box, every fifth carries a script
-    with a stray end tag, and description paragraphs are left open.
+    with a stray end tag, and description paragraphs are left open. A part that
+    is NULL leaves no markup.
     """
-    k = F.col("o_orderkey")
-    lit = F.lit
-    authors = F.array_join(
-        F.transform(F.split("author", "\n"), lambda a: _tag("a", a, ' class="contributor" href="/cook"')), " "
-    )
-    paragraphs = F.array_join(F.transform(F.split("description", "\n"), lambda p: F.concat(lit("<p>"), p)), "")
-    inner = F.concat(
-        _opt("title", F.concat(lit("<h1>"), F.replace("title", lit(" "), lit("\n  ")), lit("</h1>"))),
-        F.when(k % 5 == 0, lit('<script>var t="</p><h1>no</h1>";</script>')).otherwise(lit("")),
-        _tag("cite", authors, ' class="contributors"'),
-        _opt("description", _tag("div", F.concat(paragraphs, lit("<p> ")), ' itemprop="description"')),
-        _opt("image_url", F.concat(lit('<div class="recipe-image"><img srcset="'), F.col("image_url"), lit('"></div>'))),
-        lit('<dl class="summary-data">'),
-        _tag("dd", lit("not this one"), ' class="yield extra"'),
-        _tag("dd", F.col("servings"), ' class="yield"'),
-        _tag("dd", F.col("prep_time"), ' class="active-time"'),
-        _opt("cook_time", _tag("dd", F.col("cook_time"), ' class="total-time"')),
-        lit("</dl>"),
-        _list_html(F.col("ingredients"), "ingredients-info", "ingredient-groups", "ingredient-group", "ul"),
-        _list_html(F.col("instructions"), "instructions", "preparation-groups", "preparation-group", "ol"),
-        lit('<div class="review-rating"><span class="rating">'),
-        F.concat(F.col("quarters").cast("string"), lit("/4")),
-        lit('</span><span itemprop="reviewCount"> '),
-        F.col("rating_count").cast("string"),
-        lit(' </span></div><div class="prepare-again-rating"><span>'),
-        F.col("percent").cast("string"),
-        lit("%</span></div>"),
+    inner = rf"""concat(
+        coalesce(concat('<h1>', replace(title, ' ', '\n  '), '</h1>'), ''),
+        CASE WHEN o_orderkey % 5 = 0 THEN '<script>var t="</p><h1>no</h1>";</script>' ELSE '' END,
+        '<cite class="contributors">',
+        array_join(transform(split(author, '\n'),
+                   a -> concat('<a class="contributor" href="/cook">', a, '</a>')), ' '), '</cite>',
+        coalesce(concat('<div itemprop="description">',
+                 array_join(transform(split(description, '\n'), p -> concat('<p>', p)), ''), '<p> </div>'), ''),
+        coalesce(concat('<div class="recipe-image"><img srcset="', image_url, '"></div>'), ''),
+        '<dl class="summary-data"><dd class="yield extra">not this one</dd><dd class="yield">', servings,
+        '</dd><dd class="active-time">', prep_time, '</dd>',
+        coalesce(concat('<dd class="total-time">', cook_time, '</dd>'), ''), '</dl>',
+        {_list_html("ingredients", "ingredients-info", "ingredient-groups", "ingredient-group", "ul")},
+        {_list_html("instructions", "instructions", "preparation-groups", "preparation-group", "ol")},
+        '<div class="review-rating"><span class="rating">', quarters, '/4</span><span itemprop="reviewCount"> ',
+        rating_count, ' </span></div><div class="prepare-again-rating"><span>', percent, '%</span></div>')"""
+    return (
+        _content(spark, sf_dir)
+        .selectExpr("domain", "path", f"{inner} AS body", "o_orderkey")
+        .selectExpr(
+            "domain",
+            "path",
+            """concat('<html><head><title>x</title></head><body><nav>Menu</nav>',
+                CASE WHEN o_orderkey % 10 = 0 THEN body
+                     ELSE concat('<div class="main-content wide">', body, '</div>') END, '</body></html>') AS html""",
+            "o_orderkey",
+        )
     )
-    box = F.when(k % 10 == 0, inner).otherwise(_tag("div", inner, ' class="main-content wide"'))
-    html = F.concat(lit("<html><head><title>x</title></head><body><nav>Menu</nav>"), box, lit("</body></html>"))
-    return _content(spark, sf_dir).select("domain", "path", html.alias("html"), "o_orderkey")
 
 
 # --- a site -----------------------------------------------------------------------
