@@ -77,14 +77,6 @@ def fraction_glyphs(c: Column | str) -> Column:
     return F.when(col(c).rlike("[½⅓⅔¼¾⅕-⅞⁄]"), out).otherwise(col(c))
 
 
-def _map_literal(d: dict[str, str] | dict[str, float]) -> Column:
-    """A constant map, written as SQL: one call instead of one per entry."""
-    def value(v: str | float) -> str:
-        return f"'{v}'" if isinstance(v, str) else f"{v!r}D"
-
-    return F.expr("map(" + ", ".join(f"'{k}', {value(v)}" for k, v in d.items()) + ")")
-
-
 def _words_of(d: dict[str, str]) -> str:
     return "|".join(sorted(d, key=len, reverse=True))
 
@@ -92,7 +84,7 @@ def _words_of(d: dict[str, str]) -> str:
 def spelled_numbers(c: Column | str) -> Column:
     """Number and fraction words of a plain-form line to digits; a leading ``a`` is 1."""
     t = F.regexp_replace(col(c), r"\bhalf-(?=[a-z])", "half ")
-    words = _map_literal({**voc.NUMBER_WORDS, **voc.FRACTION_WORDS})
+    words = F.expr(_map_sql({**voc.NUMBER_WORDS, **voc.FRACTION_WORDS}))
     t = F.array_join(F.transform(F.split(t, " "), lambda w: F.coalesce(F.element_at(words, w), w)), " ")
     t = F.regexp_replace(t, r"\b(\d+) and (?:an? |1 )?/(\d)\b", "$1 1/$2")
     t = F.regexp_replace(t, r"\b(\d+) /(\d)\b", "$1/$2")
@@ -199,74 +191,78 @@ def _replaced_items(t: Column) -> Column:
     return out
 
 
-def number_value(q: Column) -> Column:
+# The expressions from here to the names are SQL text: most of their steps sit
+# inside lambdas, and one call builds what would take hundreds of column calls.
+
+
+def _number(q: str) -> str:
     """``'2 1/2'`` -> 2.5; empty -> NULL."""
-    def piece(p: Column) -> Column:
-        f = F.split(p, "/")
-        return F.when(F.size(f) > 1, F.try_divide(f[0].cast("double"), f[1].cast("double"))).otherwise(p.cast("double"))
+    return (
+        f"CASE WHEN {q} <> '' THEN aggregate(split({q}, ' '), 0D, (a, x) -> a + "
+        "CASE WHEN contains(x, '/') THEN try_divide(double(split(x, '/')[0]), double(split(x, '/')[1])) "
+        "ELSE double(x) END) END"
+    )
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _map_sql(d: dict[str, str] | dict[str, float]) -> str:
+    def value(v: str | float) -> str:
+        return f"'{v}'" if isinstance(v, str) else f"{v!r}D"
 
-    return F.when(q != "", F.aggregate(F.split(q, " "), F.lit(0.0), lambda a, p: a + piece(p)))
+    return "map(" + ", ".join(f"'{k}', {value(v)}" for k, v in d.items()) + ")"
 
 
-def _factors(table: dict[str, float]) -> Column:
+def _factors(table: dict[str, float]) -> str:
     forms = {}
     for n, f in table.items():
         forms[n] = f
         if len(n) > 1:
             forms[n + ("es" if n.endswith("ch") else "s")] = f
-    return _map_literal(forms)
-
-
-def measures(marked: Column) -> Column:
-    """Measures of a marked line: ARRAY<STRUCT<plus, each, preferred, cups, grams>>."""
-    cups, grams = _factors(voc.CUPS), _factors(voc.GRAMS)
-    preferred = F.expr("array(" + ", ".join(f"'{u}', '{u}s'" for u in voc.PREFERRED_UNITS) + ")")
-
-    def amount(p: Column, table: Column) -> Column:
-        low_unit = F.when(p[3] != "", p[3]).otherwise(p[5])
-        high_unit = F.when(p[5] != "", p[5]).otherwise(p[3])
-        low = number_value(p[2]) * F.element_at(table, low_unit)
-        high = number_value(p[4]) * F.element_at(table, high_unit)
-        times = F.coalesce(number_value(p[1]), F.lit(1.0))
-        return F.when(p[4] == "", low).otherwise((low + high) / 2) * times
-
-    def one(m: Column) -> Column:
-        return let(
-            F.split(m, r"\|"),
-            lambda p: F.struct(
-                (p[0] == "plus").alias("plus"),
-                ((p[0] == "each") | (p[6] == "each")).alias("each"),
-                F.array_contains(preferred, F.when(p[3] != "", p[3]).otherwise(p[5])).alias("preferred"),
-                amount(p, cups).alias("cups"),
-                amount(p, grams).alias("grams"),
-            ),
-        )
+    return _map_sql(forms)
 
-    return F.transform(F.regexp_extract_all(marked, F.lit("<([^>]*)>"), F.lit(1)), one)
 
+def measures(marked: str) -> Column:
+    """Measures of a marked line (column name): ARRAY<STRUCT<plus, each, preferred, cups, grams>>."""
+    low_unit, high_unit = "coalesce(nullif(p[3], ''), p[5])", "coalesce(nullif(p[5], ''), p[3])"
 
-def _pick(ms: Column, field: str, each: bool = False) -> Column:
-    """The preferred measure of a dimension (else the first), plus what is added to it."""
-    mine = F.filter(ms, lambda m: m[field].isNotNull() & (m["each"] == F.lit(each)))
+    def amount(table: dict[str, float]) -> str:
+        low = f"{_number('p[2]')} * element_at({_factors(table)}, {low_unit})"
+        high = f"{_number('p[4]')} * element_at({_factors(table)}, {high_unit})"
+        return (
+            f"CASE WHEN p[4] = '' THEN {low} ELSE ({low} + {high}) / 2 END * coalesce({_number('p[1]')}, 1D)"
+        )
+
+    preferred = ", ".join(f"'{u}', '{u}s'" for u in voc.PREFERRED_UNITS)
+    fields = (
+        "named_struct('plus', p[0] = 'plus', 'each', p[0] = 'each' OR p[6] = 'each', "
+        f"'preferred', array_contains(array({preferred}), {low_unit}), "
+        f"'cups', {amount(voc.CUPS)}, 'grams', {amount(voc.GRAMS)})"
+    )
+    return F.expr(
+        f"transform(regexp_extract_all({marked}, '<([^>]*)>', 1), m -> {_bound("split(m, '[|]')", 'p', fields)})"
+    )
 
-    def total(own: Column) -> Column:
-        main = F.array_min(
-            F.transform(
-                F.filter(own, lambda m: ~m["plus"]),
-                lambda m, i: F.struct((~m["preferred"]).alias("later"), i.alias("at"), m[field].alias("value")),
-            )
-        )["value"]
-        added = F.aggregate(F.filter(own, lambda m: m["plus"]), F.lit(0.0), lambda a, m: a + m[field])
-        return F.when(F.size(own) > 0, F.coalesce(main, F.lit(0.0)) + added)
 
-    return let(mine, total)
+def _pick(ms: str, field: str, each: bool = False) -> str:
+    """The preferred measure of a dimension (else the first), plus what is added to it."""
+    mine = f"filter({ms}, m -> m.{field} IS NOT NULL AND m.each = {each})"
+    main = (
+        "array_min(transform(filter(own, m -> NOT m.plus), "
+        f"(m, i) -> named_struct('later', NOT m.preferred, 'at', i, 'value', m.{field}))).value"
+    )
+    added = f"aggregate(filter(own, m -> m.plus), 0D, (a, m) -> a + m.{field})"
+    return _bound(mine, "own", f"CASE WHEN size(own) > 0 THEN coalesce({main}, 0D) + {added} END")
 
 
-def leading_count(marked: Column) -> Column:
-    """Number at the start of a line that no measure has taken."""
-    low = number_value(F.regexp_extract(marked, _LEADING_COUNT, 1))
-    high = number_value(F.regexp_extract(marked, _LEADING_COUNT, 2))
-    return F.when(high.isNull(), low).otherwise((low + high) / 2)
+def leading_count(marked: str) -> Column:
+    """Number at the start of a marked line that no measure has taken."""
+    pattern = _LEADING_COUNT.replace("\\", "\\\\")
+    low, high = (f"regexp_extract({marked}, '{pattern}', {i})" for i in (1, 2))
+    mean = f"CASE WHEN e[1] = '' THEN {_number('e[0]')} ELSE ({_number('e[0]')} + {_number('e[1]')}) / 2 END"
+    return F.expr(_bound(f"array({low}, {high})", "e", mean))
 
 
 # --- names ---------------------------------------------------------------------------
@@ -346,18 +342,16 @@ def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
         df.withColumn("_text", plain_text(line))
         .withColumn("_plain", spelled_numbers("_text"))
         .withColumn("_marked", mark_measures(F.col("_plain")))
-        .withColumn("_ms", measures(F.col("_marked")))
-        .withColumn("_factor", size_factor(F.col("_plain")))
-        .withColumn("_count", leading_count(F.col("_marked")))
-        .withColumn("exact_volume", _pick(F.col("_ms"), "cups") * F.col("_factor"))
-        .withColumn("exact_count", F.col("_count") * F.col("_factor"))
-        .withColumn(
-            "measured_weight",
-            F.coalesce(
-                _pick(F.col("_ms"), "grams"),
-                _pick(F.col("_ms"), "grams", each=True) * F.coalesce("_count", F.lit(1.0)),
+        .withColumns({
+            "_ms": measures("_marked"), "_factor": size_factor(F.col("_plain")), "_count": leading_count("_marked"),
+        })
+        .withColumns({
+            "exact_volume": F.expr(_pick("_ms", "cups")) * F.col("_factor"),
+            "exact_count": F.col("_count") * F.col("_factor"),
+            "measured_weight": F.expr(
+                f"coalesce({_pick('_ms', 'grams')}, {_pick('_ms', 'grams', each=True)} * coalesce(_count, 1D))"
             ),
-        )
+        })
     )
     fallback = F.coalesce(
         F.col("measured_weight"),
