@@ -49,13 +49,9 @@ def page_links(dom: DataFrame, keys: Sequence[str], allow: Sequence[str] = ()) -
 
 def resolve_links(links: DataFrame) -> DataFrame:
     """Add the target's domain and path, and ``error`` where it cannot be resolved."""
-    target = urls.resolve_href("href")
-    return (
-        links.where(urls.visible("outer_html") & (F.col("href") != ""))
-        .withColumn("_target", target)
-        .withColumns({k: F.col(f"_target.{k}") for k in ("domain", "path", "error")})
-        .drop("_target")
-    )
+    shown = links.where(urls.visible("outer_html") & (F.col("href") != ""))
+    # a generator, so that tests on the target do not work it out again
+    return shown.select("*", F.inline(F.array(urls.resolve_href("href"))))
 
 
 def followable(own_domain: Column | str, rules: LinkRules) -> Column:

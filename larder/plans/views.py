@@ -286,6 +286,10 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r, n = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
     c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    # spread the narrow keys before they grow into pages: the stage that parses them is then wide
+    o = o.select("o_orderkey", "o_custkey", "o_orderstatus").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey"
+    )
     oc = o.join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     k = F.col("c_custkey").cast("string")
     decoys = F.when(F.col("c_custkey") % 7 == 0, F.replace(F.lit(DECOY_HTML), F.lit("{k}"), k)).otherwise(F.lit(""))
