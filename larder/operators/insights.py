@@ -24,7 +24,7 @@ def ingredient_weights(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
 def weight_shares(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each ingredient's grams and its share of the recipe's weight."""
     grams = ingredient_weights(lines, keys)
-    totals = lines.groupBy(*keys).agg(F.sum("weight").alias("total"))
+    totals = grams.groupBy(*keys).agg(F.sum("grams").alias("total"))
     return spread_join(grams, totals, list(keys), ["cleaned"]).select(
         *keys, "cleaned", "grams", F.try_divide("grams", "total").alias("share")
     )
@@ -78,7 +78,7 @@ def coverage(lines: DataFrame, share: float = 0.9) -> DataFrame:
     """The fewest ingredients that cover ``share`` of all lines, most used first."""
     counts = lines.groupBy("cleaned").agg(F.count(F.lit(1)).alias("n"))
     ranked = with_running(counts, [F.desc("n"), F.col("cleaned")], {"running": "n"}, "rank")
-    total = lines.agg(F.count(F.lit(1)).alias("t")).scalar()
+    total = ranked.agg(F.sum("n").alias("t")).scalar()  # the ranked table is stored: no second pass over the lines
     needed = (F.col("running") - F.col("n")) < total * F.lit(share)
     return ranked.where(needed).select("rank", "cleaned", "n", (F.col("running") / total).alias("covered"))
 
