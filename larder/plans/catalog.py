@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import urls
@@ -206,11 +206,15 @@ def _exploded(rows: DataFrame, column: str) -> DataFrame:
 
 
 def html_and_recipes() -> dict[str, Query]:
-    nodes, text = F.col("nodes"), F.col("text")
+
+    def page() -> tuple[Column, Column]:
+        """Columns of a parsed page; made late, as the catalog is listed without a session."""
+        return F.col("nodes"), F.col("text")
+
     lay = extract.DEFAULT_LAYOUT
 
     def ratings(s: SparkSession, d: str) -> DataFrame:
-        return _recipe_dom(s, d, lay.review_count, lay.rating, lay.make_again).select("path", extract.ratings(nodes, text, lay).alias("r")).select(
+        return _recipe_dom(s, d, lay.review_count, lay.rating, lay.make_again).select("path", extract.ratings(*page(), lay).alias("r")).select(
             "path", "r.rating", "r.make_again", F.col("r.ratings").cast("string").alias("ratings")
         )
 
@@ -238,7 +242,7 @@ def html_and_recipes() -> dict[str, Query]:
         .groupBy("page_id", "tag")
         .agg(F.count(F.lit(1)).alias("n")),
         "h2_select_elements": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("nav", "ul", "a"))
-        .select("page_id", F.explode(dom.select_all(nodes, text, Sel("nav"), Sel("ul"), Sel("a"))).alias("n"), "text")
+        .select("page_id", F.explode(dom.select_all(*page(), Sel("nav"), Sel("ul"), Sel("a"))).alias("n"), "text")
         .select("page_id", dom.node_text(F.col("n"), F.col("text")).alias("label")),
         "h3_stripped_text": lambda s, d: v.table(s, d, "documents").select("doc_id", stripped_text("text").alias("text")),
         "h4_main_content": lambda s, d: extract.trim_pages(v.recipe_pages(s, d)).select(
@@ -248,7 +252,7 @@ def html_and_recipes() -> dict[str, Query]:
             F.contains("html", F.lit("<nav>")).alias("has_menu"),
         ),
         "h5_title": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("h1",)).select(
-            "page_id", dom.first_text(nodes, text, Sel("h1")).alias("title")
+            "page_id", dom.first_text(*page(), Sel("h1")).alias("title")
         ),
         "h5_recipe_title": _field("title", lay.title),
         "h6_ingredient_groups": lambda s, d: _exploded(
@@ -259,7 +263,7 @@ def html_and_recipes() -> dict[str, Query]:
         ),
         "h8_summary": lambda s, d: _recipe_dom(s, d, (lay.summary_list, Sel("dd"))).select(
             "path",
-            *[extract.summary_field(nodes, text, lay.summary_list, c).alias(k) for k, c in lay.summary.items()],
+            *[extract.summary_field(*page(), lay.summary_list, c).alias(k) for k, c in lay.summary.items()],
         ),
         "h9_authors": _field("author", lay.authors),
         "h10_description": _field("description", lay.description, children_of=[("itemprop", "description")]),

@@ -5,6 +5,8 @@ A sample by default; LARDER_ALL=1 runs every query.
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -27,6 +29,13 @@ def con():
     return c
 
 
+def test_catalog_needs_no_session():
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert out == [str(len(entry.queries()))] * 2
+
+
 def test_every_query_has_its_twin():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
