@@ -34,6 +34,10 @@ class Stages:
         self.paths[id(out)] = (path, out)
         return out
 
+    def again(self, table: DataFrame) -> DataFrame:
+        """The same table as a source of its own, for joins of a table with itself."""
+        return self.spark.read.schema(table.schema).parquet(self.paths[id(table)][0])
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
             path, _ = self.paths[id(t)]

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe_counts, text_density, viterbi_pieces
+from larder.llm import bpe_counts, cover_tree, multi_index, text_density, viterbi_pieces
 from larder.llm.common import read_table
 
 
@@ -30,6 +30,46 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"), "ids")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return multi_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+OP2_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, [x::DOUBLE for x in embedding] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+  min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
+FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id
+"""
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for every hundredth vector."""
+    return cover_tree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 1024)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id,
+    list_sum([p[1] * p[2] for p in list_zip(q.v, r.v)])::BIGINT AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = text_density.extract_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -45,8 +85,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op9_main_text, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op8_top_k, op9_main_text, op10_token_counts)}
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return {"op2_embedding_near_dedup": OP2_SQL, "op8_top_k": OP8_SQL}
