@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe_counts, cover_tree, multi_index, text_density, viterbi_pieces
+from larder.llm import bpe_counts, cover_tree, multi_index, raking, text_density, viterbi_pieces
 from larder.llm.common import read_table
 
 
@@ -51,6 +51,16 @@ FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id
 """
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated weight, probability and decision for every document."""
+    return raking.mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+
+
+OP7_SQL = f"""WITH {raking.mix_sql("documents")}
+SELECT doc_id, source, lang, topic, n_tokens, weight, probability, sampled FROM mixed"""
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best rows for every hundredth vector."""
     return cover_tree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -85,8 +95,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op8_top_k, op9_main_text, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
 
 
 def sql() -> dict[str, str]:
-    return {"op2_embedding_near_dedup": OP2_SQL, "op8_top_k": OP8_SQL}
+    return {"op2_embedding_near_dedup": OP2_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
