@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe_counts, cover_tree, multi_index, raking, text_density, viterbi_pieces
+from larder.llm import bpe_counts, cover_tree, multi_index, order_minhash, raking, text_density, viterbi_pieces
 from larder.llm.common import read_table
 
 
@@ -24,10 +24,8 @@ def piece_model() -> str:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding gives the text back."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = viterbi_pieces.decode(viterbi_pieces.encode(docs, piece_model()), piece_model())
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"),
-        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"), "ids")
+    coded = viterbi_pieces.encode(docs, piece_model(), exact="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "round_trip", "ids")
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +49,11 @@ FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id
 """
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies of every document."""
+    return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated weight, probability and decision for every document."""
     return raking.mix(read_table(spark, sf_dir, "documents")).select(
@@ -95,7 +98,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op4_minhash_near_dedup, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
 
 
 def sql() -> dict[str, str]:

@@ -247,32 +247,39 @@ class PieceLattice:
         return "".join(text).removeprefix(" ")
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids", words_kept: int = 150_000,
-           chars_at_once: int = 500_000) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids", exact: str | None = None,
+           words_kept: int = 50_000, chars_at_once: int = 300_000) -> DataFrame:
     """``docs`` with the piece ids of each whole text in ``out`` (array of int).
 
-    A null or empty text has no ids. A column named like ``out`` is replaced.
-    The ids are those of the library's best-score search over the same pieces
-    and scores. One narrow map without a shuffle.
+    A null or empty text has no ids. With ``exact`` a boolean column of that name
+    tells whether decoding the ids gives the text back. Columns of these names
+    are replaced. The ids are those of the library's best-score search over the
+    same pieces and scores. One narrow map without a shuffle; texts go through
+    it ``chars_at_once`` at a time (or one long text alone).
     """
     with open(model_path, "rb") as f:
         model = f.read()
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         lattice, known = PieceLattice(model), Recent(words_kept)
         for batch in batches:
-            out: list[np.ndarray] = []
             group: list[str] = []
             held = 0
             for k, t in enumerate(batch, 1):
                 group.append(t or "")
                 held += len(group[-1])
                 if held >= chars_at_once or k == len(batch):
-                    out += [np.array(ids, np.int32) for ids in lattice.encode(group, known)]
+                    ids = lattice.encode(group, known)
+                    same = [lattice.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, group, strict=True)] if exact else True
+                    yield pd.DataFrame({"ids": [np.array(i, np.int32) for i in ids], "exact": same})
                     group, held = [], 0
-            yield pd.Series(out, dtype=object)
 
-    return without(docs, [out]).withColumn(out, F.pandas_udf(run, "array<int>")(F.col(text)))
+    coded = F.pandas_udf(run, "struct<ids:array<int>,exact:boolean>")(F.col(text))
+    names = [out, *([exact] if exact else [])]
+    keep = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    done = docs.withColumn("_coded", coded)
+    return done.select(*[F.col(f"`{c}`") for c in keep], F.col("_coded.ids").alias(out),
+                       *([F.col("_coded.exact").alias(exact)] if exact else []))
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
