@@ -40,7 +40,7 @@ def word_hashes(words: Sequence[str], known: dict[str, int], most: int = 300_000
 
     if len(known) > most:
         known.clear()
-    for w in set(words) - known.keys():
+    for w in {w for w in words if w not in known}:
         known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
