@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe_counts, cover_tree, multi_index, order_minhash, raking, text_density, viterbi_pieces
+from larder.llm import bpe_counts, cover_tree, crf_languages, kneser_ney, multi_index, order_minhash, raking, text_density, viterbi_pieces
 from larder.llm.common import read_table
 
 
@@ -49,11 +49,23 @@ FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", crf_languages.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return crf_languages.identify(texts, crf_languages.learn(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of near copies of every document."""
     return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, limit and decision for every document."""
+    return kneser_ney.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated weight, probability and decision for every document."""
     return raking.mix(read_table(spark, sf_dir, "documents")).select(
@@ -98,7 +110,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op4_minhash_near_dedup, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_language_id, op4_minhash_near_dedup, op5_quality, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
 
 
 def sql() -> dict[str, str]:
