@@ -59,7 +59,12 @@ class PieceLattice:
         self.names = [sp.id_to_piece(i) for i in range(size)]
         self.shown = [p.replace(SPACE, " ") for p in self.names]
         self.byte_id = {int(p[1:-1], 16): i for i, p in enumerate(self.names) if sp.is_byte(i)}
-        self.byte_of = {i: bytes([b]) for b, i in self.byte_id.items()}
+        for b, i in self.byte_id.items():
+            if b < 0x80:
+                self.shown[i] = chr(b)
+        self.byte_of = {i: bytes([b]) for b, i in self.byte_id.items() if b >= 0x80}  # these take several for a character
+        self.many = np.zeros(size, bool)
+        self.many[list(self.byte_of)] = True
         self.pieces = {p: (i, sp.get_score(i)) for i, p in enumerate(self.names)
                        if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
         self.tree: dict = {}  # characters lead on; "" holds the piece that ends here
@@ -216,7 +221,7 @@ class PieceLattice:
     def encode(self, texts: list[str], known: Recent, short: int = 40, at_once: int = 10_000) -> list[list[int]]:
         """Ids of each text. Stretches up to ``short`` characters that are new go ``together``, others ``stream``."""
         cut = [pre_tokens(t) for t in texts]
-        new = list({w for words in cut for w in words if known.get(w) is None})
+        new = [w for w in {w for words in cut for w in words if w not in known.new} if known.get(w) is None]
         fresh = {w: [i for part in self.stream(w) for i in part] for w in new if len(w) > short}
         new = [w for w in new if len(w) <= short]
         for k in range(0, len(new), at_once):
@@ -231,8 +236,11 @@ class PieceLattice:
             known[w] = ids
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: pieces joined, bytes decoded, spaces restored, the added first space dropped."""
+        if not self.many[ids].any():
+            return "".join(map(self.shown.__getitem__, ids.tolist())).removeprefix(" ")
+        ids = ids.tolist()
         names, text, raw = self.shown, [], b""
         for i in ids:
             if i in self.byte_of:
@@ -248,7 +256,7 @@ class PieceLattice:
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids", exact: str | None = None,
-           words_kept: int = 50_000, chars_at_once: int = 300_000) -> DataFrame:
+           words_kept: int = 120_000, chars_at_once: int = 300_000) -> DataFrame:
     """``docs`` with the piece ids of each whole text in ``out`` (array of int).
 
     A null or empty text has no ids. With ``exact`` a boolean column of that name
@@ -269,9 +277,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
                 group.append(t or "")
                 held += len(group[-1])
                 if held >= chars_at_once or k == len(batch):
-                    ids = lattice.encode(group, known)
+                    ids = [np.array(x, np.int32) for x in lattice.encode(group, known)]
                     same = [lattice.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, group, strict=True)] if exact else True
-                    yield pd.DataFrame({"ids": [np.array(i, np.int32) for i in ids], "exact": same})
+                    yield pd.DataFrame({"ids": ids, "exact": same})
                     group, held = [], 0
 
     coded = F.pandas_udf(run, "struct<ids:array<int>,exact:boolean>")(F.col(text))
@@ -294,6 +302,6 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", out: str = "de
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lattice = PieceLattice(model)
         for batch in batches:
-            yield pd.Series([lattice.decode(x.tolist() if x is not None else []) for x in batch], dtype=object)
+            yield pd.Series([lattice.decode(np.array(x if x is not None else [], np.int32)) for x in batch], dtype=object)
 
     return without(encoded, [out]).withColumn(out, F.pandas_udf(run, "string")(F.col(ids)))
