@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe_counts, cover_tree, crf_languages, kneser_ney, multi_index, order_minhash, raking, text_density, viterbi_pieces
+from larder.llm import bpe_counts, cover_tree, crf_languages, kneser_ney, line_join, multi_index, order_minhash, raking, text_density, viterbi_pieces
 from larder.llm.common import read_table
 
 
@@ -66,6 +66,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that match an earlier line."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_join.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+OP6_SQL = f"""WITH {line_join.dedup_lines_sql("documents")}
+SELECT doc_id, text, n_lines, n_removed FROM deduped"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated weight, probability and decision for every document."""
     return raking.mix(read_table(spark, sf_dir, "documents")).select(
@@ -110,8 +120,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_language_id, op4_minhash_near_dedup, op5_quality, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_embedding_near_dedup, op3_language_id, op4_minhash_near_dedup, op5_quality, op6_line_dedup, op7_mixing, op8_top_k, op9_main_text, op10_token_counts)}
 
 
 def sql() -> dict[str, str]:
-    return {"op2_embedding_near_dedup": OP2_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
+    return {"op2_embedding_near_dedup": OP2_SQL, "op6_line_dedup": OP6_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
