@@ -216,7 +216,8 @@ def identify(docs: DataFrame, field: LanguageField, text: str = "text", out: str
                 if held >= chars_at_once or i == len(batch):
                     if len(known) > words_kept:
                         known, scores = {}, []
-                    means = [p.mean(axis=0) if len(p) and field.labels else None for p in field.read(group, known, scores)]
+                    read = field.read(group, known, scores) if field.labels else [()] * len(group)
+                    means = [p.mean(axis=0) if len(p) else None for p in read]
                     yield pd.DataFrame({
                         "lang": ["und" if m is None else field.labels[int(m.argmax())] for m in means],
                         "score": [0.0 if m is None else float(min(m.max(), 1.0)) for m in means]})

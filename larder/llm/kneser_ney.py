@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import Stages, table_bytes
+from larder.llm.common import Stages, text_bytes
 
 BITS = 20
 WORDS = 1 << BITS  # word identities; 0 begins a text
@@ -298,7 +298,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     (under 20 MB together).
     """
     stages = Stages(docs.sparkSession, "kneser-ney")
-    shards = max(16, -(-table_bytes(docs.select(text)) // bytes_in_shard))
+    shards = min(max(16, -(-text_bytes(docs, text) // bytes_in_shard)), 1 << 16)
     packed = count_pairs(trusted.select(F.col(text).alias("text")), shards, tokens_at_once)
     merged = stages.keep(merge_counts(packed, 64, -(-hot_pairs // shards)), "counts")
     words = [bytes(r[0]) for r in word_tables(merged.where("kind = 'words'").select("part", "blob")).select("blob").toLocalIterator()]

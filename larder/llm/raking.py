@@ -54,7 +54,7 @@ def raked_weights(cells: DataFrame, margins: Sequence[str], power: float, rounds
         step = now
         for m in margins:
             have = step.groupBy(m).agg(F.sum("w").alias("have")).join(goals[m], m, "left").select(
-                F.col(m).alias("value"), (F.coalesce("goal", F.lit(0.0)) / F.col("have")).alias("factor"))
+                F.col(m).alias("value"), F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("have")).alias("factor"))
             step = step.join(have, step[m] == have["value"]).select(
                 *margins, "tokens", "share", (F.col("w") * F.coalesce("factor", F.lit(0.0))).alias("w"))
         after = stages.keep(step, "cells")
@@ -73,7 +73,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: Column | str = "source", l
     where no cell is short of its target. A document is sampled if the hash of
     its key is below its probability: the same at every run and in any order.
     Null sources and languages are cells of their own. Documents without tokens
-    carry no weight to rake: they count 1. Columns of these names in ``docs`` are replaced.
+    carry no weight to rake: they count 1. ``targets`` gives tables (value,
+    target) for "source", "lang" or "topic"; other margins keep their shares to
+    ``power``. Columns of these names in ``docs`` are replaced.
     Up to ``most_cells`` cells are broadcast, counted first; more meet the
     documents in a join.
     """
@@ -86,7 +88,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: Column | str = "source", l
                        F.coalesce(topic, F.lit(NONE)).alias("_topic"), word_count(whole).alias("_n"))
     margins = ["_source", "_lang", "_topic"]
     cells = told.groupBy(*margins).agg(F.sum("_n").alias("tokens"))
-    rates = raked_weights(cells, margins, power, rounds, stages, targets).select(
+    goals = {f"_{m}": t for m, t in (targets or {}).items()}
+    rates = raked_weights(cells, margins, power, rounds, stages, goals).select(
         *margins, F.round(F.col("w") / F.col("share"), 6).alias("_weight"))
     if rates.count() <= most_cells:
         rates = F.broadcast(rates)
