@@ -28,12 +28,37 @@ def words_of(text: str) -> list[str]:
     return [w for w in LETTERS.findall(text.lower()) if w.isalpha()] if text else []
 
 
-def features(word: str) -> list[str]:
-    """Affixes up to four letters, bigrams and trigrams with the word's edges, and the word itself."""
-    edged = f"^{word[:60]}$"  # n-grams of a word beyond 60 letters add nothing about its language
-    return [f"w {word}",
-            *[f"p {word[:k]}" for k in range(1, 5)], *[f"s {word[-k:]}" for k in range(1, 5)],
-            *{edged[i:i + n] for n in (2, 3) for i in range(len(edged) - n + 1)}]
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def features(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, feature) pairs of many words; a feature is a 64-bit hash.
+
+    Features are prefixes and suffixes up to four letters, bigrams and trigrams
+    with the word's edges, and the word itself as its lexicon entry.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    begin = np.cumsum(sizes + 2) - sizes - 2  # where each edged word begins
+    c = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    word = np.repeat(np.arange(len(words)), sizes + 2)
+    left = np.arange(len(c)) - begin[word]
+    right = sizes[word] + 1 - left
+    rows, cols = [], []
+    chain = np.full(len(c), 7, np.uint64)
+    for n in range(1, 5):  # chain: hash of the n characters from each place on
+        chain = mixed(chain[:len(c) - n + 1] + c[n - 1:])
+        place = np.arange(len(chain))
+        for kind, has in ((1, (left[place] == 1) & (right[place] >= n)), (2, (right[place] == n) & (left[place] >= 1)),
+                          (3, (right[place] >= n - 1) if n in (2, 3) else None)):
+            if has is not None:
+                rows.append(word[:len(chain)][has])
+                cols.append(mixed(chain[has] + np.uint64(kind)))
+    power = mixed(left.astype(np.uint64) + np.uint64(99)) | np.uint64(1)
+    rows.append(np.arange(len(words)))
+    cols.append(mixed(np.add.reduceat(c * power, begin) + np.uint64(4)) if len(words) else np.empty(0, np.uint64))
+    return np.concatenate(rows), np.concatenate(cols)
 
 
 def forward_backward(emit: Sequence[np.ndarray], start: np.ndarray, move: np.ndarray,
@@ -84,7 +109,7 @@ class LanguageField:
     def __init__(self, labels: list[str]):
         self.labels = labels
         self.start, self.move = np.zeros(len(labels)), np.zeros((len(labels), len(labels)))
-        self.number: dict[str, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted features, one row of weights each
         self.weight = np.zeros((0, len(labels)))
 
     @classmethod
@@ -108,20 +133,16 @@ class LanguageField:
             return self
         seen = Counter(words)
         entry = {w: i for i, w in enumerate(seen)}
-        found = [features(w) for w in seen]
-        common = Counter()
-        for w, fs in zip(seen, found, strict=True):
-            for f in fs:
-                common[f] += seen[w]
-        self.number = {f: i for i, f in enumerate(f for f, n in common.items() if n >= 3)}
-        ids = [[self.number[f] for f in fs if f in self.number] for fs in found]
-        row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-        col = np.array([i for x in ids for i in x], np.int64)
+        row, found = features(list(seen))
+        every, col = np.unique(found, return_inverse=True)
+        times = np.bincount(col, weights=np.fromiter(seen.values(), float, len(seen))[row])
+        self.known = every[times >= 3]
+        row, col = self.look_up(row, found)
         x = np.array([entry[w] for w in words])
         y = np.array(labels)
         spans = [slice(a, min(a + sequence, len(x))) for a in range(0, len(x), sequence)]
 
-        theta = [np.zeros((len(self.number), k)), np.zeros(k), np.zeros((k, k))]
+        theta = [np.zeros((len(self.known), k)), np.zeros(k), np.zeros((k, k))]
         first, second = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
         gold_move, gold_start = np.zeros((k, k)), np.zeros(k)
         for s in spans:
@@ -139,7 +160,7 @@ class LanguageField:
             for j in range(k):
                 expect[:, j] = np.bincount(x, weights=flat[:, j], minlength=len(entry))
             diff = gold - expect
-            grad_w = np.stack([np.bincount(col, weights=diff[row, j], minlength=len(self.number)) for j in range(k)], axis=1)
+            grad_w = np.stack([np.bincount(col, weights=diff[row, j], minlength=len(self.known)) for j in range(k)], axis=1)
             grads = [grad_w / len(x) - shrink * theta[0], (gold_start - sum(q[0] for q in p)) / len(spans),
                      (gold_move - moves) / len(x) - shrink * theta[2]]
             for t, g, a, b in zip(theta, grads, first, second, strict=True):
@@ -149,18 +170,40 @@ class LanguageField:
         self.weight, self.start, self.move = theta
         return self
 
-    def score(self, word: str) -> np.ndarray:
-        ids = [i for i in map(self.number.get, features(word)) if i is not None]
-        return self.weight[ids].sum(axis=0)
+    def look_up(self, row: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of (word, feature) pairs those with a weight, and its row."""
+        at = np.minimum(np.searchsorted(self.known, found), max(len(self.known) - 1, 0))
+        hit = self.known[at] == found if len(self.known) else np.zeros(len(found), bool)
+        return row[hit], at[hit]
+
+    def scores(self, words: Sequence[str]) -> np.ndarray:
+        """Label scores of each word: the weights of its features, summed."""
+        row, col = self.look_up(*features(words))
+        return np.stack([np.bincount(row, weights=self.weight[col, j], minlength=len(words)) for j in range(len(self.labels))], axis=1)
 
-    def read(self, texts: Sequence[str], known: dict[str, int], scores: list[np.ndarray]) -> list[np.ndarray]:
-        """Label probabilities of the words of each text. ``known`` and ``scores`` remember words."""
+    def read(self, texts: Sequence[str], memory: Memory) -> list[np.ndarray]:
+        """Label probabilities of the words of each text."""
         cut = [words_of(t) for t in texts]
-        for w in {w for words in cut for w in words if w not in known}:
-            known[w] = len(scores)
-            scores.append(self.score(w))
-        table = np.array(scores) if scores else np.zeros((0, len(self.labels)))
-        return forward_backward([table[[known[w] for w in words]] for words in cut], self.start, self.move)
+        known = memory.known
+        new = list({w for words in cut for w in words if w not in known})
+        for k in range(0, len(new), 20_000):
+            memory.add(new[k:k + 20_000], self.scores(new[k:k + 20_000]))
+        return forward_backward([memory.table[[known[w] for w in words]] for words in cut], self.start, self.move)
+
+
+class Memory:
+    """Scores of the words met so far."""
+
+    def __init__(self, labels: int):
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((1024, labels))
+
+    def add(self, words: list[str], scores: np.ndarray) -> None:
+        n = len(self.known)
+        while n + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[n:n + len(words)] = scores
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
 
 
 def held_out(key: Column) -> Column:
@@ -195,7 +238,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 
 def identify(docs: DataFrame, field: LanguageField, text: str = "text", out: str = "lang_pred", score: str = "score",
-             words_kept: int = 150_000, chars_at_once: int = 1_000_000) -> DataFrame:
+             words_kept: int = 150_000, chars_at_once: int = 4_000_000) -> DataFrame:
     """``docs`` with the language of each whole text in ``out`` and its mean probability over the words in ``score``.
 
     Texts that are null or have no letter get ``und`` and 0; so do all texts
@@ -205,8 +248,7 @@ def identify(docs: DataFrame, field: LanguageField, text: str = "text", out: str
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
-        scores: list[np.ndarray] = []
+        memory = Memory(len(field.labels))
         for batch in batches:
             group: list[str] = []
             held = 0
@@ -214,9 +256,9 @@ def identify(docs: DataFrame, field: LanguageField, text: str = "text", out: str
                 group.append(t or "")
                 held += len(group[-1])
                 if held >= chars_at_once or i == len(batch):
-                    if len(known) > words_kept:
-                        known, scores = {}, []
-                    read = field.read(group, known, scores) if field.labels else [()] * len(group)
+                    if len(memory.known) > words_kept:
+                        memory = Memory(len(field.labels))
+                    read = field.read(group, memory) if field.labels else [()] * len(group)
                     means = [p.mean(axis=0) if len(p) else None for p in read]
                     yield pd.DataFrame({
                         "lang": ["und" if m is None else field.labels[int(m.argmax())] for m in means],

@@ -188,7 +188,7 @@ def test_languages_of_words_and_texts(spark):
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got.values())
     assert all(got[i].lang_pred == lang for i, _, lang in rows[:120])
     assert [got[i].lang_pred for i in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "en", "de"]
-    mixed = field.read([f"{ENGLISH} {GERMAN}"], {}, [])[0].argmax(axis=1)
+    mixed = field.read([f"{ENGLISH} {GERMAN}"], crf_languages.Memory(2))[0].argmax(axis=1)
     n = len(ENGLISH.split())
     assert (mixed[:n] == 1).mean() > 0.9 and (mixed[n:] == 0).mean() > 0.9
 
