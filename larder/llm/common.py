@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -40,10 +41,15 @@ class Stages:
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path, _ = self.paths[id(t)]
+            path, _ = self.paths.pop(id(t))
             where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of finished steps now, rather than when the driver next collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def text_bytes(df: DataFrame, text: str) -> int:
     """Bytes of a text column: the planner's figure where it comes from files, else counted."""

@@ -304,6 +304,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     words = [bytes(r[0]) for r in word_tables(merged.where("kind = 'words'").select("part", "blob")).select("blob").toLocalIterator()]
     small = {k: [bytes(r[0]) for r in merged.where(F.col("kind") == k).select("blob").toLocalIterator()] for k in ("sizes", "hot")}
     model = Model(words, small["sizes"], small["hot"])
+    stages.release()
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     out = score(rows, merged.where("kind = 'pairs'").select("part", "blob"), model, shards, tokens_at_once)
     return stages.keep(out.select("id", "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")

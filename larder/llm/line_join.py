@@ -66,6 +66,10 @@ def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, s
         F.transform(F.slice("codes", 1, F.col("n") - need + 1), lambda c: c.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix")), "lines")
     sets = stages.keep(lines.groupBy("h1", "h2").agg(
         F.min(F.struct("id", "no")).alias("at"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")]), "sets")
+    # from here on a line is known by its set only
+    full, lines = lines, stages.keep(lines.select("id", "no", "h1", "h2"), "lines")
+    stages.drop(full)
+    stages.release()
     entries = sets.select("at", "n", "sketch", F.posexplode("prefix").alias("place", "word"))
 
     def close(a: str, b: str) -> Column:
@@ -92,8 +96,11 @@ def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, s
         both = pairs.join(found.select(F.col("at").alias("a"), F.col("codes").alias("x")), "a").join(
             stages.again(found).select(F.col("at").alias("b"), F.col("codes").alias("y")), "b")
         shared = F.size(F.array_intersect("x", "y"))
-        return stages.keep(both.where(shared >= F.ceil(threshold / (1 + threshold) * (F.size("x") + F.size("y")) - 1e-9))
-                           .select(F.col("a").alias("at")).distinct(), "similar")
+        out = stages.keep(both.where(shared >= F.ceil(threshold / (1 + threshold) * (F.size("x") + F.size("y")) - 1e-9))
+                          .select(F.col("a").alias("at")).distinct(), "similar")
+        stages.drop(pairs, found)
+        stages.release()
+        return out
 
     # First the earliest line of each rare word only: it settles most near copies at one comparison each
     first = entries.where("place < 4").select("word", "at", "n", "sketch", "place")
@@ -106,8 +113,11 @@ def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, s
         (F.col("b.at") < F.col("a.at")) & close("a", "b"))
     rest = verified(stages.keep(near.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "pairs"))
     similar = settled.unionByName(rest).withColumn("similar", F.lit(True))
-    sets = sets.select("h1", "h2", "at").join(similar, "at", "left").select("h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar"))
-    return lines, sets
+    told = stages.keep(sets.select("h1", "h2", "at").join(similar, "at", "left").select(
+        "h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar")), "told")
+    stages.drop(sets)
+    stages.release()
+    return lines, told
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:

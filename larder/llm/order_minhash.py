@@ -178,6 +178,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     buckets = buckets.select("rep", bucket.alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
     buckets = stages.keep(buckets.join(shared, "bucket", "left_semi"), "buckets")
+    stages.release()
     texts = stages.keep(
         docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(buckets.select("rep").distinct(), "rep", "left_semi"),
         "texts")
@@ -223,6 +224,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         now = stages.keep(left.select("bucket", "rep").join(found, "rep", "left").select(
             "bucket", "rep", F.coalesce("group", "rep").alias("group")), "now")
         several = now.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("bucket")
+        stages.release()
         left = stages.keep(now.join(several, "bucket", "left_semi"), "left")
         if left.isEmpty():
             break
