@@ -45,7 +45,7 @@ def base_url(parts: Column) -> Column:
     """``scheme://domain`` of a seed; NULL for a seed without a domain (to be rejected)."""
     return F.when(
         parts["domain"].isNotNull(),
-        F.concat(F.coalesce(parts["scheme"], F.lit("None")), F.lit("://"), parts["domain"]),
+        F.concat(F.coalesce(parts["scheme"], F.lit("https")), F.lit("://"), parts["domain"]),
     )
 
 

@@ -302,4 +302,6 @@ def image_plan(
         F.when(parts["domain"].isNull(), F.concat(F.lit(site), parts["path"])).otherwise(F.col("_src")).alias("image_url"),
         image_file_name("_src", "path").alias("file_name"),
     )
-    return plan.dropDuplicates(["file_name"]).join(images.select("file_name").distinct(), "file_name", "left_anti")
+    # of several addresses for one file the first by (path, address), the same at every run
+    first = plan.groupBy("file_name").agg(F.min(F.struct("path", "image_url")).alias("_first")).select("_first.*", "file_name")
+    return first.join(images.select("file_name").distinct(), "file_name", "left_anti")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.dom import parse_pages
@@ -17,8 +17,7 @@ from larder.operators.joins import spread_join
 from larder.operators.ranking import with_running
 from larder.session import materialize, stage_path
 
-# The last listing page ever asked for, and the heading behind the last one.
-LISTING_CAP = 2500
+# Fixed value: the heading behind the last listing page.
 END_HEADING = r"(?i)Don't\s+Cry"
 
 
@@ -43,7 +42,8 @@ def reach(
         level = spark.createDataFrame([(p,) for p in sorted(set(seeds))], "path string")
     edges = materialize(edges.select("src", "dst"), "edges")
     if redirects is not None:
-        redirects = redirects.select("old_path", "new_path").dropDuplicates(["old_path"])
+        # one target a page, the same at every level
+        redirects = materialize(redirects.groupBy("old_path").agg(F.min("new_path").alias("new_path")), "redirects")
     depth = 0
     while True:
         if redirects is not None:
@@ -156,15 +156,19 @@ def resume(state: DataFrame, domain: str, seed: str) -> DataFrame:
 
 
 def listing_scan(
-    pages: DataFrame, visited: DataFrame, start: int = 1, cap: int = LISTING_CAP, stop_after_seen: int | None = None
+    pages: DataFrame, visited: DataFrame, start: int = 1, last: int | None = None, stop_after_seen: int | None = None
 ) -> DataFrame:
     """(page_no, state) of a scan over numbered listing pages.
 
     ``pages(page_no, is_end)``; visited pages are skipped, missing ones errored,
     and the scan ends before the first unvisited page with ``is_end``. With
-    ``stop_after_seen`` it also ends once that many visited pages were met.
+    ``stop_after_seen`` it also ends once that many visited pages were met. Pages
+    up to ``last`` are asked for; without it, up to the highest page known.
     """
-    numbers = pages.sparkSession.range(start, cap + 1).select(F.col("id").alias("page_no"))
+    if last is None:
+        known = pages.select("page_no").union(visited.select("page_no")).agg(F.max("page_no").alias("n")).first()
+        last = known["n"] or 0
+    numbers = pages.sparkSession.range(start, max(last, start - 1) + 1).select(F.col("id").alias("page_no"))
     seen = visited.select("page_no").distinct().withColumn("seen", F.lit(True))
     scan = (
         numbers.join(seen, "page_no", "left")
@@ -172,11 +176,9 @@ def listing_scan(
         .withColumn("seen", F.coalesce("seen", F.lit(False)))
     )
     if stop_after_seen is not None:
-        # at most ``cap`` rows, so one window is enough
-        w = Window.orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-        met = F.coalesce(F.sum(F.col("seen").cast("int")).over(w), F.lit(0))
-        scan = scan.withColumn("_met", met).where(F.col("_met") < stop_after_seen)
+        counted = with_running(scan.withColumn("_one", F.col("seen").cast("int")), [F.col("page_no")], {"_met": "_one"})
+        scan = counted.where(F.col("_met") - F.col("_one") < stop_after_seen)
     ends = pages.where(F.col("is_end")).join(seen, "page_no", "left_anti").where(F.col("page_no") >= start)
     end = ends.agg(F.min("page_no").alias("n")).scalar()
-    scan = scan.where(~F.col("seen") & (F.col("page_no") < F.coalesce(end, F.lit(cap + 1))))
+    scan = scan.where(~F.col("seen") & (F.col("page_no") < F.coalesce(end, F.lit(last + 1))))
     return scan.select("page_no", F.when(F.col("is_end").isNull(), "errored").otherwise("finished").alias("state"))

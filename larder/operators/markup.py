@@ -8,7 +8,7 @@ from __future__ import annotations
 import html
 import re
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -33,13 +33,12 @@ IMPLIED_END = {
 }
 OPENS_WITH_CARE = ENDS_PARAGRAPH | set(IMPLIED_END)
 
-# Groups: all of it; script or style with its attributes and content; slash, tag and attributes of others.
-_TOKEN = re.compile(
-    r"(<(?:!--.*?(?:-->|\Z)|[!?][^>]*>"
-    r"|(script|style)\b([^>]*)>.*?(?:</\2\s*>|\Z)"
-    r"|(/?)([a-z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*|[^>]*)>))",
-    re.S | re.I,
-)
+# Elements whose content is text: as it stands, or with character references.
+RAW_TEXT = frozenset(("script", "style"))
+DECODED_TEXT = frozenset(("title", "textarea"))
+
+_NAME = re.compile(r"[a-z][^\s/>]*", re.I)
+_TO_QUOTE = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 # What an element holds so far.
@@ -54,6 +53,88 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+class _Tags:
+    """Finds where tags end, each part of a source being read a bounded number of times."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last = {q: source.rfind(q) for q in ">\"'"}
+        self.dead: set[int] = set()  # places outside quotes from which no tag end follows
+
+    def end(self, at: int) -> int:
+        """Place of the ">" that ends the tag read up to ``at``, or -1.
+
+        Quotes enclose any character; where a quote is never closed, the next
+        ">" ends the tag.
+        """
+        if self.last[">"] < at:
+            return -1
+        source, start, passed = self.source, at, []
+        while at not in self.dead:
+            passed.append(at)
+            at = _TO_QUOTE.match(source, at).end()
+            if at >= len(source):
+                break
+            if source[at] == ">":
+                return at
+            if self.last[source[at]] == at:
+                break
+            at = source.find(source[at], at + 1) + 1
+        self.dead.update(passed)
+        return source.find(">", start)
+
+
+def _closes_itself(rest: str) -> bool:
+    """Whether what follows a tag's name ends in a slash that is not part of an unquoted value."""
+    if not rest.endswith("/"):
+        return False
+    tail = rest.rsplit(None, 1)[-1]
+    value = tail.partition("=")[2]
+    return not (value and '"' not in value and "'" not in value)
+
+
+def _pieces(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """The source in order: (from, to, kind, tag, attributes); kind is text, raw, open, close, comment or mark."""
+    tags, size, at, begun = _Tags(source), len(source), 0, 0
+    while True:
+        lt = source.find("<", at)
+        if lt < 0:
+            break
+        if lt > tags.last[">"] and not source.startswith("<!--", lt):  # no tag ends any more; a comment may still begin
+            lt = source.find("<!--", lt)
+            if lt < 0:
+                break
+        nxt = source[lt + 1 : lt + 2]
+        name = _NAME.match(source, lt + 1 + (nxt == "/"))
+        kind = tag = rest = ""
+        end = -1
+        if source.startswith("<!--", lt):
+            end = source.find("-->", lt + 4)
+            kind, end = "comment", size if end < 0 else end + 3
+        elif nxt in ("!", "?"):
+            kind, end = "mark", source.find(">", lt) + 1
+        elif name:
+            stop = tags.end(name.end())
+            if stop >= 0:
+                kind, end = "close" if nxt == "/" else "open", stop + 1
+                tag, rest = name[0].lower(), source[name.end() : stop]
+        if end <= 0:
+            at = lt + 1
+            continue
+        if lt > begun:
+            yield begun, lt, "text", "", ""
+        yield lt, end, kind, tag, rest
+        at = begun = end
+        if kind == "open" and tag in RAW_TEXT | DECODED_TEXT:
+            close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(source, end)
+            at = size if close is None else close.start()
+            if at > end:
+                yield end, at, "raw" if tag in RAW_TEXT else "text", "", ""
+            begun = at
+    if begun < size:
+        yield begun, size, "text", "", ""
+
+
 class Page:
     """Text of one page, and its elements as parallel lists in document order.
 
@@ -108,30 +189,24 @@ class Page:
     def _read(self, source: str) -> None:
         ids, names, holds, is_open = self._ids, self._names, self._holds, self._open
         text: list[str] = []
-        size = at = 0
-        tokens = iter(_TOKEN.split(source))  # text, the groups of a match, text, ...
-        for piece in tokens:
-            if piece:
-                at += len(piece)
+        size = 0
+        for before, at, kind, tag, rest in _pieces(source):
+            if kind == "text":
+                piece = source[before:at]
                 if "&" in piece:
                     piece = html.unescape(piece)
                 text.append(piece)
                 size += len(piece)
                 if ids:
                     holds[ids[-1]] = _MORE if holds[ids[-1]] else _ONE_TEXT
-            whole = next(tokens, None)
-            if whole is None:
-                break
-            raw, raw_rest, slash, tag, rest = next(tokens), next(tokens), next(tokens), next(tokens), next(tokens)
-            before, at = at, at + len(whole)
-            if raw:
-                tag, rest = raw, raw_rest
-            elif tag is None:
-                if ids and whole.startswith("<!--"):
+                continue
+            if kind == "raw":
+                continue
+            if kind in ("comment", "mark"):
+                if ids and kind == "comment":
                     holds[ids[-1]] = _MORE
                 continue
-            tag = tag.lower()
-            if slash:
+            if kind == "close":
                 if is_open.get(tag):
                     level = len(names) - 1
                     if names[level] != tag:
@@ -157,7 +232,7 @@ class Page:
             self.begin.append(before)
             self.to.append(at)
             holds.append(_NOTHING)
-            if not raw and tag not in VOID and not rest.endswith("/"):
+            if tag not in VOID and not _closes_itself(rest):
                 ids.append(number)
                 names.append(tag)
                 is_open[tag] = is_open.get(tag, 0) + 1

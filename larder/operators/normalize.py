@@ -13,8 +13,6 @@ from larder.operators.joins import spread_join
 from larder.session import materialize
 
 
-# Up to this many distinct lines the parsed table is sent to every executor.
-BROADCAST_LINES = 100_000
 # A line is hot above one part in this many; there are fewer hot lines than that.
 HOT_PARTS = 1000
 
@@ -23,17 +21,15 @@ def normalize(df: DataFrame, spread: Sequence[str], line: str = "line") -> DataF
     """Parse every distinct line once and give the result back to each row.
 
     Lines repeat heavily, so the parse runs on the distinct texts, counted with
-    a map-side combine and stored. A stored table of proven small size is
-    broadcast. Beyond that the hot lines, fewer than ``HOT_PARTS`` by their
-    share, are broadcast, and all other rows meet their line in a shuffle in
-    which the hot rows travel under keys made from ``spread``.
+    a map-side combine and stored. The plan is the same at every size: the hot
+    lines, fewer than ``HOT_PARTS`` by their share, are broadcast, and all other
+    rows meet their line in a join for which the planner sees the stored table's
+    bytes; where that shuffles, hot rows travel under keys made from ``spread``.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = df.where(F.col(line).isNotNull()).groupBy(line).agg(F.count(F.lit(1)).alias("_rows"))
     table = materialize(parse_lines(texts.repartition(n), line), "lines")
     parsed = [c for c in table.columns if c not in (line, "_rows")]
-    if table.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
-        return df.join(F.broadcast(table.drop("_rows")), line, "left")
     return join_hot_apart(df, table, line, parsed, spread)
 
 

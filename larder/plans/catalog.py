@@ -71,7 +71,7 @@ def url_and_link() -> dict[str, Query]:
             F.concat(F.lit("//"), dom_, path),
             F.concat(F.lit("/.."), path),
             path,
-            F.substring(path, 2, 1000),
+            F.substring(path, F.lit(2), F.length(path)),
             F.concat(F.lit("//"), dom_),
         )
         return p.select("page_id", F.posexplode(forms).alias("form", "href"))

@@ -202,10 +202,10 @@ lost(path, depth) AS (SELECT '/lost/' || r_regionkey, 2 FROM region)"""
 
 LISTING = """
 numbered AS (SELECT DISTINCT o_orderkey // 10 + 1 AS page_no FROM orders),
-lim AS (SELECT least(CAST(ceil(max(page_no) / 2) AS BIGINT), 2400) AS sentinel, max(page_no) AS last FROM numbered),
+lim AS (SELECT CAST(ceil(max(page_no) / 2) AS BIGINT) AS sentinel, max(page_no) AS last FROM numbered),
 scan AS (
   SELECT n.range AS page_no, n.range % 3 = 1 AND n.range <= last AS seen, n.range > last AS absent, sentinel
-  FROM range(1, 2501) n, lim)"""
+  FROM range(1, (SELECT max(page_no) FROM numbered) + 1) n, lim)"""
 
 
 def crawl() -> dict[str, str]:

@@ -98,7 +98,7 @@ def test_listing(spark):
     assert got == {1: "finished", 3: "errored", 5: "finished"}
     assert {r.page_no for r in frontier.listing_scan(pages, seen, start=4).collect()} == {5}
     assert {r.page_no for r in frontier.listing_scan(pages, seen, stop_after_seen=1).collect()} == {1}
-    no_end = frontier.listing_scan(pages.where("page_no < 5"), seen, cap=10).collect()
+    no_end = frontier.listing_scan(pages.where("page_no < 5"), seen, last=10).collect()
     assert {r.page_no: r.state for r in no_end if r.state == "errored"} == {n: "errored" for n in (3, 5, 6, 7, 8, 9, 10)}
 
 

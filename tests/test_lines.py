@@ -65,9 +65,8 @@ def test_normalize_gives_every_row_its_line(spark):
         assert v == (("milk", 1.0) if i % 3 == 0 else ("flour", float(i % 50 + 1)))
 
 
-def test_large_tables_keep_hot_lines_apart(spark, monkeypatch):
-    """The way taken when the distinct lines are too many to broadcast; a NULL line stays a row."""
-    monkeypatch.setattr(N, "BROADCAST_LINES", 10)
+def test_hot_lines_go_apart(spark, monkeypatch):
+    """Hot lines are broadcast, others joined; a NULL line stays a row."""
     monkeypatch.setattr(N, "HOT_PARTS", 5)
     df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "1 cup milk").when(F.col("id") % 100 == 1, None).otherwise(
         F.concat((F.col("id") % 70 + 1).cast("string"), F.lit(" cups flour"))).alias("line"))

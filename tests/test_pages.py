@@ -1,5 +1,7 @@
 """Parsing, selection, extraction: edge rows."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,22 @@ def test_output_batches_are_cut(spark):
     df = spark.range(50).select("id", F.lit("<p>a<p>b").alias("html")).coalesce(1)
     got = dom.parse_pages(df, nodes_per_batch=7)
     assert got.where(F.size("nodes") == 2).count() == 50
+
+
+@pytest.mark.parametrize("piece", ['<a href="x', "<a '>\" <b \">'", '<a ">" ', "<p 'x>", "<!-", "</p \"", "<title>", "<script"])
+def test_stray_quotes_are_read_in_linear_time(piece):
+    """A hundred times the length must not take much more than a hundred times as long."""
+    def seconds(times):
+        start = time.process_time()
+        Page(piece * times)
+        return time.process_time() - start
+
+    assert seconds(200_000) < 300 * max(seconds(2_000), 0.005)
+
+
+def test_slashes_and_text_elements():
+    p = Page('<a href=/recipes/>text</a><br/><i class="x"/><title>a<b &amp; c</title><textarea><p></textarea><b/>t')
+    at = {t: i for i, t in enumerate(p.tag)}
+    assert p.tag == ["a", "br", "i", "title", "textarea", "b"] and p.attrs[at["a"]] == {"href": "/recipes/"}
+    shown = {t: p.text[p.start[i]:p.stop[i]] for t, i in at.items()}
+    assert shown == {"a": "text", "br": "", "i": "", "title": "a<b & c", "textarea": "<p>", "b": ""}
