@@ -61,6 +61,7 @@ def standardize_ending(word: Column | str) -> Column:
         exceptions = exceptions.when(w == plural, F.lit(singular))
     return (
         exceptions.when(w.rlike(r"..ies$"), F.concat(F.substring(w, F.lit(1), n - 3), F.lit("y")))
+        .when(w.rlike(r"(?:ea|oa|al|el)ves$"), F.concat(F.substring(w, F.lit(1), n - 3), F.lit("f")))
         .when(w.rlike(r".oes$"), F.substring(w, F.lit(1), n - 2))
         .when(w.rlike(r"(?:ch|sh|s|x|z)es$"), F.substring(w, F.lit(1), n - 2))
         .when(w.rlike(r".oe$"), F.substring(w, F.lit(1), n - 1))
@@ -89,8 +90,11 @@ def spelled_numbers(c: Column | str) -> Column:
     t = F.regexp_replace(t, r"\b(\d+) and (?:an? |1 )?/(\d)\b", "$1 1/$2")
     t = F.regexp_replace(t, r"\b(\d+) /(\d)\b", "$1/$2")
     t = F.regexp_replace(t, r"^(?:an? )?/(\d)\b", "1/$1")
+    t = F.regexp_replace(t, r"^1/(\d) an? ", "1/$1 ")
+    for n in range(1, 13):  # dozens
+        t = F.regexp_replace(t, rf"(?:\b{n} |^an? )dozen\b" if n == 1 else rf"\b{n} dozen\b", str(12 * n))
     t = F.replace(F.replace(t, F.lit(" /2"), F.lit(" half")), F.lit(" /4"), F.lit(" quarter"))
-    has_words = rf"^an? |\b(?:{_words_of(voc.NUMBER_WORDS)}|{_words_of(voc.FRACTION_WORDS)})\b"
+    has_words = rf"^an? |\bdozen\b|\b(?:{_words_of(voc.NUMBER_WORDS)}|{_words_of(voc.FRACTION_WORDS)})\b"
     t = F.regexp_replace(F.regexp_replace(t, r"^an? (?=\d)", ""), r"^an? ", "1 ")
     return F.when(col(c).rlike(has_words), t).otherwise(col(c))
 
@@ -104,6 +108,7 @@ def plain_text(line: Column | str) -> Column:
     """Lower case, digits apart from letters, punctuation as words, single blanks."""
     t = F.lower(remove_accents(fraction_glyphs(line)))
     t = F.regexp_replace(t, r"[<>|#§]", " ")
+    t = F.regexp_replace(t, r"(?<=\d),(?=\d{3}(?!\d))", "")  # thousands
     t = remove_brands(standardize_characters(remove_dimensions(remove_percentage(t))))
     # 3-1/2 and 15.1/2 are mixed numbers; 5-pound and 3cups are two words; 'low -fat' is one
     t = F.regexp_replace(t, r"(?<=\d)(?:[-.](?=\d+/\d)|-(?=[a-z]))", " ")

@@ -39,6 +39,9 @@ FIRMLY_PACKED, SCANT, LARGE, VERY_SMALL = 1.2, 0.9, 1.2, 0.8
 NUMBER_WORDS = {
     "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
     "eight": "8", "nine": "9", "ten": "10", "eleven": "11", "twelve": "12", "few": "3",
+    "thirteen": "13", "fourteen": "14", "fifteen": "15", "sixteen": "16", "seventeen": "17", "eighteen": "18",
+    "nineteen": "19", "twenty": "20", "thirty": "30", "forty": "40", "fifty": "50", "sixty": "60", "seventy": "70",
+    "eighty": "80", "ninety": "90", "hundred": "100",
 }
 FRACTION_WORDS = {
     "half": "/2", "halves": "/2", "third": "/3", "thirds": "/3", "fourth": "/4", "fourths": "/4",

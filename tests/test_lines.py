@@ -38,6 +38,14 @@ def test_golden(parsed, line, cleaned, volume, weight, count):
         (L.standardize_characters, "mac&cheese", "mac and cheese"),
         (L.standardize_characters, "mac-and-cheese", "mac and cheese"),
         (L.standardize_ending, "strawberries", "strawberry"),
+        (L.standardize_ending, "leaves", "leaf"),
+        (L.standardize_ending, "loaves", "loaf"),
+        (L.standardize_ending, "olives", "olive"),
+        (L.plain_form, "1,000 grams flour", "1000 grams flour"),
+        (L.plain_form, "fifteen olives", "15 olives"),
+        (L.plain_form, "1 dozen eggs", "12 eggs"),
+        (L.plain_form, "two dozen eggs", "24 eggs"),
+        (L.plain_form, "half a lemon", "1/2 lemon"),
         (L.standardize_ending, "cookies", "cookie"),
         (L.standardize_ending, "tomatoe", "tomato"),
         (L.standardize_ending, "peaches", "peach"),
