@@ -144,7 +144,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     In a bucket of candidates each member is aligned with the bucket's leaders
     rather than with everyone: first with the smallest key, then, for what that
-    leaves unlinked, with ``leaders`` more at a time until the bucket is used up.
+    leaves unlinked, with ``leaders`` more, then four times as many, and so on
+    until the bucket is used up.
     Pairs inside a group already found are not aligned again, so a group of many
     near copies costs about one alignment a text.
     """
@@ -216,8 +217,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         told = pairs.join(stages.again(texts).withColumnRenamed("text", "a"), "rep").join(
             texts.select(F.col("rep").alias("leader"), F.col("text").alias("b")), "leader")
         new = stages.keep(told.select("rep", "leader", linked("a", "b").alias("same")).where("same").select("rep", "leader"), "links")
-        edges = new if edges is None else stages.keep(edges.unionByName(new), "edges")
-        found = components(edges, stages, "leader", "rep").select(F.col("node").alias("rep"), F.col("component").alias("group"))
+        grown = edges is None or not new.isEmpty()
+        edges = new if edges is None else stages.keep(edges.unionByName(new), "edges") if grown else edges
+        if grown:
+            found = components(edges, stages, "leader", "rep").select(F.col("node").alias("rep"), F.col("component").alias("group"))
         if slots > 1:  # leaders have met their whole bucket, and stand for their group in it
             of = heads.select("bucket", F.col("leader").alias("rep"))
             left = left.join(of, ["bucket", "rep"], "left_anti")
@@ -228,7 +231,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         left = stages.keep(now.join(several, "bucket", "left_semi"), "left")
         if left.isEmpty():
             break
-        slots = leaders
+        slots = max(leaders, 4 * slots)
     member = rows.join(classes.select(*same, "rep"), same).join(found, "rep", "left").select(
         "id", F.coalesce("group", "rep").alias("group")).distinct()
     return docs.select(F.col(key).alias("id")).join(member, "id", "left").select(
