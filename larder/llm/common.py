@@ -27,9 +27,11 @@ class Stages:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.paths = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", {}
+        self.made = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.base}/{name}-{len(self.paths)}"
+        self.made += 1  # a name is never used again, even when its table was dropped
+        path = f"{self.base}/{name}-{self.made}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
