@@ -144,6 +144,26 @@ def test_perplexities_by_brute_force(spark, hot):
             assert r.log_ppl == pytest.approx(want(text), abs=2e-3)
 
 
+@pytest.mark.parametrize("frequent", [0, 100])
+def test_rare_words_by_brute_force(spark, frequent):
+    rng = random.Random(4)
+    texts = [" ".join(f"c{int(rng.paretovariate(0.4)) % 5000}" for _ in range(50)) for _ in range(100)] + ["one", "new words here"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    out = kneser_ney.perplexities(docs, docs.where("doc_id < 80"), bytes_in_shard=300, tokens_at_once=400, hot_words=frequent).collect()
+    want = brute_model(texts[:80])
+    assert len(out) == len(texts) and all(r.log_ppl == pytest.approx(want(texts[r.id]), abs=2e-3) for r in out)
+
+
+def test_unseen_words_share_no_counts(spark):
+    import xxhash
+
+    met = {}  # words whose hashes are equal modulo 2**20 - 1
+    one, two = next((met[k], w) for w in (f"u{i}" for i in range(100_000)) if met.setdefault(k := xxhash.xxh64_intdigest(w) % ((1 << 20) - 1), w) != w)
+    docs = spark.createDataFrame([(0, f"a {one} b " * 20, "en"), (1, f"a {one} b", "en"), (2, f"a {two} b", "en")], "doc_id long, text string, lang string")
+    got = {r.id: r.log_ppl for r in kneser_ney.perplexities(docs, docs.where("doc_id = 0")).collect()}
+    assert got[2] > got[1] + 1
+
+
 def test_quality_rejects_noise_and_keeps_prose(spark):
     rng = random.Random(5)
     usual = VOCABULARY[:200]
