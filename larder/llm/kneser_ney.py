@@ -483,11 +483,12 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: flo
     """(key, lang, n_words, log_ppl, limit, kept) for each row of ``docs``.
 
     Trusted documents are those labelled quality 1; the model is trained on four
-    fifths of them, and the rest set the limits: per language, the ``quantile``
-    of their log-perplexity plus ``slack``; a language with fewer than ``least``
-    of them uses the limit of all. A document above its limit is rejected. Texts
-    without words, and all documents where nothing is trusted, are kept: nothing
-    speaks against them.
+    fifths of them, and the rest set the limits: per language (null is one), the
+    ``quantile`` of the log-perplexity of its n held-out documents, plus a margin
+    of ``slack * (1 + least / n)``, which widens smoothly as there are fewer. A
+    document above the limit of its language is rejected. Texts without words,
+    and documents of a language that has no held-out trusted document, are kept:
+    nothing speaks against them. Their limit is null.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
     # A first sieve drops most other documents before the join moves their texts: at most 2**20 hash values
@@ -499,10 +500,10 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: flo
     # rounded values: exact quantiles over a few ten thousand distinct numbers at most
     held = scores.join(good.where(in_fold(F.col("_id"))), scores["id"] == F.col("_id"), "left_semi").select(
         "lang", F.round("log_ppl", 3).alias("x")).where("x IS NOT NULL")
-    by_lang = held.groupBy("lang").agg(F.percentile("x", F.lit(quantile)).alias("own"), F.count("x").alias("n")).where(F.col("n") >= least)
-    overall = held.agg(F.percentile("x", F.lit(quantile)).alias("all"))
-    told = scores.withColumn("_lang", F.coalesce("lang", F.lit(""))).join(
-        by_lang.select(F.coalesce("lang", F.lit("")).alias("_lang"), "own"), "_lang", "left").crossJoin(F.broadcast(overall))  # one row
-    limit = F.round(F.coalesce("own", "all") + slack, 4)
+    # null and the empty string are languages of their own
+    named = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    by_lang = held.groupBy(named(F.col("lang")).alias("_lang")).agg(F.percentile("x", F.lit(quantile)).alias("own"), F.count("x").alias("n"))
+    told = scores.withColumn("_lang", named(F.col("lang"))).join(F.broadcast(by_lang), "_lang", "left")  # a row a language
+    limit = F.round(F.col("own") + slack * (1 + least / F.col("n")), 4)
     return told.select(F.col("id").alias(key), "lang", "n_words", "log_ppl", limit.alias("limit"),
                        F.coalesce(F.col("log_ppl") <= limit, F.lit(True)).alias("kept"))

@@ -180,6 +180,20 @@ def test_quality_rejects_noise_and_keeps_prose(spark):
     assert kneser_ney.judge(docs.limit(0), labels).count() == 0
 
 
+def test_rare_languages_have_limits_of_their_own(spark):
+    rng = random.Random(8)
+    usual, other = VOCABULARY[:100], VOCABULARY[1000:1100]
+    rows = [(i, " ".join(rng.choices(usual, k=80)), "en") for i in range(400)]
+    rows += [(1000 + i, " ".join(rng.choices(other, k=80)), "is") for i in range(80)]  # trusted: 40
+    rows += [(2000 + i, " ".join(rng.choices(other, k=40) + [f"x{i}y{k}" for k in range(40)]), lang) for i, lang in enumerate(["fo", None, "en", "is"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(400), *range(1000, 1040)]], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in kneser_ney.judge(docs, labels).collect()}
+    assert all(got[i].kept for i in range(1000, 1080)) and got[1000].limit > got[0].limit + 0.5
+    assert [got[2000 + i].kept for i in range(4)] == [True, True, False, False]  # no trusted text: kept
+    assert got[2000].limit is None and got[2001].limit is None
+
+
 # --- lines --------------------------------------------------------------------------------
 
 
