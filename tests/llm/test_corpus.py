@@ -85,6 +85,22 @@ def test_near_copies(spark):
     assert order_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_recall_where_copies_are_least_alike(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(120):  # similarities from 0.80 to 0.88, changes spread evenly: hardly a 5-mer is left
+        words = prose([6, 12, 38, 45, 60, 100, 400][k % 7], rng)
+        every = rng.choice([5, 6, 7, 8])
+        other = [rng.choice(VOCABULARY) + "'" if i % every == every // 2 else w for i, w in enumerate(words)]
+        while not order_minhash.alike(words, other, 0.8):
+            other[next(i for i, w in enumerate(other) if w != words[i])] = words[next(i for i, w in enumerate(other) if w != words[i])]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(120)) >= 118
+    assert len(set(got.values())) >= 120  # and nothing else
+
+
 def test_order_of_words_counts():
     words = np.arange(400, dtype=np.uint64) * np.uint64(977)
     turned = np.r_[words[200:], words[:200]]  # nearly the same 5-mers, halves swapped
