@@ -2,9 +2,9 @@
 
 For every element the density is its characters per tag, adjusted by its links:
 dense prose scores high, link lists low. The element whose children's densities
-sum highest is the content; on pages that mark no article, other elements join
-it if their density reaches the lowest one on the path from the content up to
-the body. What pages name as menus, notices, adverts, forms or comments carries
+sum highest is the content, with the whole article around it if the page marks
+one; on every page other elements join it if their density reaches the lowest
+one on the path from the content up to the body. What pages name as menus, notices, adverts, forms or comments carries
 no text from the start.
 """
 
@@ -208,11 +208,10 @@ class Page:
             threshold = min(threshold, dense[i])
         chosen = [False] * size
         chosen[best if article < 0 else article] = True
-        if article < 0:
-            for i in range(size):
-                # the body itself is the scope, not a candidate
-                if i != body and self.tag[i] not in ("#page", "html") and chars[i] and dense[i] >= threshold:
-                    chosen[i] = True
+        for i in range(size):
+            # the body itself is the scope, not a candidate
+            if i != body and self.tag[i] not in ("#page", "html") and chars[i] and dense[i] >= threshold:
+                chosen[i] = True
         for i in range(1, size):
             chosen[i] = chosen[i] or chosen[self.parent[i]]
         return [c and not s for c, s in zip(chosen, silent, strict=True)]

@@ -143,6 +143,14 @@ def test_density_picks_prose_over_links():
     assert "entry" not in page.main_text() and "other words" in page.main_text()
 
 
+def test_dense_siblings_of_an_article_join():
+    first, second = ("".join(f"<p>{w} {'words of plain prose ' * 15}</p>" for _ in range(4)) for w in ("one", "two"))
+    links = "".join(f"<li><a href=/{i}>entry {i}</a></li>" for i in range(40))
+    for tag in ("article", "section"):
+        text = text_density.Page(f"<body><ul>{links}</ul><article><h1>T</h1>{first}</article><{tag}>{second}</{tag}></body>").main_text()
+        assert text.count("one") == 4 and text.count("two") == 4 and "entry" not in text
+
+
 # --- language ----------------------------------------------------------------------------
 
 
