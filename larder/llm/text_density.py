@@ -5,7 +5,8 @@ dense prose scores high, link lists low. The element whose children's densities
 sum highest is the content, with the whole article around it if the page marks
 one; on every page other elements join it if their density reaches the lowest
 one on the path from the content up to the body. What pages name as menus, notices, adverts, forms or comments carries
-no text from the start.
+no text from the start. A name counts if it consists of such words only, and not
+inside an article on a heading or on what holds half of its text with few links.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from larder.llm.common import without
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 SILENT = RAW | frozenset(
-    "head nav footer aside form template noscript button select option dialog menu svg math canvas object audio "
-    "video label fieldset datalist dir".split())
+    "head nav footer aside form template noscript button select option dialog menu svg canvas audio video "
+    "fieldset datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike "
     "strong sub sup time tt u var wbr ruby rb rt rp nobr".split())
@@ -46,7 +47,11 @@ NOT_TEXT = COMMENTS | frozenset(
     "sponsored share sharing sharebar social related recommended recommendations newsletter subscribe subscription "
     "signup login breadcrumb breadcrumbs pagination pager popup modal overlay widget widgets masthead skiplink "
     "siteheader sitefooter hidden".split())
+#: May stand beside those in a name ("cookie-bar", "site-footer"); any other word makes it the name of something else.
+BESIDE = frozenset("a the my main site page top bottom left right first last bar box block wrap wrapper container inner outer "
+                   "content area section list item items links link header buttons button icons form post article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+NAMED = NOT_TEXT | BESIDE
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PLAIN = re.compile(r"""[^"'>]*""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -146,6 +151,8 @@ class Page:
                     words & NOT_TEXT or ("header" in words and not inside_article[i])):
                 doubt[i] = True
             out[i] = out[i] or out[up]
+        if any(doubt):
+            self._clear(doubt, out)
         keeps = [False] * size  # holds an article: a name such as "page with sidebar" does not silence it
         for i in range(size - 1, 0, -1):
             keeps[i] |= self.tag[i] in ("article", "main", "h1") and not out[i]
@@ -154,11 +161,39 @@ class Page:
             out[i] = out[i] or out[self.parent[i]] or (doubt[i] and not keeps[i])
         return out
 
+    def _clear(self, doubt: list[bool], out: list[bool]) -> None:
+        """Inside an article or main element, take the doubt from headings and from what cannot be boilerplate.
+
+        That is what holds half of that element's text, at most a fifth of it in links.
+        """
+        size = len(self.tag)
+        chars, links, linked, scope = [0] * size, [0] * size, [False] * size, [0] * size
+        for i in range(1, size):
+            up = self.parent[i]
+            linked[i] = linked[up] or self.tag[i] == "a"
+            scope[i] = up if self.tag[up] in ("article", "main") else scope[up]
+        for i, text in self.texts:
+            if not out[i]:
+                k = len(text.strip())
+                chars[i] += k
+                links[i] += k * linked[i]
+        for i in range(size - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            links[self.parent[i]] += links[i]
+        for i in range(1, size):
+            if doubt[i] and scope[i]:
+                prose = chars[i] * 2 >= chars[scope[i]] and links[i] * 5 <= chars[i]
+                doubt[i] = not (prose or self.tag[i] in ("h1", "h2", "h3", "h4", "h5", "h6"))
+
     def _names(self, i: int) -> tuple[set[str], str, bool]:
         if not self.attrs[i]:
             return set(), "", False
         found = {m[1].lower(): next((v for v in m.groups()[1:] if v is not None), "") for m in ATTRIBUTE.finditer(self.attrs[i])}
-        words = set(re.findall("[a-z]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
+        words: set[str] = set()
+        for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
+            parts = set(re.findall("[^\\W\\d_]+", name))
+            if parts <= NAMED:
+                words |= parts
         style = found.get("style", "").replace(" ", "").lower()
         return words, found.get("role", "").lower(), "hidden" in found or "display:none" in style
 

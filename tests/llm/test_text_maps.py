@@ -151,6 +151,21 @@ def test_dense_siblings_of_an_article_join():
         assert text.count("one") == 4 and text.count("two") == 4 and "entry" not in text
 
 
+def test_names_that_only_look_like_boilerplate():
+    prose = "<p>" + "words of plain prose " * 12 + "</p>"
+    for part in ('<h2 id="related-work">KEPT</h2>', f'<section id="share-prices"><p>KEPT</p>{prose}</section>',
+                 f'<div class="text-widget"><p>KEPT</p>{prose}</div>', '<h2 class="related">KEPT</h2>', "<p>by <label>KEPT</label></p>",
+                 "<p>so <math><mi>KEPT</mi></math></p>", "<dir><li>KEPT</li></dir>", "<object><p>KEPT</p></object>",
+                 '<section id="chemical-reactions"><p>KEPT</p></section>'):
+        assert "KEPT" in text_density.Page(f"<body><article><h1>T</h1>{prose}{part}{prose}</article></body>").main_text()
+    whole = f'<div class="recipe cookies"><h2>KEPT</h2>{prose * 3}</div>'
+    assert "KEPT" in text_density.Page(f"<body><article><h1>T</h1>{whole}</article></body>").main_text()
+    assert "KEPT" in text_density.Page(f'<body><article><h1>T</h1><div class="related">KEPT {prose * 3}</div></article></body>').main_text()
+    for gone in ('<div class="share-bar">GONE</div>', '<div class="cookie-notice">GONE</div>', '<div id="newsletter">GONE</div>',
+                 '<ul class="related-links"><li><a href=/x>GONE</a></li></ul>', "<div class='ad ad-top'>GONE</div>"):
+        assert "GONE" not in text_density.Page(f"<body><article><h1>T</h1>{prose}{gone}{prose}</article></body>").main_text()
+
+
 # --- language ----------------------------------------------------------------------------
 
 
