@@ -10,10 +10,13 @@ around it, which are compared as text.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import Stages
+from larder.operators.normalize import join_hot_apart
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what separates words.
@@ -52,8 +55,8 @@ def gram_hashes(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), one))
 
 
-def fingerprints(texts: DataFrame, keys: list[str], window: int, gram: int, short: list[int]) -> DataFrame:
-    """(keys, place, size, mark): the fingerprints of texts given as words ``w``.
+def fingerprints(texts: DataFrame, keep: list[str], window: int, gram: int, short: list[int]) -> DataFrame:
+    """(keep, place, size, mark): the fingerprints of texts given as words ``w``.
 
     With ``size`` = ``window``: the smallest k-gram of the windows from ``place``
     on. One is given where it changes, and where the k-gram it came from has left
@@ -65,16 +68,37 @@ def fingerprints(texts: DataFrame, keys: list[str], window: int, gram: int, shor
     grams = [F.struct(F.lit(window).alias("size"), F.when(n >= window, gram_hashes(F.col("w"), gram)).alias("g"))]
     grams += [F.struct(F.lit(m).alias("size"), gram_hashes(F.col("w"), m).alias("g")) for m in short]
     # generators, so that what they give is worked out once and not again in each test on it
-    sized = texts.select(*keys, F.inline(F.array(*grams)))
+    sized = texts.select(*keep, F.inline(F.array(*grams)))
     full = F.col("size") == window
     last = F.size("g") - F.when(full, wide).otherwise(1)
-    placed = sized.where("g IS NOT NULL").select(*keys, "size", "g", F.explode(F.sequence(F.lit(0), last)).alias("place"))
+    placed = sized.where("g IS NOT NULL").select(*keep, "size", "g", F.explode(F.sequence(F.lit(0), last)).alias("place"))
     around = F.struct(*[F.get("g", F.col("place") + i - 1).alias(f"g{i}") for i in range(wide + 1)])
-    seen = placed.select(*keys, "size", "place", F.inline(F.array(around)))
+    seen = placed.select(*keep, "size", "place", F.inline(F.array(around)))
     first = F.least(*[f"g{i}" for i in range(1, wide + 1)])
     before = F.least(*[f"g{i}" for i in range(wide)])
     new = (F.col("place") == 0) | (first != before) | (F.col("g0") == before)
-    return seen.where(~full | new).select(*keys, "place", "size", F.when(full, first).otherwise(F.col("g1")).alias("mark"))
+    return seen.where(~full | new).select(*keep, "place", "size", F.when(full, first).otherwise(F.col("g1")).alias("mark"))
+
+
+def sieve(marks: DataFrame, bits_a_mark: int = 64, most_bits: int = 27) -> tuple[Column, int]:
+    """A bit table of ``marks`` as one array of longs, and the binary logarithm of its bits.
+
+    It has 2**16 to 2**``most_bits`` bits (16 MB), so its size is bounded; with more
+    marks it lets more of what is none through, and never stops a mark.
+    """
+    bits = min(max(math.ceil(math.log2(max(marks.count(), 1) * bits_a_mark)), 16), most_bits)
+    place = F.shiftrightunsigned("mark", 64 - bits)
+    filled = marks.groupBy(F.shiftright(place, 6).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))).alias("v"))
+    rows = marks.sparkSession.range(1 << (bits - 6)).select(F.col("id").alias("at")).join(filled, "at", "left")
+    table = rows.agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("v", F.lit(0).cast("long")).alias("v")))).alias("t"))
+    return table.select(F.col("t.v")).scalar(), bits
+
+
+def passes(mark: str, table: Column, bits: int) -> Column:
+    place = F.shiftrightunsigned(mark, 64 - bits)
+    word = F.get(table, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
 
 
 def covered(spans: Column) -> Column:
@@ -103,9 +127,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     count; an item with a null key marks words but is not listed. Only key and
     text of both tables are read, so other columns cannot clash.
 
-    Texts are read twice as whole rows; the join between holds fingerprints, and
-    the second reading keeps texts with a hit only. Nothing is broadcast by force:
-    the planner sees the size of the stored fingerprints of the items.
+    Texts are read twice, and never shuffled: a fingerprint that passes a bit
+    table of the items' fingerprints, whose size is bounded, takes the words of
+    its windows along. Joins are planned by the sizes of stored tables; only the
+    results of texts that each hold over a thousandth of all hit rows are
+    broadcast, fewer than a thousand rows.
     """
     stages = Stages(docs.sparkSession, "winnowing")
     asked = items.select(F.col(item).cast("string").alias("item"), words(F.col(item_text)).alias("w")).where(F.size("w") > 0)
@@ -125,35 +151,34 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).select(
         "id", "t", text_key(F.col("t"), F.col("id")).alias("text"))
-    cut = rows.where("t IS NOT NULL").select("text", folded_words(F.col("t")).alias("w"))
-    found = fingerprints(cut, ["text"], window, gram, short)
-    hits = stages.keep(found.join(marks, ["size", "mark"], "left_semi").select("text", "place", "size").distinct(), "hits")
-    # where the windows of a fingerprint may begin, by text: no more places than the text has words
-    tries = F.when(F.col("size") == window, F.sequence("place", F.col("place") + (window - gram))).otherwise(F.array("place"))
-    places = stages.keep(
-        hits.select("text", "size", F.explode(tries).alias("place")).groupBy("text")
-        .agg(F.collect_set(F.struct("place", "size")).alias("places")), "places")
-    spans = (
-        rows.where("t IS NOT NULL").join(places, "text").dropDuplicates(["text"])
-        .select("text", words(F.col("t")).alias("w"), "places")
-        .select("text", "w", F.explode("places").alias("p"))
-        .where(F.col("p.place") + F.col("p.size") <= F.size("w"))
-        .select("text", "p.place", "p.size", F.array_join(F.slice("w", F.col("p.place") + 1, F.col("p.size")), " ").alias("words"))
-    )
-    spans = stages.keep(spans.join(windows, "words", "left_semi"), "spans")
+    cut = rows.where("t IS NOT NULL").select("text", folded_words(F.col("t")).alias("w"), split_words(F.col("t")).alias("raw"))
+    table, bits = sieve(marks)
+    found = fingerprints(cut, ["text", "raw"], window, gram, short).where(passes("mark", table, bits))
+    # the words of all windows a fingerprint stands for travel with the few that pass
+    reach = F.col("size") + F.when(F.col("size") == window, window - gram).otherwise(0)
+    around = F.transform(F.slice("raw", F.col("place") + 1, reach), lambda w: F.translate(w, UPPER, LOWER))
+    hits = found.select("text", "place", "size", "mark", around.alias("w")).join(marks, ["size", "mark"], "left_semi")
+    tries = hits.select("text", "place", "size", "w", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size"))).alias("i"))
+    spans = tries.select("text", (F.col("place") + F.col("i")).alias("place"), "size",
+                         F.array_join(F.slice("w", F.col("i") + 1, F.col("size")), " ").alias("words"))
+    # copies of one text in a task become one before the shuffle
+    spans = stages.keep(spans.join(windows, "words", "left_semi").distinct(), "spans")
     words_hit = spans.groupBy("text").agg(covered(F.sort_array(F.collect_set(F.struct("place", "size")))).alias("n_hit"))
     items_hit = (
         spans.select("text", "words").distinct().join(windows.where("item IS NOT NULL"), "words")
         .groupBy("text").agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    result = stages.keep(words_hit.join(items_hit, "text", "left").select(
-        "text", "n_hit", F.coalesce(F.size("items"), F.lit(0)).alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("digest")), "result")
-    counted = rows.select("id", "text", F.size(split_words(F.col("t"))).cast("long").alias("n_words"))
-    return counted.join(result, "text", "left").select(
-        F.col("id").alias(key), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    counted = stages.keep(rows.select("id", "text", F.size(split_words(F.col("t"))).cast("long").alias("n_words")), "counted")
+    copies = counted.groupBy("text").agg(F.count(F.lit(1)).alias("_rows"))
+    result = stages.keep(words_hit.join(items_hit, "text", "left").join(copies, "text").select(
+        "text", F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("digest"), "_rows"), "result")
+    # a text that many rows share is not one task: texts above a thousandth of the hit rows are looked up apart
+    joined = join_hot_apart(stages.again(counted), result, "text", ["n_hit", "n_items", "digest"], ["id"])
+    n_hit, n_items = (F.coalesce(c, F.lit(0).cast("long")) for c in ("n_hit", "n_items"))
+    return joined.select(
+        F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), n_items.alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def contamination_sql(docs: str, items: str) -> str:
