@@ -12,8 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.joins import spread_join
+from larder.operators.normalize import join_hot_apart
 from larder.operators.ranking import with_running
+from larder.operators.similar import clusters
+from larder.session import materialize
 
 
 def ingredient_weights(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,7 +27,8 @@ def weight_shares(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each ingredient's grams and its share of the recipe's weight."""
     grams = ingredient_weights(lines, keys)
     totals = grams.groupBy(*keys).agg(F.sum("grams").alias("total"))
-    return spread_join(grams, totals, list(keys), ["cleaned"]).select(
+    # one row per ingredient by now: no recipe is a hot key
+    return grams.join(totals, list(keys)).select(
         *keys, "cleaned", "grams", F.try_divide("grams", "total").alias("share")
     )
 
@@ -53,23 +56,37 @@ def search(
 
 
 def title_key(title: Column | str) -> Column:
-    """Titles with the same words count as similar: lower case, sorted, distinct words."""
+    """The words of a title: lower case, sorted, distinct."""
     t = F.col(title) if isinstance(title, str) else title
     words = F.filter(F.split(F.regexp_replace(F.lower(t), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
     return F.array_join(F.array_sort(F.array_distinct(words)), " ")
 
 
-def averaged_recipes(lines: DataFrame, titles: DataFrame, keys: Sequence[str]) -> DataFrame:
+def title_clusters(titles: DataFrame, keys: Sequence[str], similarity: float = 0.8) -> DataFrame:
+    """(keys..., cluster): recipes whose titles have similar word sets, directly or through other titles.
+
+    Each distinct word set is compared once, however many recipes carry it. The
+    cluster is named by its smallest word set; titles without words are one cluster.
+    """
+    named = titles.where(F.col("title").isNotNull()).select(*keys, title_key("title").alias("title_key"))
+    sets = materialize(named.groupBy("title_key").agg(F.count(F.lit(1)).alias("_rows")), "titles")
+    found = clusters(sets.withColumn("words", F.split("title_key", " ")).where("title_key <> ''"), "title_key", "words", similarity)
+    table = materialize(
+        sets.join(found, "title_key", "left").select("title_key", "_rows", F.coalesce("cluster", "title_key").alias("cluster")), "clusters")
+    return join_hot_apart(named, table, "title_key", ["cluster"], keys).select(*keys, "cluster")
+
+
+def averaged_recipes(lines: DataFrame, titles: DataFrame, keys: Sequence[str], similarity: float = 0.8) -> DataFrame:
     """Mean share of each ingredient over all recipes of a title cluster (absent counts as 0).
 
     ``titles(keys..., title)``. Shares are summed per (cluster, ingredient) with
     a map-side combine, so a title half the recipes carry is no single task.
     """
-    clusters = titles.where(F.col("title").isNotNull()).select(*keys, title_key("title").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("recipes"))
-    shares = weight_shares(lines, keys).join(clusters, list(keys))
+    grouped = materialize(title_clusters(titles, keys, similarity), "grouped")
+    sizes = grouped.groupBy("cluster").agg(F.count(F.lit(1)).alias("recipes"))
+    shares = weight_shares(lines, keys).join(grouped, list(keys))
     summed = shares.groupBy("cluster", "cleaned").agg(F.sum("share").alias("_sum"))
-    return spread_join(summed, sizes, ["cluster"], ["cleaned"]).select(
+    return summed.join(sizes, "cluster").select(
         "cluster", "cleaned", "recipes", (F.col("_sum") / F.col("recipes")).alias("mean_share")
     )
 

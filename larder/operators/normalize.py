@@ -71,14 +71,16 @@ def convert(parsed: DataFrame, table: DataFrame, spread: Sequence[str], name: st
 def conversion_table(portions: DataFrame) -> DataFrame:
     """``portions(ingredient, measure, grams)`` -> one row per ingredient: grams per cup and per count.
 
-    The measure is read as an ingredient line; several portions give their
-    median. Ingredients that cannot be measured drop out.
+    The measure is read as an ingredient line, each distinct one once; several
+    portions give their median, which is taken over counted values, so that an
+    ingredient with very many portions is merged in two steps. Ingredients that
+    cannot be measured drop out.
     """
-    read = parse_lines(portions.withColumn("_line", F.concat("measure", F.lit(" x"))), "_line")
+    lines = portions.select("ingredient", "grams", F.concat("measure", F.lit(" x")).alias("line"))
+    read = normalize(lines, ["ingredient", "grams"])
     per_cup = F.try_divide(F.col("grams"), F.col("exact_volume"))
     per_count = F.when(F.col("exact_volume").isNull(), F.try_divide(F.col("grams"), F.col("exact_count")))
-    return (
-        read.groupBy("ingredient")
-        .agg(F.median(per_cup).alias("per_cup"), F.median(per_count).alias("per_count"))
-        .where(F.col("per_cup").isNotNull() | F.col("per_count").isNotNull())
-    )
+    values = read.select("ingredient", per_cup.alias("per_cup"), per_count.alias("per_count"))
+    counted = values.groupBy("ingredient", "per_cup", "per_count").agg(F.count(F.lit(1)).alias("n"))
+    middle = {c: F.percentile(c, F.lit(0.5), F.col("n")).alias(c) for c in ("per_cup", "per_count")}
+    return counted.groupBy("ingredient").agg(*middle.values()).where(F.col("per_cup").isNotNull() | F.col("per_count").isNotNull())

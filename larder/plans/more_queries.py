@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from larder.functions import urls
 from larder.operators import analytics as an
 from larder.operators import insights as ins
+from larder.operators.search import IngredientIndex
 from larder.operators.normalize import conversion_table, convert, normalize
 from larder.plans import views as v
 from larder.plans.line_queries import CNT, CONVERSIONS, SPREAD, VOL, WT, conversions
 from larder.plans.oracles import FACTS, LINES, RECIPES, URL_PARTS
-from larder.session import stage_path
+from larder.session import materialize, stage_path
 from larder.sources import pages as pg
 from larder.sources import recipes as rs
 from larder.streaming.incremental import corpus_stream, start_scrape
@@ -41,13 +42,37 @@ def insights() -> dict[str, Query]:
             (F.col("p_size") + 10.0).alias("grams"),
         )
 
+    def index(s: SparkSession, d: str) -> IngredientIndex:
+        """The index of all lines, filled in two appends that overlap in a third of the recipes."""
+        built = IngredientIndex(s, stage_path(s, "ingredients"))
+        lines = materialize(_parsed(s, d).select("path", "cleaned", "l_linenumber"), "lines")
+        third = F.pmod(F.xxhash64("path"), F.lit(3))
+        built.append(lines.where(third < 2))
+        built.append(lines.where(third > 0))
+        return built
+
+    def named(s: SparkSession, d: str) -> DataFrame:
+        """Titles as people write them: words added, repeated, in another order and case."""
+        k = F.col("o_orderkey") % 4
+        title = F.concat("title", F.lit(" for two"))
+        return v.titled_orders(s, d).select(
+            "path",
+            F.when(k == 0, title)
+            .when(k == 1, F.concat(F.lit("Easy "), title))
+            .when(k == 2, F.concat(F.lit("For TWO: quick "), "title", F.lit("!")))
+            .otherwise(F.concat(F.lit("two, two "), "title", F.lit(" (for)"))).alias("title"),
+        ).where("title IS NOT NULL")
+
     return {
         "g1_weight_shares": shares,
         "g2_search": lambda s, d: ins.search(_parsed(s, d), ["path"], ["blue bolt"], ["red ring", "hot rod"]),
         "g2_search_without": lambda s, d: ins.search(_parsed(s, d), ["path"], [], ["red ring", "hot rod"]),
+        "g2_index_search": lambda s, d: index(s, d).search(["blue bolt"], ["red ring", "hot rod"]),
+        "g2_index_search_without": lambda s, d: index(s, d).search([], ["red ring", "hot rod"]),
         "g3_averaged_recipes": lambda s, d: ins.averaged_recipes(
             _parsed(s, d), v.recipes(s, d).select("path", "title"), ["path"]
         ).select("cluster", "cleaned", "recipes", F.round("mean_share", 6).alias("mean_share")),
+        "g3_similar_titles": lambda s, d: ins.title_clusters(named(s, d), ["path"]),
         "g4_coverage": lambda s, d: ins.coverage(_parsed(s, d)).select(
             "rank", "cleaned", "n", F.round("covered", 6).alias("covered")
         ),
@@ -75,6 +100,22 @@ def insights_sql() -> dict[str, str]:
         "g2_search": f"""WITH {parsed} SELECT path FROM parsed GROUP BY path
             HAVING bool_or(cleaned = 'blue bolt') AND NOT bool_or(cleaned IN {bad})""",
         "g2_search_without": f"WITH {parsed} SELECT path FROM parsed GROUP BY path HAVING NOT bool_or(cleaned IN {bad})",
+        "g2_index_search": f"""WITH {parsed} SELECT path FROM parsed GROUP BY path
+            HAVING bool_or(cleaned = 'blue bolt') AND NOT bool_or(cleaned IN {bad})""",
+        "g2_index_search_without": f"WITH {parsed} SELECT path FROM parsed GROUP BY path HAVING NOT bool_or(cleaned IN {bad})",
+        "g3_similar_titles": f"""WITH RECURSIVE {LINES}, first AS (
+            SELECT l_orderkey, arg_min(name, pos) AS name FROM lp WHERE l_orderkey % 97 <> 0 GROUP BY 1),
+          named AS (
+            SELECT l_orderkey, list_distinct(string_split(name, ' ') || ['pie', 'for', 'two']
+              || CASE l_orderkey % 4 WHEN 1 THEN ['easy'] WHEN 2 THEN ['quick'] ELSE [] END) AS words FROM first),
+          keyed AS (SELECT l_orderkey, words, array_to_string(list_sort(words), ' ') AS title FROM named),
+          sets AS MATERIALIZED (SELECT DISTINCT title, list_sort(words) AS words FROM keyed),
+          linked AS MATERIALIZED (
+            SELECT a.title AS a, b.title AS b FROM sets a, sets b
+            WHERE len(list_intersect(a.words, b.words)) >= 0.8 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words)))),
+          walk(title, other) AS (SELECT title, title FROM sets UNION SELECT walk.title, b FROM walk JOIN linked ON a = other),
+          labelled AS (SELECT title, min(other) AS cluster FROM walk GROUP BY 1)
+          SELECT 'recipes/' || l_orderkey || '.html' AS path, cluster FROM keyed JOIN labelled USING (title)""",
         "g3_averaged_recipes": f"""WITH {shares}, titles AS (
             SELECT l_orderkey, arg_min(name, pos) || ' pie' AS title FROM lp WHERE l_orderkey % 97 <> 0 GROUP BY 1),
           clusters AS (SELECT *, list_aggregate(list_sort(string_split(title, ' ')), 'string_agg', ' ') AS cluster FROM titles),
@@ -134,7 +175,17 @@ def stored() -> dict[str, Query]:
             urls.url_parts("url")["path"].alias("path"), F.encode("html", "UTF-8").alias("html")
         )
         pg.write_corpus(binary, target)
-        return pg.read_corpus(s, target, "any").select("path", F.length("html").alias("chars"))
+        return pg.read_corpus(s, target, "any").select("path", "html")
+
+    def saved_files(s: SparkSession, d: str) -> DataFrame:
+        """Pages written as one file each, and beside them files that are none; read back from the folder."""
+        target = stage_path(s, "saved")
+        parts = urls.url_parts("url")
+        domain = F.coalesce(parts["domain"], F.lit("unknown"))
+        pages = v.table(s, d, "pages").select(domain.alias("domain"), parts["path"].alias("path"), "html")
+        pg.save_pages(pages, target)
+        pg.save_pages(pages, target, "txt")
+        return pg.read_saved_pages(s, target).select("domain", "path", "html")
 
     def incremental(s: SparkSession, d: str) -> DataFrame:
         """Two batches of the corpus, with a restart between them; the second repeats half of the first."""
@@ -150,6 +201,7 @@ def stored() -> dict[str, Query]:
         return done.unionByName(twice)
 
     return {
+        "s1_scan_saved_files": saved_files,
         "s1_scan_html_paths": lambda s, d: v.table(s, d, "pages")
         .select("page_id", urls.url_parts("url")["path"].alias("path"))
         .where(F.endswith("path", F.lit(".html"))),
@@ -177,9 +229,11 @@ def stored_sql() -> dict[str, str]:
         FROM facts WHERE o_orderkey % 50 = 0
         UNION ALL SELECT path, 'TimeoutError', 'no answer', 'image', 'crawl' FROM facts WHERE o_orderkey % 70 = 0)"""
     return {
+        "s1_scan_saved_files": f"WITH {URL_PARTS} SELECT CASE WHEN length(path) > 1 THEN domain ELSE 'unknown' END AS domain, "
+        "CASE WHEN length(path) > 1 THEN ltrim(path, '/') ELSE url END AS path, html FROM url_parts",
         "s1_scan_html_paths": f"WITH {URL_PARTS} SELECT page_id, path FROM url_parts WHERE path LIKE '%.html'",
         "s2_corpus_round_trip": f"""WITH {URL_PARTS} SELECT CASE WHEN length(path) > 1 THEN ltrim(path, '/') ELSE url END AS path,
-            CAST(length(html) AS INTEGER) AS chars FROM url_parts""",
+            html FROM url_parts""",
         "s4_read_one_domain": f"{w} SELECT path, title FROM recipes WHERE c_nationkey = 7",
         "s5_append_nested": f"""{w} SELECT domain, path, CAST(n_parts AS VARCHAR) AS parts, CAST(n_lines AS VARCHAR) AS lines,
             servings, author, rating FROM recipes""",

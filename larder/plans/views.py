@@ -144,6 +144,11 @@ def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def titled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, path, title) of every order, as in ``recipes``."""
+    return _content(spark, sf_dir).select("o_orderkey", "path", "title")
+
+
 def image_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images already stored: every third order's."""
     o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 == 0)

@@ -66,3 +66,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`materialize` whose readers are done."""
+    for table in tables:
+        for place in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            delete_path(table.sparkSession, place)
+
+
+def delete_path(spark: SparkSession, place: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(place)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def path_exists(spark: SparkSession, place: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -21,7 +21,7 @@ def page_stream(spark: SparkSession, folder: str, domain: str) -> DataFrame:
         .option("pathGlobFilter", "*.html")
         .load(folder)
     )
-    return with_path(files, domain)
+    return with_path(files, F.lit(domain))
 
 
 def corpus_stream(spark: SparkSession, source: str, domain: str) -> DataFrame:
