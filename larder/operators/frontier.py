@@ -1,75 +1,209 @@
 """Crawl sets over a page corpus: what is reachable, in which state pages end.
 
-The frontier of each round is a table in the shared folder, so a round reads
-its predecessor from storage: plans stay short and lost executors cost a task,
-not the crawl.
+Pages are known by (domain, path). Links, corpus and visited pages are tables in
+the shared folder, cut into folders by the hash of that key, so a level of a
+crawl reads the folders its frontier falls in and no others. Each level is
+stored before the next: plans stay short and lost executors cost a task, not the
+crawl.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.dom import parse_pages
-from larder.operators.joins import spread_join
+from larder.operators.joins import heavy_keys, spread_join
+from larder.operators.links import LinkRules, anchor_array, followable, resolve_links
 from larder.operators.ranking import with_running
-from larder.session import materialize, stage_path
+from larder.session import delete_path, discard, materialize, stage_path
 
 # Fixed value: the heading behind the last listing page.
 END_HEADING = r"(?i)Don't\s+Cry"
 
+PAGE = ["domain", "path"]
+MOST_BUCKETS = 1024  # folders of a table; more data makes larger folders
 
-def reach(
+
+class PageTables:
+    """Tables keyed by (domain, path), in folders ``bucket=...`` by the hash of the key."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, stage_path(spark, "crawl")
+        self.buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8), MOST_BUCKETS)
+
+    def place(self, pages: DataFrame) -> DataFrame:
+        return pages.withColumn("bucket", F.pmod(F.xxhash64(*PAGE), F.lit(self.buckets)).cast("int"))
+
+    def store(self, rows: DataFrame, name: str) -> DataFrame:
+        """Write rows with a ``bucket``; a crowded folder is dealt over several writers, small ones share one."""
+        here = f"{self.root}/{name}"
+        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(here)
+        return self.read(rows, name)
+
+    def read(self, like: DataFrame, name: str) -> DataFrame:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    @staticmethod
+    def near(table: DataFrame, pages: DataFrame) -> DataFrame:
+        """The folders of ``table`` that keys of ``pages``, a stored table, fall in: at most as many numbers as folders."""
+        wanted = [r.bucket for r in pages.select("bucket").distinct().collect()]
+        return table.where(F.col("bucket").isin(wanted))
+
+
+def closure(
     edges: DataFrame,
-    seeds: Sequence[str] | DataFrame,
+    seeds: DataFrame,
+    corpus: DataFrame | None = None,
+    limit: int | None = None,
     redirects: DataFrame | None = None,
     max_depth: int | None = None,
 ) -> DataFrame:
-    """(path, depth) of every page reachable over ``edges(src, dst)``.
-
-    Breadth first, one job a level, until a level brings nothing new. A hub
-    page's edges are split by the join; targets are made distinct (combined on
-    the map side) before they meet what is known. With ``redirects(old_path,
-    new_path)`` a moved page is followed one hop and expanded at its new path.
+    """(domain, path, depth) of all pages reachable from ``seeds(domain, path)`` over ``edges(domain, src, dst)``.
+
+    Breadth first, a level at a time, until a level brings nothing new. Links
+    stay inside a domain. With ``redirects(domain, old_path, new_path)`` a moved
+    page is followed one hop and expanded at its new path.
+
+    With ``corpus(domain, path, scrapable)`` each page has a ``state``: errored
+    where the corpus lacks it, to_scrape or finished. With ``limit`` each domain
+    stops at its ``limit``-th page in the order (depth, path), given as
+    ``position``: errored pages count, but only a success stops the crawl, so the
+    last page is the first success at or beyond the limit. The count goes from
+    level to level, and a domain that has ended is expanded no further.
     """
     spark = edges.sparkSession
-    root = stage_path(spark, "crawl")
-    if isinstance(seeds, DataFrame):
-        level = seeds.select("path").distinct()
-    else:
-        level = spark.createDataFrame([(p,) for p in sorted(set(seeds))], "path string")
-    edges = materialize(edges.select("src", "dst"), "edges")
+    tables = PageTables(spark)
+    key = ["bucket", *PAGE]
+    hubs = edges.select("domain", F.col("src").alias("path"), "dst")
+    links = tables.store(tables.place(hubs), "links")
+    heavy = heavy_keys(links, PAGE)
+    if corpus is not None:
+        known = corpus.groupBy(*PAGE).agg(F.max("scrapable").alias("scrapable"))
+        corpus = tables.store(tables.place(known), "corpus")
     if redirects is not None:
         # one target a page, the same at every level
-        redirects = materialize(redirects.groupBy("old_path").agg(F.min("new_path").alias("new_path")), "redirects")
-    depth = 0
+        redirects = materialize(redirects.groupBy("domain", "old_path").agg(F.min("new_path").alias("new_path")), "redirects")
+    counts = None
+    level, depth = seeds.select(*PAGE).distinct(), 0
     while True:
         if redirects is not None:
-            level = follow_redirects(level, redirects).select("path").distinct()
+            level = follow_redirects(level, redirects).select(*PAGE).distinct()
+        level = tables.place(level)
+        if depth:
+            found = tables.store(level, f"found-{depth}")
+            visited = tables.read(level.withColumn("depth", F.lit(0)), "pages")
+            level = found.join(PageTables.near(visited, found), key, "left_anti")
+        here = f"pages/depth={depth}"
+        new = tables.store(level, here)
         if depth:
-            known = spark.read.schema("path string, depth int").parquet(root).select("path")
-            level = level.join(known, "path", "left_anti")
-        here = f"{root}/depth={depth}"
-        level.write.parquet(here)
-        done = spark.read.schema("path string").parquet(here)
-        if done.isEmpty() or depth == max_depth:
+            delete_path(spark, f"{tables.root}/found-{depth}")
+        if new.isEmpty():
             break
-        frontier = done.select(F.col("path").alias("src"))
-        level = (
-            spread_join(edges, frontier, ["src"], ["dst"], "left_semi").select(F.col("dst").alias("path")).distinct()
-        )
+        frontier = new
+        if corpus is not None:
+            ends = new.join(PageTables.near(corpus, new), key, "left").select(*key, page_state(F.col("scrapable")).alias("state"))
+            if limit is not None:
+                ends, counts = cut_at_limit(ends, limit, counts)
+            frontier = tables.store(ends, f"ends/depth={depth}")
+            if limit is not None:
+                frontier = frontier.join(counts.where("NOT ended"), "domain", "left_semi")
+        if depth == max_depth:
+            break
+        level = spread_join(PageTables.near(links, new), frontier.select(*key), key, ["dst"], "left_semi", heavy).select(
+            "domain", F.col("dst").alias("path")).distinct()
         depth += 1
-    return spark.read.schema("path string, depth int").parquet(root)
+    delete_path(spark, f"{tables.root}/links")
+    if corpus is None:
+        return spark.read.schema("domain string, path string, depth int").parquet(f"{tables.root}/pages")
+    delete_path(spark, f"{tables.root}/corpus")
+    columns = "domain string, path string, state string" + (", position long" if limit is not None else "")
+    return spark.read.schema(columns + ", depth int").parquet(f"{tables.root}/ends")
+
+
+def page_state(scrapable: Column) -> Column:
+    return F.when(scrapable.isNull(), "errored").when(scrapable, "to_scrape").otherwise("finished")
+
+
+def cut_at_limit(level: DataFrame, limit: int, counts: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """One level's pages up to the limit of their domain, with ``position``; and per domain the pages so far and whether it ended.
+
+    Positions are global ones in the order (domain, path), less where the domain begins.
+    """
+    ranked = materialize(with_running(level, [F.col(c) for c in PAGE], position="place"), "level")
+    starts = ranked.groupBy("domain").agg(F.min("place").alias("start"), F.count(F.lit(1)).alias("here"))
+    if counts is not None:
+        starts = starts.join(counts.select("domain", F.col("n").alias("before")), "domain", "left")
+    else:
+        starts = starts.withColumn("before", F.lit(0).cast("long"))
+    starts = starts.select("domain", "here", F.coalesce("before", F.lit(0)).alias("before"), "start")
+    placed = spread_join(ranked, starts, ["domain"], ["path"]).withColumn("position", F.col("place") - F.col("start") + 1 + F.col("before"))
+    placed = materialize(placed, "placed")
+    success = placed.where((F.col("position") >= limit) & (F.col("state") != "errored"))
+    last = success.groupBy("domain").agg(F.min("position").alias("last"))
+    new = placed.select("domain", "here", "before").distinct().join(last, "domain", "left").select(
+        "domain", (F.col("before") + F.col("here")).alias("n"), F.col("last").isNotNull().alias("ended"), "last")
+    new = materialize(new, "counts")
+    kept = spread_join(placed, new.select("domain", "last"), ["domain"], ["path"]).where(
+        F.col("position") <= F.coalesce("last", "position"))
+    return kept.select(*[c for c in level.columns], "position"), new.drop("last")
+
+
+def reach(
+    edges: DataFrame,
+    seeds: Sequence[str] | DataFrame,
+    redirects: DataFrame | None = None,
+    max_depth: int | None = None,
+) -> DataFrame:
+    """(path, depth) of every page of one site reachable over ``edges(src, dst)``; see :func:`closure`."""
+    one = F.lit("").alias("domain")
+    if not isinstance(seeds, DataFrame):
+        seeds = edges.sparkSession.createDataFrame([(p,) for p in sorted(set(seeds))], "path string")
+    moved = None if redirects is None else redirects.select(one, "old_path", "new_path")
+    found = closure(edges.select(one, "src", "dst"), seeds.select(one, "path"), redirects=moved, max_depth=max_depth)
+    return found.select("path", "depth")
+
+
+def crawl(
+    pages: DataFrame,
+    seeds: DataFrame,
+    rules: LinkRules = LinkRules(),
+    path_pattern: str | None = None,
+    predicate: Callable[[Column, Column], Column] | None = None,
+    keep: Sequence[str] = (),
+    limit: int | None = None,
+    redirects: DataFrame | None = None,
+    max_depth: int | None = None,
+) -> DataFrame:
+    """A crawl of ``pages(domain, path, html)``: links, admission, closure and states, as :func:`closure` gives them.
+
+    Every page is parsed once, for its links and for the predicate (``keep``
+    names the elements that looks at). A link is followed where the rules admit
+    it and it stays on its page's site.
+    """
+    wanted = sorted({"a", *keep})
+    dom = parse_pages(pages, keys=PAGE, keep=wanted, outer=("a",), with_text=predicate is not None)
+    by_path = F.coalesce(F.col("path").rlike(f"(?i){path_pattern}"), F.lit(False)) if path_pattern else F.lit(False)
+    marked = F.coalesce(predicate(F.col("nodes"), F.col("text")), F.lit(False)) if predicate else F.lit(False)
+    anchors = anchor_array(F.col("nodes"), F.col("text"), rules.allow)
+    read = materialize(dom.select(*PAGE, (by_path | marked).alias("scrapable"), anchors.alias("anchors")), "read")
+    found = read.select(F.col("domain").alias("own"), F.col("path").alias("src"), F.inline("anchors"))
+    edges = resolve_links(found).where(followable(F.col("own"), rules)).select(F.col("own").alias("domain"), "src", F.col("path").alias("dst"))
+    out = closure(edges, seeds, read.select(*PAGE, "scrapable"), limit, redirects, max_depth)
+    discard(read)
+    return out
 
 
 def follow_redirects(paths: DataFrame, redirects: DataFrame) -> DataFrame:
     """One hop: ``path`` becomes its new path; ``old_path`` is set where it moved."""
-    hops = redirects.select(F.col("old_path").alias("path"), "new_path")
+    on = [c for c in PAGE if c in paths.columns]
+    hops = redirects.withColumnRenamed("old_path", "path").select(*on, "new_path")
     moved = F.col("new_path").isNotNull()
-    return paths.join(hops, "path", "left").select(
-        F.coalesce("new_path", "path").alias("path"), F.when(moved, F.col("path")).alias("old_path")
+    return paths.join(hops, on, "left").select(
+        *on[:-1], F.coalesce("new_path", "path").alias("path"), F.when(moved, F.col("path")).alias("old_path")
     )
 
 
@@ -125,8 +259,7 @@ def page_states(paths: DataFrame, corpus: DataFrame) -> DataFrame:
     scrapable capture is enough.
     """
     known = corpus.groupBy("path").agg(F.max("scrapable").alias("scrapable"))
-    state = F.when(F.col("scrapable").isNull(), "errored").when(F.col("scrapable"), "to_scrape").otherwise("finished")
-    return paths.join(known, "path", "left").withColumn("state", state).drop("scrapable")
+    return paths.join(known, "path", "left").withColumn("state", page_state(F.col("scrapable"))).drop("scrapable")
 
 
 def limit_pages(states: DataFrame, limit: int) -> DataFrame:

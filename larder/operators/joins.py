@@ -34,16 +34,20 @@ def pieces_of(on: Sequence[str], heavy: dict[int, int]) -> Column:
     return F.coalesce(F.try_element_at(known, F.xxhash64(*on)), F.lit(1))
 
 
-def spread_join(big: DataFrame, unique: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "left") -> DataFrame:
+def spread_join(
+    big: DataFrame, unique: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "left",
+    heavy: dict[int, int] | None = None,
+) -> DataFrame:
     """Join ``big`` to ``unique`` (one row per key), heavy keys split over as many tasks as they are heavy.
 
-    The heavy keys are found by a sketch over ``big``; only their rows of
-    ``unique`` are repeated, and without any it is a plain join. ``spread`` names
+    The heavy keys are found by a sketch over ``big``, unless given as
+    :func:`heavy_keys` returns them; only their rows of ``unique`` are repeated,
+    and without any it is a plain join. ``spread`` names
     columns that vary inside one key; their hash picks the piece, so a re-run of
     a lost task gives the same rows. No broadcast is forced: the planner chooses
     it where the size it knows is under ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    heavy = heavy_keys(big, on)
+    heavy = heavy_keys(big, on) if heavy is None else heavy
     if not heavy:
         return big.join(unique, list(on), how)
     pieces = pieces_of(on, heavy)

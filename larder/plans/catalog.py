@@ -12,6 +12,7 @@ from larder.functions.text import percent_ratio, rating_ratio, stripped_text
 from larder.operators import analytics as an
 from larder.operators import dom, extract, frontier, links
 from larder.operators.dom import Sel
+from larder.operators.joins import spread_join
 from larder.plans import line_queries, more_queries
 from larder.plans import views as v
 
@@ -134,13 +135,28 @@ def crawl() -> dict[str, Query]:
         )
 
     def reached(s: SparkSession, d: str) -> DataFrame:
-        edges = v.site_edges(s, d)
-        # one link to a page that does not exist, on each region page
+        return frontier.reach(links_of(s, d), ["/"])
+
+    def links_of(s: SparkSession, d: str) -> DataFrame:
+        """The site's links, and one to a page that does not exist on each region page."""
         lost = v.table(s, d, "region").select(
             F.concat(F.lit("/r/"), F.col("r_regionkey").cast("string")).alias("src"),
             F.concat(F.lit("/lost/"), F.col("r_regionkey").cast("string")).alias("dst"),
         )
-        return frontier.reach(edges.unionByName(lost), ["/"])
+        return v.site_edges(s, d).unionByName(lost).withColumn("domain", F.lit(v.MARKET))
+
+    def roots(s: SparkSession, *domains: str) -> DataFrame:
+        return s.createDataFrame([(x, "/") for x in domains], "domain string, path string")
+
+    def limited(s: SparkSession, d: str) -> DataFrame:
+        held_pages = corpus(s, d).withColumn("domain", F.lit(v.MARKET))
+        return frontier.closure(links_of(s, d), roots(s, v.MARKET), held_pages, CRAWL_LIMIT)
+
+    def crawled(s: SparkSession, d: str, limit: int | None = None) -> DataFrame:
+        return frontier.crawl(
+            v.two_sites(s, d), roots(s, v.MARKET, v.SECOND), links.LinkRules(avoid=("private",)),
+            predicate=dom.has_element(*RECIPE_MARK), keep=("h2",), limit=limit,
+        )
 
     def corpus(s: SparkSession, d: str) -> DataFrame:
         return paths(s, d).withColumn("scrapable", F.lit(False))
@@ -153,9 +169,9 @@ def crawl() -> dict[str, Query]:
     return {
         "f1_reachable": reached,
         "f1_reachable_from_two": lambda s, d: frontier.reach(v.site_edges(s, d), ["/n/3", "/r/1"]).select("path"),
-        "f2_page_limit": lambda s, d: frontier.limit_pages(
-            frontier.page_states(reached(s, d), corpus(s, d)), CRAWL_LIMIT
-        ).select("path", "depth", "state", "position"),
+        "f1_crawl_pages": lambda s, d: crawled(s, d).select("domain", "path", "depth", "state"),
+        "f2_page_limit": lambda s, d: limited(s, d).select("path", "depth", "state", "position"),
+        "f2_limit_by_site": lambda s, d: crawled(s, d, CRAWL_LIMIT).select("domain", "path", "depth", "state", "position"),
         "f3_set_union": lambda s, d: frontier.add_to_set(held(s, d, "in_progress", "to_scrape"), paths(s, d)),
         "f4_set_difference": lambda s, d: frontier.remove_from_set(paths(s, d), held(s, d, "finished")),
         "f5_state_sizes": lambda s, d: frontier.state_sizes(v.crawl_state(s, d)),
@@ -165,8 +181,8 @@ def crawl() -> dict[str, Query]:
         ),
         "f7_redirects": lambda s, d: frontier.redirect_states(paths(s, d), v.redirects(s, d)),
         "f7_reach_redirected": lambda s, d: frontier.reach(
-            v.site_edges(s, d)
-            .join(v.redirects(s, d), F.col("src") == F.col("old_path"), "left")
+            # links leave from where their page has moved to
+            spread_join(v.site_edges(s, d), v.redirects(s, d).withColumnRenamed("old_path", "src"), ["src"], ["dst"])
             .select(F.coalesce("new_path", "src").alias("src"), "dst"),
             ["/"],
             v.redirects(s, d),

@@ -6,7 +6,7 @@ except for the queries over the raw ``pages`` table.
 
 from __future__ import annotations
 
-from larder.plans.views import IMAGE_HOST, MARKET
+from larder.plans.views import IMAGE_HOST, MARKET, SECOND
 
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
@@ -140,7 +140,7 @@ forms(pre, single, hidden, domain, path_pre, failed) AS (VALUES
   ('https://www.market.example/abs/', true, false, '{MARKET}', '/abs/', false),
   ('rel/', true, false, NULL, '/rel/', false)),
 site_links AS (
-  SELECT src, dst AS href, true AS single, false AS hidden, NULL AS domain, dst AS path, false AS failed FROM edges
+  SELECT src, dst AS href, true AS single, false AS hidden, NULL::VARCHAR AS domain, dst AS path, false AS failed FROM edges
   UNION ALL
   SELECT '/c/' || c_custkey, pre || c_custkey, single, hidden, domain, path_pre || c_custkey, failed
   FROM customer, forms WHERE c_custkey % 7 = 0),
@@ -219,7 +219,23 @@ def crawl() -> dict[str, str]:
                CASE WHEN s.path IS NULL THEN 'errored' ELSE 'finished' END AS state
         FROM walk w LEFT JOIN site s ON s.path = w.path),
       ranked AS (SELECT *, row_number() OVER (ORDER BY depth, path) AS position FROM st)"""
+    # both sites by kind of page; every page that is linked to, with the page that links to it
+    sites = "WITH RECURSIVE " + SITE_LINKS + "," + SITE + f""",
+      hosts(host) AS (VALUES ('{MARKET}'), ('{SECOND}')),
+      held AS (SELECT host, path, scrapable FROM site, hosts WHERE host = '{MARKET}' OR path NOT LIKE '/c/%' OR path[4:]::BIGINT % 5 <> 0),
+      admitted AS (
+        SELECT host, u.src, u.path AS dst FROM usable u JOIN held h ON h.path = u.src
+        WHERE NOT failed AND coalesce(u.domain, host) = host AND length(u.path) <= 120 AND NOT contains(u.path, 'http') AND NOT contains(u.path, 'private')),
+      walk(host, path) AS (SELECT host, '/' FROM hosts UNION SELECT a.host, a.dst FROM walk w JOIN admitted a ON a.host = w.host AND a.src = w.path),
+      ends AS (
+        SELECT w.host AS domain, w.path, coalesce(s.depth, 4) AS depth,
+               CASE WHEN h.path IS NULL THEN 'errored' WHEN h.scrapable THEN 'to_scrape' ELSE 'finished' END AS state
+        FROM walk w LEFT JOIN held h ON h.host = w.host AND h.path = w.path LEFT JOIN site s ON s.path = w.path)"""
     return {
+        "f1_crawl_pages": sites + " SELECT domain, path, depth, state FROM ends",
+        "f2_limit_by_site": sites + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY depth, path) AS position FROM ends),
+          lasts AS (SELECT domain, min(position) AS last FROM ranked WHERE position >= 1000 AND state <> 'errored' GROUP BY domain)
+          SELECT domain, path, depth, state, position FROM ranked LEFT JOIN lasts USING (domain) WHERE position <= coalesce(last, position)""",
         "f1_reachable": from_root + " SELECT w.path, coalesce(s.depth, 2) AS depth FROM walk w LEFT JOIN site s ON s.path = w.path",
         "f1_reachable_from_two": closure.replace("{seed}", "SELECT '/n/3' UNION SELECT '/r/1'")
         .replace(" UNION ALL SELECT '/r/' || r_regionkey, '/lost/' || r_regionkey FROM region", "")

@@ -320,6 +320,17 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+SECOND = "www.second.example"
+
+
+def two_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(domain, path, html): the site under two domains with the same paths; the second lacks every fifth customer."""
+    pages = site_pages(spark, sf_dir)
+    lost = F.startswith("path", F.lit("/c/")) & (F.substring("path", 4, 20).try_cast("long") % 5 == 0)
+    return pages.select(F.lit(MARKET).alias("domain"), "path", "html").unionByName(
+        pages.where(~lost).select(F.lit(SECOND).alias("domain"), "path", "html"))
+
+
 def crawl_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(domain, path, state, depth) of the orders already met by a crawl."""
     k, s = F.col("o_orderkey"), F.col("o_orderstatus")

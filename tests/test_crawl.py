@@ -116,3 +116,83 @@ def test_allow_gives_one_copy_per_substring(spark):
     assert got == ["/recipes/food", "/recipes/food", "/other"]
     assert [r.href for r in links.page_links(parsed, ["id"]).collect()] == ["/recipes/food"]
     assert urls.MAX_PATH_LENGTH == 120
+
+
+def small_web(rng, n):
+    hosts = ("one.example", "two.example")
+    pages = []
+    for host in hosts:
+        for i in range(n):
+            if rng.random() < 0.85 or i == 0:
+                hrefs = [rng.choice([f"/{rng.randrange(n)}", f"https://{host}/{rng.randrange(n)}", f"https://else.example/{i}"]) for _ in range(rng.randrange(5))]
+                body = "".join(f'<a href="{h}">x</a>' for h in hrefs) + ('<h2 id="recipe-page">Ingredients</h2>' if rng.random() < 0.3 else "")
+                pages.append((host, f"/{i}", body, hrefs))
+    pages.append((hosts[0], "/0", "".join(f'<a href="/{i}">x</a>' for i in range(25)), [f"/{i}" for i in range(25)]))  # a second capture, a hub
+    return hosts, pages
+
+
+def plain_crawl(host, pages, limit):
+    links, marks = {}, {}
+    for h, path, body, hrefs in pages:
+        if h == host:
+            inside = {x.removeprefix(f"https://{host}") for x in hrefs if x.startswith("/") or x.startswith(f"https://{host}")}
+            links.setdefault(path, set()).update(inside)
+            marks[path] = marks.get(path, False) or "recipe-page" in body
+    level, depth, seen, out = {"/0"}, 0, set(), []
+    while level:
+        for p in sorted(level):
+            out.append((host, p, depth, "errored" if p not in marks else "to_scrape" if marks[p] else "finished"))
+            if limit is not None and len(out) >= limit and p in marks:
+                return out
+        seen |= level
+        level, depth = {x for p in level for x in links.get(p, ())} - seen, depth + 1
+    return out
+
+
+@pytest.mark.parametrize("seed, limit", [(1, None), (2, None), (3, 1), (4, 7), (5, 30)])
+def test_crawl_of_two_sites(spark, seed, limit):
+    hosts, web = small_web(random.Random(seed), 40)
+    pages = spark.createDataFrame([p[:3] for p in web], "domain string, path string, html string")
+    seeds = spark.createDataFrame([(h, "/0") for h in hosts], "domain string, path string")
+    got = frontier.crawl(pages, seeds, predicate=dom.has_element(*MARK), keep=("h2",), limit=limit).collect()
+    want = [r for h in hosts for r in plain_crawl(h, web, limit)]
+    assert sorted((r.domain, r.path, r.depth, r.state) for r in got) == sorted(want)
+    if limit:
+        for h in hosts:
+            ordered = sorted((r for r in got if r.domain == h), key=lambda r: r.position)
+            assert [r.position for r in ordered] == list(range(1, len(ordered) + 1))
+            assert [r.path for r in ordered] == [r[1] for r in want if r[0] == h]
+
+
+def test_levels_beyond_the_limit_are_not_expanded(spark):
+    edges = spark.createDataFrame([("d", f"/{i}", f"/{i + 1}") for i in range(50)], "domain string, src string, dst string")
+    corpus = spark.createDataFrame([("d", f"/{i}", False) for i in range(50)], "domain string, path string, scrapable boolean")
+    seeds = spark.createDataFrame([("d", "/0")], "domain string, path string")
+    out = frontier.closure(edges, seeds, corpus, limit=3)
+    assert sorted(r.path for r in out.collect()) == ["/0", "/1", "/2"]
+    root = out.inputFiles()[0].split("/ends/")[0]
+    assert len(spark.read.parquet(f"{root}/pages").select("depth").distinct().collect()) == 3
+
+
+def test_a_level_reads_the_folders_of_its_frontier(spark):
+    tables = frontier.PageTables(spark)
+    rows = spark.createDataFrame([("d", f"/{i}", f"/{i + 1}") for i in range(200)], "domain string, path string, dst string")
+    links = tables.store(tables.place(rows), "links")
+    one = tables.store(tables.place(rows.limit(1)), "one")
+    pruned = frontier.PageTables.near(links, one)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan or "PartitionFilters: [(bucket" in plan
+    assert 0 < pruned.count() < links.count() == 200
+
+
+def test_pages_as_files(spark, tmp_path):
+    from larder.sources import pages as pg
+
+    rows = [("a.example", "/x/ü?q=1&r=+", "<p>Ü\nzwei\n"), ("b.example", "/x/ü?q=1&r=+", "other"), ("a.example", "/home", ""), ("a.example", "/none", None), (None, "/z", "z")]
+    df = spark.createDataFrame(rows, "domain string, path string, html string")
+    folder = str(tmp_path / "saved")
+    assert pg.save_pages(df, folder) == 3 == pg.save_pages(df, folder)
+    pg.save_pages(df, folder, "txt")
+    got = sorted((r.domain, r.path, r.html) for r in pg.read_saved_pages(spark, folder).collect())
+    # Spark's scan leaves out files without a byte
+    assert got == [("a.example", "x/ü?q=1&r=+", "<p>Ü\nzwei\n"), ("b.example", "x/ü?q=1&r=+", "other")]
