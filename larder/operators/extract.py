@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import urls
 from larder.functions.text import let, non_empty, percent_ratio, rating_ratio, stripped_text
-from larder.operators.dom import Sel, first_text, inside, node_text, parse_pages, select_all, select_first
+from larder.operators.dom import STEP_TYPE, Sel, StepColumn, below, first_text, node_text, parse_pages, select_all, select_first, texts_of, with_text
+from larder.operators.joins import heavy_keys, spread_join
 
 PARTS_TYPE = "array<struct<`group`:string,lines:array<string>>>"
 MISC_FIELDS = (
@@ -72,17 +73,18 @@ def grouped_lines(
     lines. A repeated name keeps its first place and its last lines. No group on
     the page is NULL, only empty groups an empty array.
     """
-    def build(found: Column, names: Column, lines: Column) -> Column:
+    def build(found: Column, t: Column) -> Column:
         def one(g: Column, i: Column) -> Column:
-            label = F.get(F.filter(names, lambda n: inside(n, g)), F.lit(0))
-            texts = F.transform(F.filter(lines, lambda n: inside(n, g)), lambda n: stripped_text(node_text(n, text)))
+            own = below(nodes, g)
+            label = F.get(F.filter(own, lambda n: name.test(n, t)), F.lit(0))
+            texts = F.transform(F.filter(own, lambda n: line.test(n, t)), lambda n: stripped_text(node_text(n, t)))
             keep = F.filter(
                 texts,
-                lambda t: (t != "") & (~F.startswith(t, F.lit(skip_prefix)) if skip_prefix else F.lit(True)),
+                lambda x: (x != "") & (~F.startswith(x, F.lit(skip_prefix)) if skip_prefix is not None else F.lit(True)),
             )
             return F.struct(
                 F.coalesce(
-                    non_empty(stripped_text(node_text(label, text))), F.concat(F.lit("part_"), (i + 1).cast("string"))
+                    non_empty(stripped_text(node_text(label, t))), F.concat(F.lit("part_"), (i + 1).cast("string"))
                 ).alias("group"),
                 keep.alias("lines"),
             )
@@ -97,13 +99,7 @@ def grouped_lines(
         )
         return F.when(F.size(found) > 0, merged)
 
-    return let(
-        select_all(nodes, text, *groups),
-        lambda found: let(
-            F.filter(nodes, lambda n: name.test(n, text)),
-            lambda names: let(F.filter(nodes, lambda n: line.test(n, text)), lambda lines: build(found, names, lines)),
-        ),
-    )
+    return with_text(text, lambda t: let(select_all(nodes, t, *groups), lambda found: build(found, t)))
 
 
 def summary_field(nodes: Column, text: Column, block: Sel, css_class: str) -> Column:
@@ -113,16 +109,13 @@ def summary_field(nodes: Column, text: Column, block: Sel, css_class: str) -> Co
 
 def author_names(nodes: Column, text: Column, path: Sequence[Sel]) -> Column:
     found = select_all(nodes, text, *path)
-    names = F.transform(found, lambda n: stripped_text(node_text(n, text)))
-    return let(names, lambda a: F.when(F.size(a) > 0, F.array_join(a, "\n")))
+    return let(texts_of(found, text), lambda a: F.when(F.size(a) > 0, F.array_join(a, "\n")))
 
 
 def description_text(nodes: Column, text: Column, path: Sequence[Sel]) -> Column:
     """Texts of the element children, blank ones dropped, one per line."""
     def children(box: Column) -> Column:
-        parts = F.transform(
-            F.filter(nodes, lambda n: n["parent"] == box["id"]), lambda n: stripped_text(node_text(n, text))
-        )
+        parts = texts_of(F.filter(nodes, lambda n: n["parent"] == box["id"]), text)
         return non_empty(F.array_join(F.filter(parts, lambda t: t != ""), "\n"))
 
     return let(select_first(nodes, text, *path), lambda b: F.when(b.isNotNull(), children(b)))
@@ -200,6 +193,43 @@ def parse_for(pages: DataFrame, layout: SiteLayout, keys: Sequence[str]) -> Data
     return parse_pages(pages, keys=keys, keep=keep, children_of=[box.attr] if box else [])
 
 
+PATHS = ("title", "ingredient_groups", "instruction_groups", "authors", "description", "review_count", "rating", "make_again", "image")
+STEPS = ("group_name", "group_line", "summary_list")
+LAYOUT_SCHEMA = (
+    "domain string, layout struct<" + ",".join([f"{p}:array<{STEP_TYPE}>" for p in PATHS] + [f"{p}:{STEP_TYPE}" for p in STEPS])
+    + ",skip_ingredient_prefix:string,servings:string,prep_time:string,cook_time:string,image_attribute:string>"
+)
+
+
+def layout_table(spark: SparkSession, layouts: dict[str, SiteLayout]) -> DataFrame:
+    """(domain, layout): the selectors of sites as rows, one a domain. Layouts with functions of their own do not fit in."""
+    def step(s: Sel) -> tuple:
+        return (s.tag, s.cls, s.id, *(s.attr or (None, None)), s.text)
+
+    def row(lay: SiteLayout) -> tuple:
+        if lay.override:
+            raise ValueError("a layout with functions of its own is no data")
+        return (
+            *[[step(s) for s in getattr(lay, p)] for p in PATHS], *[step(getattr(lay, p)) for p in STEPS], lay.skip_ingredient_prefix,
+            *[lay.summary.get(k) for k in ("servings", "prep_time", "cook_time")], lay.image_attribute,
+        )
+
+    return spark.createDataFrame([(d, row(lay)) for d, lay in layouts.items()], LAYOUT_SCHEMA)
+
+
+def layout_of(column: str) -> SiteLayout:
+    """A layout whose parts are read from a row's own ``column``: the plan is the same for any number of sites."""
+    c = F.col(column)
+    return SiteLayout(
+        **{p: (c[p],) for p in PATHS},
+        **{p: StepColumn(c[p]) for p in STEPS},
+        # without a prefix no line is skipped: no line begins with NUL
+        skip_ingredient_prefix=F.coalesce(c["skip_ingredient_prefix"], F.lit("\x00")),
+        summary={k: c[k] for k in ("servings", "prep_time", "cook_time")},
+        image_attribute=c["image_attribute"],
+    )
+
+
 def fields_by_site(layouts: dict[str, SiteLayout], domain: Column, nodes: Column, text: Column) -> dict[str, Column]:
     """The fields of :func:`fields`, each chosen by the page's domain; unknown sites get NULL."""
     sites: list[tuple[SiteLayout, list[str]]] = []
@@ -221,18 +251,27 @@ def fields_by_site(layouts: dict[str, SiteLayout], domain: Column, nodes: Column
 
 def scrape(
     pages: DataFrame,
-    layouts: dict[str, SiteLayout] | SiteLayout = DEFAULT_LAYOUT,
+    layouts: dict[str, SiteLayout] | DataFrame | SiteLayout = DEFAULT_LAYOUT,
     images: DataFrame | None = None,
     image_folder: str = "images",
 ) -> DataFrame:
     """``pages(domain, path, html)`` -> recipe rows, plus ``raw_count`` for the error table.
 
-    With several layouts each page takes its site's, after one common parse.
+    With several layouts each page takes its site's, after one common parse;
+    pages of other sites are left out. A table of layouts, see
+    :func:`layout_table`, meets the pages by domain, in a join that splits large
+    sites where the table is too large for the planner to broadcast; a dict is
+    for few sites, some with functions of their own, and grows the plan.
     ``images`` (column ``file_name``, unique) says which images are stored.
     """
     keys = [c for c in pages.columns if c != "html"]
     nodes, text = F.col("nodes"), F.col("text")
-    if isinstance(layouts, dict):
+    if isinstance(layouts, DataFrame):
+        unique = layouts.groupBy("domain").agg(F.min("layout").alias("_layout"))
+        parsed = parse_pages(pages, keys=keys)
+        dom = spread_join(parsed, unique, ["domain"], ["path"], "inner", heavy_keys(pages, ["domain"]))
+        got = {k: f(nodes, text) for k, f in fields(layout_of("_layout")).items()}
+    elif isinstance(layouts, dict):
         dom = parse_pages(pages.where(F.col("domain").isin(list(layouts))), keys=keys)
         got = fields_by_site(layouts, F.col("domain"), nodes, text)
     else:

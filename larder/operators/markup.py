@@ -8,7 +8,9 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -248,13 +250,18 @@ class Page:
         return out
 
 
+def utf8_size(char: str) -> int:
+    c = ord(char)
+    return 1 if c < 0x80 else 2 if c < 0x800 else 3 if c < 0x10000 else 4
+
+
 class NodeRows:
     """Column buffers of one output batch."""
 
     FIELDS = ("id", "end", "parent", "depth", "tag", "classes", "start", "stop", "single", "outer")
 
     def __init__(self) -> None:
-        self.text: list[str | None] = []
+        self.text: list[bytes | None] = []
         self.offsets = [0]
         self.columns: dict[str, list] = {f: [] for f in self.FIELDS}
         self.attr_at = [0]
@@ -275,7 +282,7 @@ class NodeRows:
             self.offsets.append(self.count)
             return
         page = Page(source)
-        self.text.append(page.text if with_text else None)
+        self.text.append(page.text.encode() if with_text else None)
         classes = [a["class"].split() if "class" in a else [] for a in page.attrs]
 
         def matching(spec: frozenset[str]) -> list[int]:
@@ -287,16 +294,21 @@ class NodeRows:
             if boxes:
                 chosen = sorted({*chosen, *(i for i, p in enumerate(page.parent) if p in boxes)})
         shown: dict[int, str] = {i: source[page.begin[i] : page.to[i]] for i in matching(outer)} if outer else {}
+        # places in the text count bytes
+        at = list(range(len(page.text) + 1)) if page.text.isascii() else [0, *accumulate(map(utf8_size, page.text))]
         values = {
-            "id": chosen, "classes": classes, "single": page.single(), "end": page.end, "parent": page.parent,
-            "depth": page.depth, "tag": page.tag, "start": page.start, "stop": page.stop,
+            "classes": classes, "single": page.single(), "depth": page.depth, "tag": page.tag,
+            "start": [at[i] for i in page.start], "stop": [at[i] for i in page.stop],
         }
+        # an element's number is its place among those that are emitted, so a subtree is a slice
+        number = {old: new for new, old in enumerate(chosen)}
+        self.columns["id"].extend(range(len(chosen)))
+        self.columns["end"].extend([bisect_right(chosen, page.end[i]) - 1 for i in chosen])
+        self.columns["parent"].extend([number.get(page.parent[i], -1) for i in chosen])
         for f, column in self.columns.items():
             if f == "outer":
                 column.extend([shown.get(i) for i in chosen] if shown else [None] * len(chosen))
-            elif keep is None or f == "id":
-                column.extend(values[f])
-            else:
+            elif f in values:
                 column.extend([values[f][i] for i in chosen])
         for i in chosen:
             a = page.attrs[i]
@@ -318,6 +330,6 @@ class NodeRows:
         order = ("id", "end", "parent", "depth", "tag", "attrs", "classes", "start", "stop", "single", "outer")
         nodes = pa.StructArray.from_arrays([built[f] for f in order], names=list(order))
         return (
-            pa.array(self.text, pa.string()),
+            pa.array(self.text, pa.binary()),
             pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), nodes),
         )

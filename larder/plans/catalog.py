@@ -243,6 +243,14 @@ def html_and_recipes() -> dict[str, Query]:
         layouts = {f"www.site{i}.example": own if i % 2 else lay for i in range(25)}
         return extract.scrape(v.recipe_pages(s, d).drop("o_orderkey"), layouts).select("path", "title")
 
+    def by_table(s: SparkSession, d: str) -> DataFrame:
+        """A thousand sites as rows; every second one has its title and its ingredients elsewhere."""
+        own = extract.SiteLayout(
+            title=lay.authors, ingredient_groups=lay.instruction_groups, skip_ingredient_prefix=None, summary={"servings": "total-time"})
+        table = extract.layout_table(s, {f"www.site{i}.example": own if i % 2 else lay for i in range(1000)})
+        rows = extract.scrape(v.recipe_pages(s, d).drop("o_orderkey"), table)
+        return rows.select("path", "title", an.part_count("ingredients").cast("string").alias("parts"), "misc.servings", "misc.prep_time")
+
     def ratio_texts(s: SparkSession, d: str) -> DataFrame:
         o = v.table(s, d, "orders")
         k = F.col("o_orderkey")
@@ -258,8 +266,7 @@ def html_and_recipes() -> dict[str, Query]:
         .groupBy("page_id", "tag")
         .agg(F.count(F.lit(1)).alias("n")),
         "h2_select_elements": lambda s, d: dom.parse_pages(v.table(s, d, "pages"), keys=["page_id"], keep=("nav", "ul", "a"))
-        .select("page_id", F.explode(dom.select_all(*page(), Sel("nav"), Sel("ul"), Sel("a"))).alias("n"), "text")
-        .select("page_id", dom.node_text(F.col("n"), F.col("text")).alias("label")),
+        .select("page_id", F.explode(dom.texts_of(dom.select_all(*page(), Sel("nav"), Sel("ul"), Sel("a")), F.col("text"))).alias("label")),
         "h3_stripped_text": lambda s, d: v.table(s, d, "documents").select("doc_id", stripped_text("text").alias("text")),
         "h4_main_content": lambda s, d: extract.trim_pages(v.recipe_pages(s, d)).select(
             "path",
@@ -303,6 +310,7 @@ def html_and_recipes() -> dict[str, Query]:
             "misc.servings", "misc.author", "misc.rating", "misc.image_location",
         ),
         "h17_site_layouts": per_site,
+        "h17_layout_table": by_table,
     }
 
 

@@ -318,6 +318,12 @@ def html_and_recipes() -> dict[str, str]:
             'o%2F' || o_orderkey || '.png' AS file_name FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0""",
         "h16_recipe_rows": f"""{w} SELECT domain, path, title, CAST(n_parts AS VARCHAR) AS parts, CAST(n_lines AS VARCHAR) AS lines,
             servings, author, rating, {location} AS image_location FROM recipes""",
+        "h17_layout_table": f"""{w}, states AS (SELECT l_orderkey, count(DISTINCT l_linestatus) AS n FROM lp GROUP BY 1)
+            SELECT path, CASE WHEN c_nationkey % 2 = 1 THEN split_part(author, chr(10), 1) ELSE title END AS title,
+              CAST(CASE WHEN c_nationkey % 2 = 1 THEN n ELSE n_parts END AS VARCHAR) AS parts,
+              CASE WHEN c_nationkey % 2 = 1 THEN cook_time ELSE servings END AS servings,
+              CASE WHEN c_nationkey % 2 = 0 THEN prep_time END AS prep_time
+            FROM recipes LEFT JOIN states USING (l_orderkey)""".replace("USING (l_orderkey)", "ON l_orderkey = o_orderkey"),
         "h17_site_layouts": f"""{w} SELECT path,
             CASE WHEN c_nationkey % 2 = 1 THEN author ELSE title END AS title FROM recipes""",
     }

@@ -149,3 +149,55 @@ def test_slashes_and_text_elements():
     assert p.tag == ["a", "br", "i", "title", "textarea", "b"] and p.attrs[at["a"]] == {"href": "/recipes/"}
     shown = {t: p.text[p.start[i]:p.stop[i]] for t, i in at.items()}
     assert shown == {"a": "text", "br": "", "i": "", "title": "a<b & c", "textarea": "<p>", "b": ""}
+
+
+def list_page(items):
+    return ('<div class="ingredients-info"><ol class="ingredient-groups"><li class="ingredient-group"><strong>Höme</strong><ul>'
+            + "".join(f"<li>{i} cups of flöur" for i in range(items)) + "</ul></li></ol></div>")
+
+
+def test_a_page_of_many_items_is_read_in_linear_time(spark):
+    lay = extract.DEFAULT_LAYOUT
+    paths = (lay.ingredient_groups, (lay.group_name, lay.group_line))
+
+    def run(items):
+        df = spark.createDataFrame([(1, list_page(items))], "id int, html string")
+        parsed = dom.parse_pages(df, keys=["id"], keep=extract.tags_of(*paths))
+        got = extract.fields(lay)["ingredients"](F.col("nodes"), F.col("text"))
+        start = time.process_time(), time.perf_counter()
+        row = parsed.select(got.alias("g")).first()
+        assert [g.group for g in row.g] == ["Höme"] and len(row.g[0].lines) == items
+        assert row.g[0].lines[-1] == f"{items - 1} cups of flöur"
+        return time.perf_counter() - start[1]
+
+    run(100)
+    small = run(5_000)
+    assert run(100_000) < 60 * max(small, 0.2)
+
+
+def test_nested_matches_count_once(spark):
+    html = "<ul><li>a<ul><li>b<b>x</b></li></ul></li></ul><ul><b>y</b></ul>"
+    parsed = dom.parse_pages(spark.createDataFrame([(1, html)], "id int, html string"), keep=("ul", "b"))
+    n, t = F.col("nodes"), F.col("text")
+    static = dom.texts_of(dom.select_all(n, t, Sel("ul"), Sel("b")), t)
+    steps = F.expr("array(named_struct('tag', 'ul', 'cls', null, 'id', null, 'attr', null, 'value', null, 'text', null), "
+                   "named_struct('tag', 'b', 'cls', null, 'id', null, 'attr', null, 'value', null, 'text', null))").cast(f"array<{dom.STEP_TYPE}>")
+    by_column = dom.texts_of(dom.select_all(n, t, steps), t)
+    none = F.size(dom.select_all(n, t, F.slice(steps, 1, 0)))
+    assert tuple(parsed.select(static.alias("a"), by_column.alias("b"), none.alias("c")).first()) == (["x", "y"], ["x", "y"], 0)
+
+
+def test_layouts_as_rows(spark):
+    own = extract.SiteLayout(title=(Sel("div", cls="head"), Sel("b", id="t")), image=(Sel("img", attr=("role", "main")),), image_attribute="src")
+    html = '<h1>one</h1><div class="head x"><b>no</b><b id="t">two</b></div><img src="a.png"><img role="main" src="b.png" srcset="c.png">'
+    pages = spark.createDataFrame([(d, "/p", html) for d in ("a", "b", "unknown")] , "domain string, path string, html string")
+
+    def scraped(layouts):
+        return extract.scrape(pages, extract.layout_table(spark, layouts))
+
+    rows = {r.domain: (r.title, r.misc.image_url) for r in scraped({"a": extract.DEFAULT_LAYOUT, "b": own}).collect()}
+    assert rows == {"a": ("one", None), "b": ("two", "b.png")}
+    one, many = (scraped({f"s{i}": own for i in range(n)})._jdf.queryExecution().optimizedPlan().toString().count("\n") for n in (1, 1000))
+    assert one == many
+    with pytest.raises(ValueError):
+        extract.layout_table(spark, {"a": extract.SiteLayout(override={"title": lambda n, t: t})})
