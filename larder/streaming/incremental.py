@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from larder.functions.urls import file_name_to_path
 from larder.operators.extract import DEFAULT_LAYOUT, SiteLayout, scrape, scrape_errors
-from larder.session import materialize
+from larder.session import discard, materialize, path_exists
 from larder.sources import recipes as store
 from larder.sources.pages import with_path
+from larder.sources.recipes import KEY
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def page_stream(spark: SparkSession, folder: str, domain: str) -> DataFrame:
@@ -30,34 +38,87 @@ def corpus_stream(spark: SparkSession, source: str, domain: str) -> DataFrame:
     return stored.select(F.lit(domain).alias("domain"), file_name_to_path("file_name").alias("path"), "html")
 
 
-def scrape_batch(pages: DataFrame, target: str, errors: str, batch_id: int, layout: SiteLayout = DEFAULT_LAYOUT) -> None:
-    """Scrape one batch into the recipes table, each (domain, path) once.
+def combined(pages: DataFrame) -> DataFrame:
+    """One row a page and Arrow batch, with its smallest source and the number of copies, so that a page saved very often shuffles little."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.groupby(KEY, dropna=False, sort=False).agg(html=("html", "min"), copies=("html", "size")).reset_index()
+
+    return pages.select(*KEY, "html").mapInPandas(run, "domain string, path string, html string, copies long")
+
+
+def first_seen(pages: DataFrame) -> DataFrame:
+    """(domain, path, html, is_new, repeats): a row for each page of a batch, judged by Spark's keyed state.
+
+    The state knows every (domain, path) that has come so far, and is looked up
+    for the keys of the batch alone, so the cost of a batch does not grow with
+    what is stored. ``html`` stands only where ``is_new``; of several copies in
+    the batch that is the smallest, the same when the batch runs again, and the
+    others are ``repeats``.
+    """
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        html, copies = None, 0
+        for f in frames:
+            copies += int(f["copies"].sum())
+            here = f["html"].dropna()
+            if len(here):
+                html = here.min() if html is None else min(html, here.min())
+        new = not state.exists
+        if new:
+            state.update((True,))
+        yield pd.DataFrame({"domain": [key[0]], "path": [key[1]], "html": [html if new else None], "is_new": [new], "repeats": [copies - new]})
+
+    return combined(pages).groupBy(*KEY).applyInPandasWithState(
+        run, "domain string, path string, html string, is_new boolean, repeats long", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
 
-    A batch writes below ``batch={id}`` in overwrite mode: when it is run again
-    after a failure it replaces what it wrote. Its duplicates are judged against
-    the other batches only, for the same reason.
+def scrape_batch(
+    seen: DataFrame, target: str, errors: str, name: str, layout: SiteLayout = DEFAULT_LAYOUT, known: DataFrame | None = None
+) -> None:
+    """Write one batch of :func:`first_seen`: recipes of new pages, and errors.
+
+    A batch writes below ``batch={name}`` in overwrite mode: when it is run again
+    after a failure, with the same state, it replaces what it wrote. Pages in
+    ``known(domain, path)`` were stored before the state began.
     """
-    spark = pages.sparkSession
-    rows = materialize(scrape(pages, layout).withColumn("_seq", F.monotonically_increasing_id()), "batch")
-    schema = f"{store.STORED_SCHEMA}, batch long"
-    try:
-        stored = spark.read.schema(schema).parquet(target).where(F.col("batch") != batch_id)
-    except Exception as missing:  # first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        stored = None
-    accepted, rejected = store.enforce_key(rows, ["_seq"], stored)
-    store.to_stored(accepted).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-    bad = store.duplicate_errors(rejected).unionByName(scrape_errors(rows))
-    bad.write.mode("overwrite").json(f"{errors}/batch={batch_id}")
+    marked = materialize(seen, "batch")
+    new, again = marked.where("is_new").select(*KEY, "html"), marked.select(*KEY, "repeats")
+    if known is not None:
+        again = again.unionByName(new.join(known, KEY, "left_semi").select(*KEY, F.lit(1).cast("long").alias("repeats")))
+        new = new.join(known, KEY, "left_anti")
+    rows = materialize(scrape(new, layout), "scraped")
+    store.to_stored(rows).write.mode("overwrite").parquet(f"{target}/batch={name}")
+    copies = again.where("repeats > 0").select(*KEY, F.explode(F.sequence(F.lit(1).cast("long"), "repeats")).alias("copy"))
+    bad = store.duplicate_errors(copies).unionByName(scrape_errors(rows))
+    bad.write.mode("overwrite").json(f"{errors}/batch={name}")
+    discard(marked, rows)
 
 
 def start_scrape(
     pages: DataFrame, target: str, errors: str, checkpoint: str, layout: SiteLayout = DEFAULT_LAYOUT
 ) -> StreamingQuery:
-    """Process everything that has arrived, then stop; a restart goes on from there."""
+    """Process everything that has arrived, then stop; a restart goes on from there.
+
+    Each (domain, path) is stored once; later copies are logged. The keys seen
+    live in the state below ``checkpoint``, on disk in RocksDB unless the session
+    names another store. Where the checkpoint is new but recipes are stored, their
+    keys are copied beside it once, and no page among them is stored again.
+    """
+    spark, conf = pages.sparkSession, pages.sparkSession.conf
+    before = f"{checkpoint.rstrip('/')}-known"
+    if not path_exists(spark, checkpoint) and path_exists(spark, target):
+        spark.read.schema(store.STORED_SCHEMA).parquet(target).select(*KEY).distinct().write.mode("overwrite").parquet(before)
+    known = spark.read.schema("domain string, path string").parquet(before) if path_exists(spark, before) else None
+
+    def run(batch: DataFrame, number: int) -> None:
+        # batch numbers begin again with a new checkpoint, the query's id does not
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        scrape_batch(batch, target, errors, f"{query}-{number}", layout, known)
+
+    if "HDFSBacked" in conf.get(STATE_STORE, "HDFSBacked"):
+        conf.set(STATE_STORE, ROCKS)
     return (
-        pages.writeStream.foreachBatch(lambda df, i: scrape_batch(df, target, errors, i, layout))
+        first_seen(pages).writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

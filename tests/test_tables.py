@@ -83,6 +83,19 @@ def test_incremental_scrape_restarts_without_duplicates(spark, tmp_path):
     assert sorted(r.title for r in rs.read_recipes(spark, target).collect()) == ["A", "B", "C"]
 
 
+def test_incremental_scrape_logs_each_repeat(spark, tmp_path):
+    from larder.sources.pages import write_corpus
+    from larder.streaming.incremental import corpus_stream
+
+    corpus, target, errors, state = (str(tmp_path / x) for x in ("corpus", "recipes", "errors", "state"))
+    batches = [[("/a", "<h1>A2</h1>"), ("/a", "<h1>A1</h1>"), ("/b", None)], [("/a", "<h1>A0</h1>")] * 3 + [("/c", "<h1>C</h1>")], [("/b", "<h1>B</h1>")]]
+    for rows in batches:
+        write_corpus(spark.createDataFrame(rows, "path string, html string").repartition(2), corpus)
+        start_scrape(corpus_stream(spark, corpus, "d"), target, errors, state).awaitTermination()
+    assert sorted((r.path, r.title) for r in rs.read_recipes(spark, target).collect()) == [("a", "A1"), ("b", None), ("c", "C")]
+    assert sorted(r.path for r in rs.read_errors(spark, errors).collect()) == ["a"] * 4 + ["b"]
+
+
 def test_running_totals_equal_a_plain_loop(spark):
     rnd = random.Random(3)
     rows = [(f"k{i:04d}", rnd.randrange(9)) for i in range(500)]
