@@ -326,21 +326,27 @@ def image_plan(
     images: DataFrame,
     css: Sequence[Sel],
     attribute: str,
-    site: str,
+    site: str | None = None,
 ) -> DataFrame:
     """Images still to fetch: one row per page with an image that is not stored.
 
-    A relative address is completed with the site's base url.
+    ``pages([domain,] path, html)``, ``images([domain,] file_name)``: with a
+    domain, sites with equal paths keep their images apart. A relative address is
+    completed with ``site``, or with the page's own domain where none is given.
     """
-    dom = parse_pages(pages, keys=["path"], keep=tags_of(css), with_text=False)
+    keys = [c for c in ("domain", "path") if c in pages.columns]
+    own = keys[:-1]
+    dom = parse_pages(pages, keys=keys, keep=tags_of(css), with_text=False)
     source = image_source(F.col("nodes"), F.col("text"), css, attribute)
-    found = dom.select("path", source.alias("_src")).where(F.col("_src").isNotNull() & (F.col("_src") != ""))
+    found = dom.select(*keys, source.alias("_src")).where(F.col("_src").isNotNull() & (F.col("_src") != ""))
     parts = urls.url_parts("_src")
+    base = F.lit(site) if site is not None else F.concat(F.lit("https://"), F.col("domain"))
     plan = found.select(
-        "path",
-        F.when(parts["domain"].isNull(), F.concat(F.lit(site), parts["path"])).otherwise(F.col("_src")).alias("image_url"),
+        *keys,
+        F.when(parts["domain"].isNull(), F.concat(base, parts["path"])).otherwise(F.col("_src")).alias("image_url"),
         image_file_name("_src", "path").alias("file_name"),
     )
     # of several addresses for one file the first by (path, address), the same at every run
-    first = plan.groupBy("file_name").agg(F.min(F.struct("path", "image_url")).alias("_first")).select("_first.*", "file_name")
-    return first.join(images.select("file_name").distinct(), "file_name", "left_anti")
+    first = plan.groupBy(*own, "file_name").agg(F.min(F.struct("path", "image_url")).alias("_first")).select(*own, "_first.*", "file_name")
+    on = [*[c for c in own if c in images.columns], "file_name"]
+    return first.join(images.select(*on).distinct(), on, "left_anti")

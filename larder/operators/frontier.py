@@ -288,30 +288,44 @@ def resume(state: DataFrame, domain: str, seed: str) -> DataFrame:
     return pending.union(start.where(~pending.exists()))
 
 
-def listing_scan(
+def listing_ranges(
     pages: DataFrame, visited: DataFrame, start: int = 1, last: int | None = None, stop_after_seen: int | None = None
 ) -> DataFrame:
-    """(page_no, state) of a scan over numbered listing pages.
+    """(page_no, to_page, state) of a scan over numbered listing pages.
 
-    ``pages(page_no, is_end)``; visited pages are skipped, missing ones errored,
-    and the scan ends before the first unvisited page with ``is_end``. With
-    ``stop_after_seen`` it also ends once that many visited pages were met. Pages
+    ``pages(page_no, is_end)``; visited pages are skipped, and the scan ends
+    before the first unvisited page with ``is_end``. With ``stop_after_seen`` it
+    also ends once that many visited pages were met. Pages that are asked for and
+    missing are errored: a gap between known pages is one row, whatever its
+    length, so a wrong number among the pages adds a row and not a range. Pages
     up to ``last`` are asked for; without it, up to the highest page known.
     """
-    if last is None:
-        known = pages.select("page_no").union(visited.select("page_no")).agg(F.max("page_no").alias("n")).first()
-        last = known["n"] or 0
-    numbers = pages.sparkSession.range(start, max(last, start - 1) + 1).select(F.col("id").alias("page_no"))
-    seen = visited.select("page_no").distinct().withColumn("seen", F.lit(True))
-    scan = (
-        numbers.join(seen, "page_no", "left")
-        .join(pages.select("page_no", "is_end"), "page_no", "left")
-        .withColumn("seen", F.coalesce("seen", F.lit(False)))
-    )
+    seen = visited.select("page_no", F.lit(True).alias("seen")).distinct()
+    inside = F.col("page_no") >= start if last is None else F.col("page_no").between(start, last)
+    known = pages.select("page_no", "is_end").join(seen, "page_no", "full").where(inside).select(
+        "page_no", "is_end", F.coalesce("seen", F.lit(False)).alias("seen"), F.coalesce("seen", F.lit(False)).cast("int").alias("one"))
+    placed = materialize(with_running(known, [F.col("page_no")], {"met": "one"}), "listing")
+    before = placed.select((F.col("position") + 1).alias("position"), F.col("page_no").alias("previous"))
+    met = F.col("met") - F.col("one")  # visited pages before this one
+    rows = placed.join(before, "position", "left").select(
+        "page_no", "is_end", "seen", met.alias("met"), F.coalesce("previous", F.lit(start - 1)).alias("previous"))
+    state = F.when(F.col("is_end").isNull(), "errored").otherwise("finished")
+    single = rows.where("NOT seen").select("page_no", F.col("page_no").alias("to_page"), state.alias("state"), "met")
+    gap = [(F.col("previous") + 1).alias("page_no"), (F.col("page_no") - 1).alias("to_page"), F.lit("errored").alias("state"), "met"]
+    out = single.unionByName(rows.select(*gap).where("page_no <= to_page"))
+    if last is not None:
+        rest = placed.agg(F.coalesce(F.max("page_no"), F.lit(start - 1)).alias("previous"), F.coalesce(F.max("met"), F.lit(0)).alias("met"))
+        rest = rest.withColumn("page_no", F.lit(last + 1).cast("long"))
+        out = out.unionByName(rest.select(*gap).where("page_no <= to_page"))
     if stop_after_seen is not None:
-        counted = with_running(scan.withColumn("_one", F.col("seen").cast("int")), [F.col("page_no")], {"_met": "_one"})
-        scan = counted.where(F.col("_met") - F.col("_one") < stop_after_seen)
-    ends = pages.where(F.col("is_end")).join(seen, "page_no", "left_anti").where(F.col("page_no") >= start)
-    end = ends.agg(F.min("page_no").alias("n")).scalar()
-    scan = scan.where(~F.col("seen") & (F.col("page_no") < F.coalesce(end, F.lit(last + 1))))
-    return scan.select("page_no", F.when(F.col("is_end").isNull(), "errored").otherwise("finished").alias("state"))
+        out = out.where(F.col("met") < stop_after_seen)
+    end = placed.where("is_end AND NOT seen").agg(F.min("page_no").alias("n")).scalar()
+    return out.where(F.col("page_no") < F.coalesce(end, F.col("page_no") + 1)).select("page_no", "to_page", "state")
+
+
+def listing_scan(
+    pages: DataFrame, visited: DataFrame, start: int = 1, last: int | None = None, stop_after_seen: int | None = None
+) -> DataFrame:
+    """(page_no, state): :func:`listing_ranges` with a row for each page."""
+    found = listing_ranges(pages, visited, start, last, stop_after_seen)
+    return found.select(F.explode(F.sequence("page_no", "to_page")).alias("page_no"), "state")

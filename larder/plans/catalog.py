@@ -191,6 +191,12 @@ def crawl() -> dict[str, Query]:
             _page_urls(s, d).select("page_id", F.col("parts.path").alias("path")), ["page_id"], r"/EN/\d+"
         ),
         "f9_classify_by_element": lambda s, d: marked(s, d).groupBy("path").agg(F.max("scrapable").alias("scrapable")),
+        "f10_listing_ranges": lambda s, d: frontier.listing_ranges(
+            # the pages of every third hundred are lost, and one has a wrong number
+            listing(s, d).where(F.floor(F.col("page_no") / 100) % 3 != 1).select(
+                F.when(F.col("page_no") == 5, F.lit(10**12)).otherwise(F.col("page_no")).alias("page_no"), F.lit(False).alias("is_end")),
+            v.listing_visited(s, d).where("page_no <= 10"),
+        ),
         "f10_listing_scan": lambda s, d: frontier.listing_scan(listing(s, d), v.listing_visited(s, d)),
         "f11_drain": lambda s, d: frontier.drain(v.crawl_state(s, d), v.site_pages(s, d)),
         "f12_early_stop": lambda s, d: frontier.listing_scan(
@@ -303,6 +309,15 @@ def html_and_recipes() -> dict[str, Query]:
             "src",
             "https://" + v.MARKET,
         ),
+        "h15_image_plan_by_site": lambda s, d: extract.image_plan(
+            v.two_sites(s, d),
+            v.table(s, d, "orders").where(F.col("o_orderkey") % 3 == 0).select(
+                F.when(F.col("o_orderkey") % 2 == 0, v.MARKET).otherwise(v.SECOND).alias("domain"),
+                urls.path_to_file_name(F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string")), "png").alias("file_name"),
+            ),
+            (Sel("div", cls="my-image"), Sel("img")),
+            "src",
+        ),
         "h16_recipe_rows": lambda s, d: scraped(s, d).select(
             "domain", "path", "title",
             an.part_count("ingredients").cast("string").alias("parts"),

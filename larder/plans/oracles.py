@@ -316,6 +316,9 @@ def html_and_recipes() -> dict[str, str]:
         "h14_images": f"{f} SELECT path, image_url, {location} AS image_location FROM facts",
         "h15_image_plan": f"""SELECT '/o/' || o_orderkey AS path, 'https://{MARKET}/img/' || o_orderkey || '.png' AS image_url,
             'o%2F' || o_orderkey || '.png' AS file_name FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0""",
+        "h15_image_plan_by_site": f"""SELECT host AS domain, '/o/' || o_orderkey AS path, 'https://' || host || '/img/' || o_orderkey || '.png' AS image_url,
+            'o%2F' || o_orderkey || '.png' AS file_name FROM orders, (VALUES ('{MARKET}', 0), ('{SECOND}', 1)) h(host, half)
+            WHERE o_orderstatus = 'F' AND NOT (o_orderkey % 3 = 0 AND o_orderkey % 2 = half)""",
         "h16_recipe_rows": f"""{w} SELECT domain, path, title, CAST(n_parts AS VARCHAR) AS parts, CAST(n_lines AS VARCHAR) AS lines,
             servings, author, rating, {location} AS image_location FROM recipes""",
         "h17_layout_table": f"""{w}, states AS (SELECT l_orderkey, count(DISTINCT l_linestatus) AS n FROM lp GROUP BY 1)
