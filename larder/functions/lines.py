@@ -84,9 +84,14 @@ def _words_of(d: dict[str, str]) -> str:
 
 def spelled_numbers(c: Column | str) -> Column:
     """Number and fraction words of a plain-form line to digits; a leading ``a`` is 1."""
-    t = F.regexp_replace(col(c), r"\bhalf-(?=[a-z])", "half ")
-    words = F.expr(_map_sql({**voc.NUMBER_WORDS, **voc.FRACTION_WORDS}))
+    # the cream of that name holds no number, and twenty-one is one
+    t = F.regexp_replace(col(c), r"\bhalf[- ]and[- ]half\b", voc.HALF_AND_HALF)
+    t = F.regexp_replace(t, rf"\b({'|'.join(voc.TENS)})[- ](?=(?:{'|'.join(voc.ONES)})\b)", "$1_ ")
+    t = F.regexp_replace(t, r"\bhalf-(?=[a-z])", "half ")
+    tens = {f"{w}_": f"{voc.NUMBER_WORDS[w][0]}_" for w in voc.TENS}
+    words = F.expr(_map_sql({**voc.NUMBER_WORDS, **voc.FRACTION_WORDS, **tens}))
     t = F.array_join(F.transform(F.split(t, " "), lambda w: F.coalesce(F.element_at(words, w), w)), " ")
+    t = F.regexp_replace(t, r"\b(\d)_ (\d)\b", "$1$2")
     t = F.regexp_replace(t, r"\b(\d+) and (?:an? |1 )?/(\d)\b", "$1 1/$2")
     t = F.regexp_replace(t, r"\b(\d+) /(\d)\b", "$1/$2")
     t = F.regexp_replace(t, r"^(?:an? )?/(\d)\b", "1/$1")
@@ -330,7 +335,8 @@ def clean_name(marked: Column) -> Column:
     # the first clause that holds a word, without connectors at its ends
     t = F.regexp_extract(t, rf"^(?:[ ,#/]|(?:{links})\b)*([^,#/]*)", 1)
     t = F.trim(F.regexp_replace(F.regexp_replace(t, rf"(?: (?:{links}))+ *$", ""), " +", " "))
-    return F.array_join(F.transform(F.split(t, " "), standardize_ending), " ")
+    t = F.array_join(F.transform(F.split(t, " "), standardize_ending), " ")
+    return F.replace(t, F.lit(voc.HALF_AND_HALF), F.lit("half and half"))
 
 
 # --- whole lines ----------------------------------------------------------------------
@@ -358,7 +364,10 @@ def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
             ),
         })
     )
+    # '2 eggs plus 1 egg yolk': what is counted is not in the weight that is added to it
+    counted_apart = F.col("_marked").rlike(rf"^{_Q}[^<]*<plus")
     fallback = F.coalesce(
+        F.when(counted_apart, F.col("measured_weight") + F.col("exact_count") * voc.GRAMS_PER_COUNT),
         F.col("measured_weight"),
         F.col("exact_volume") * voc.GRAMS_PER_CUP,
         F.col("exact_count") * voc.GRAMS_PER_COUNT,

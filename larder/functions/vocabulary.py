@@ -43,6 +43,10 @@ NUMBER_WORDS = {
     "nineteen": "19", "twenty": "20", "thirty": "30", "forty": "40", "fifty": "50", "sixty": "60", "seventy": "70",
     "eighty": "80", "ninety": "90", "hundred": "100",
 }
+TENS = ("twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety")
+ONES = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+# Half-and-half while a line is read: no number, no conjunction.
+HALF_AND_HALF = "halfandhalf"
 FRACTION_WORDS = {
     "half": "/2", "halves": "/2", "third": "/3", "thirds": "/3", "fourth": "/4", "fourths": "/4",
     "quarter": "/4", "quarters": "/4", "fifth": "/5", "fifths": "/5", "sixth": "/6", "sixths": "/6",

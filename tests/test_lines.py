@@ -58,6 +58,19 @@ def test_cleaning(spark, function, text, want):
     assert one(spark, function(F.lit(text))) == want
 
 
+def test_compound_numbers_and_counted_wholes(spark):
+    want = {
+        "twenty-one olives": ("olive", None, 2520.0, 21.0), "thirty five grams salt": ("salt", None, 35.0, None),
+        "Ninety-nine leaves": ("leaf", None, 11880.0, 99.0), "1 cup half-and-half": ("half and half", 1.0, 180.0, None),
+        "1/2 cup Half and Half": ("half and half", 0.5, 90.0, None), "2 large eggs plus 1 egg yolk": ("egg", None, 308.0, 2.4),
+        "5 egg whites plus 2 egg yolks": ("egg", None, 190.0, None), "twenty 1 ounce packages": None,
+    }
+    rows = L.parse_lines(spark.createDataFrame([(x,) for x in want], "line string")).collect()
+    got = {r.line: (r.cleaned, r.volume, r.weight, r["count"]) for r in rows}
+    assert {k: v for k, v in got.items() if want[k]} == {k: v for k, v in want.items() if v}
+    assert got["twenty 1 ounce packages"][2] == 566.8
+
+
 def test_odd_lines_do_not_fail(spark):
     rows = ["", " ", None, "1/0 cups x", "(((", "or", "<1|2>", "½", "#", "plus", "each", "1", "a", ", , ,", "é®", "1 1 1 1 cup"]
     df = spark.createDataFrame([(r,) for r in rows], "line string")
