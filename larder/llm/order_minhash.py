@@ -68,8 +68,9 @@ def sketch(hashes: np.ndarray, sketches: int, per_sketch: int, shingle: int) ->
     out = np.zeros(sketches, np.uint64)
     take, rows = min(per_sketch, n), max(1, 2_000_000 // n)
     for s in range(0, sketches, rows):
-        seeds = mixed(np.arange(s + 1, min(s + rows, sketches) + 1, dtype=np.uint64) * STEP)
-        value, every, places = mixed(labelled[None] ^ seeds[:, None]), np.arange(len(seeds)), []
+        # an odd factor permutes the well-mixed hashes of the k-mers
+        seeds = mixed(np.arange(s + 1, min(s + rows, sketches) + 1, dtype=np.uint64) * STEP) | np.uint64(1)
+        value, every, places = labelled[None] * seeds[:, None], np.arange(len(seeds)), []
         for _ in range(take):
             at = value.argmin(axis=1)
             places.append(at)
@@ -141,7 +142,7 @@ def alike(a: Sequence[int], b: Sequence[int], similarity: float) -> bool:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, shingle: int = 3,
                     sketches: int = 96, per_sketch: int = 2, leaders: int = 8, short_shingle: int = 2, long_from: int = 40,
-                    fewest: int = 5) -> DataFrame:
+                    fewest: int = 5, wordless_alike: bool = False, words_at_once: int = 200_000) -> DataFrame:
     """One row per row of ``docs``: the key, ``group_id`` (smallest key of its group), ``kept`` (key = group_id).
 
     Texts with the same words (lower case, cut at white space) are one class.
@@ -150,8 +151,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     connect. Sketches are of ``shingle``-mers from ``long_from`` words on and of
     ``short_shingle``-mers below; texts a little longer than ``long_from`` have
     both, so that any two texts whose lengths allow a link share a kind. Texts
-    without words are groups of their own, as are rows with a null key; shorter
-    texts group with equal ones only. Keys should be unique.
+    without words, null ones too, are groups of their own, or with
+    ``wordless_alike`` one group; other texts of fewer words group with equal ones
+    only. A row with a null key is a group of its own. Rows that share a key
+    should have one text.
 
     In a bucket of candidates each member is aligned with the bucket's leaders
     rather than with everyone: first with the smallest key, then, for what that
@@ -169,10 +172,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         known: dict[str, int] = {}
         spread, number = np.uint64(0xD6E8FEB86659FD93), np.arange(1, sketches + 1, dtype=np.uint64)
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for t in batch:
+                if held > words_at_once:  # not a whole batch of long texts at a time
+                    yield pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch"])
+                    rows, held = [], 0
                 words = words_of(t or "")
                 h = word_hashes(words, known)
+                held += len(words) + sketches
                 place = np.arange(1, len(h) + 1, dtype=np.uint64)
                 one, two = mixed(h + place * STEP).sum(dtype=np.uint64), mixed(h ^ place * spread).sum(dtype=np.uint64)
                 kinds = [k for k, has in ((shingle, len(h) >= long_from), (short_shingle, len(h) <= longest_short)) if has and len(h) >= fewest]
@@ -181,10 +188,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                 rows.append((len(h), int(one.view(np.int64)), int(two.view(np.int64)), own))
             yield pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch"])
 
-    rows = stages.keep(docs.select(F.col(key).alias("id"), sketched(text).alias("s")).where("id IS NOT NULL AND s.n > 0")
-                       .select("id", "s.*"), "sketches")
     same = ["n", "h1", "h2"]
-    classes = stages.keep(rows.groupBy(*same).agg(F.min("id").alias("rep"), F.any_value("sketch").alias("sketch")), "classes")
+    all_rows = stages.keep(docs.select(F.col(key).alias("id"), sketched(text).alias("s")).where("id IS NOT NULL")
+                           .where("s.n > 0" if not wordless_alike else "true").select("id", "s.*"), "sketches")
+    classes = stages.keep(all_rows.groupBy(*same).agg(F.min("id").alias("rep"), F.any_value("sketch").alias("sketch")), "classes")
+    rows = stages.keep(all_rows.select("id", *same), "rows")
+    stages.drop(all_rows)
     # two length classes a text, so that lengths within the similarity meet in one
     rung = F.floor(F.log(F.col("n")) / -math.log(similarity) + 1e-9).cast("int")
     buckets = classes.select("rep", F.explode("sketch").alias("value"), rung.alias("rung")).select(
@@ -214,7 +223,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     edges = tried = None
     slots = 1
-    left = stages.keep(buckets.withColumn("group", F.col("rep")), "left")
+    left = start = stages.keep(buckets.withColumn("group", F.col("rep")), "left")
+    stages.drop(buckets)
     while True:
         slot = F.pmod(F.xxhash64("rep"), F.lit(slots))
         heads = left.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("rep", "group")).alias("head")).select(
@@ -227,12 +237,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                 F.least("rep", "leader").alias("leader"), F.greatest("rep", "leader").alias("rep")).distinct()
             pairs = pairs.join(tried, ["rep", "leader"], "left_anti")
         pairs = stages.keep(pairs.select("rep", "leader"), "pairs")
-        tried = pairs if tried is None else stages.keep(tried.unionByName(pairs), "tried")
+        before, tried = tried, pairs if tried is None else stages.keep(tried.unionByName(pairs), "tried")
         told = pairs.join(stages.again(texts).withColumnRenamed("text", "a"), "rep").join(
             texts.select(F.col("rep").alias("leader"), F.col("text").alias("b")), "leader")
         new = stages.keep(told.select("rep", "leader", linked("a", "b").alias("same")).where("same").select("rep", "leader"), "links")
+        if before is not None:
+            stages.drop(before, pairs)
         grown = edges is None or not new.isEmpty()
-        edges = new if edges is None else stages.keep(edges.unionByName(new), "edges") if grown else edges
+        if edges is not None and grown:
+            both = stages.keep(edges.unionByName(new), "edges")
+            stages.drop(edges, new)
+            edges = both
+        elif edges is None:
+            edges = new
         if grown:
             found = components(edges, stages, "leader", "rep").select(F.col("node").alias("rep"), F.col("component").alias("group"))
         if slots > 1:  # leaders have met their whole bucket, and stand for their group in it
@@ -242,7 +259,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             "bucket", "rep", F.coalesce("group", "rep").alias("group")), "now")
         several = now.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("bucket")
         stages.release()
-        left = stages.keep(now.join(several, "bucket", "left_semi"), "left")
+        rest = stages.keep(now.join(several, "bucket", "left_semi"), "left")
+        stages.drop(now, heads, start)
+        left = start = rest
         if left.isEmpty():
             break
         slots = max(leaders, 4 * slots)

@@ -85,6 +85,13 @@ def test_near_copies(spark):
     assert order_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_without_words_as_one_group(spark):
+    rows = [(3, None), (1, ""), (2, " \n"), (5, "a word"), (None, ""), (7, "A  word")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.group_id, r.kept) for r in order_minhash.near_duplicates(docs, wordless_alike=True).collect()}
+    assert got == {(3, 1, False), (1, 1, True), (2, 1, False), (5, 5, True), (7, 5, False), (None, None, True)}
+
+
 def test_recall_where_copies_are_least_alike(spark):
     rng = random.Random(12)
     rows = []
@@ -315,7 +322,7 @@ def test_pipeline_stage_by_stage(spark):
         if name == "near_dedup":
             words = {i: order_minhash.words_of(t) for i, t in zip(before["doc_id"], before["text"], strict=True)}
             stay = set(after["doc_id"])
-            near = [(a, b) for a in words for b in words if a < b and words[a] and words[b]
+            near = [(a, b) for a in words for b in words if a < b
                     and (words[a] == words[b] or min(len(words[a]), len(words[b])) >= 5 and order_minhash.alike(words[a], words[b], 0.8))]
             assert not any(a in stay and b in stay for a, b in near)
             assert set(words) - stay <= {b for _, b in near}
