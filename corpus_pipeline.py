@@ -29,8 +29,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    groups = order_minhash.near_duplicates(docs.select("doc_id", "text"))
+    """Of each group of near copies the document with the smallest id stays.
+
+    Exact copies come here without a line left, since line dedup keeps the first
+    copy of a line only; they are one group. So are all texts without words, null
+    ones included. Rows without doc_id stay.
+    """
+    groups = order_minhash.near_duplicates(docs.select("doc_id", "text"), wordless_alike=True)
     return docs.join(groups.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
 
 
