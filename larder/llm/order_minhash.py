@@ -194,6 +194,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     classes = stages.keep(all_rows.groupBy(*same).agg(F.min("id").alias("rep"), F.any_value("sketch").alias("sketch")), "classes")
     rows = stages.keep(all_rows.select("id", *same), "rows")
     stages.drop(all_rows)
+    stages.release()
     # two length classes a text, so that lengths within the similarity meet in one
     rung = F.floor(F.log(F.col("n")) / -math.log(similarity) + 1e-9).cast("int")
     buckets = classes.select("rep", F.explode("sketch").alias("value"), rung.alias("rung")).select(
