@@ -257,6 +257,13 @@ def crawl() -> dict[str, str]:
         "f9_classify_by_element": f"{s} SELECT path, scrapable FROM site",
         "f10_listing_scan": f"""WITH {LISTING} SELECT page_no, CASE WHEN absent THEN 'errored' ELSE 'finished' END AS state
             FROM scan WHERE NOT seen AND page_no < sentinel""",
+        "f10_listing_ranges": f"""WITH {LISTING}, held AS (
+            SELECT CASE page_no WHEN 5 THEN 1000000000000 ELSE page_no END AS page_no FROM numbered WHERE page_no // 100 % 3 <> 1),
+          old AS (SELECT page_no FROM numbered WHERE page_no % 3 = 1 AND page_no <= 10),
+          every AS (SELECT page_no, page_no IN (SELECT page_no FROM old) AS seen FROM (SELECT page_no FROM held UNION SELECT page_no FROM old)),
+          spaced AS (SELECT *, lag(page_no, 1, 0) OVER (ORDER BY page_no) AS previous FROM every)
+          SELECT page_no, page_no AS to_page, 'finished' AS state FROM spaced WHERE NOT seen
+          UNION ALL SELECT previous + 1, page_no - 1, 'errored' FROM spaced WHERE previous < page_no - 1""",
         "f11_drain": f"{s} SELECT path, 'finished' AS state FROM crawl_state WHERE state = 'in_progress'",
         "f12_early_stop": f"""WITH {LISTING}, met AS (
             SELECT *, coalesce(sum(CAST(seen AS INTEGER)) OVER (
