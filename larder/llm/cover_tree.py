@@ -1,13 +1,15 @@
 """Exact top-k inner products by a dual-tree search over cover trees.
 
-Data rows are dealt to blocks of near rows. In a block, queries and rows are
-indexed in one cover tree: the children of a node are a net of its points, apart
-from each other by more than the child radius and covering all points within it.
-The search takes pairs of nodes, best bound first. By the covering radii no
-query below one node can score higher with a row below the other than the
-bound; where that is less than the worst k-th score of the node's queries, the
-pair is dropped with all below it. The best k of a query over all blocks follow
-from the best k of each.
+The top of the tree are balls around pivots, each with the covering radius of
+its rows. A query first searches the ball that its best pivot leads; a ball is
+searched besides only if the bound over it reaches the query's k-th score so far.
+In a block, queries and rows are indexed together in one cover tree: the children
+of a node are a net of its points, picked farthest first, so they are apart from
+each other by more than the child radius, from distances of the picked points to
+the node's own points only. The search takes pairs of nodes, best bound first. By
+the covering radii no query below one node can score higher with a row below the
+other than the bound; where that is less than the worst k-th score of the node's
+queries, the pair is dropped with all below it.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from larder.llm.common import Stages
 from larder.llm.vectors import blocks, k_means, nearest, spread_sample, usable
 
 
+VALUES = 4 << 20  # components of the sample, at most
+
+
 class Node:
     """A ball around point ``centre`` that covers points ``all`` within ``radius``."""
 
@@ -33,53 +38,59 @@ class Node:
         self.queries, self.data = points[points < n_queries], points[points >= n_queries] - n_queries
 
 
-def cover_tree(apart: np.ndarray, n_queries: int, shrink: float = 0.75, leaf: int = 48) -> Node:
-    """The tree of all points from their distances; the first ``n_queries`` points are queries.
+def cover_tree(points: np.ndarray, n_queries: int, shrink: float = 0.75, leaf: int = 64, fan: int = 12) -> Node:
+    """The tree of all points; the first ``n_queries`` points are queries.
 
-    Every level's net is picked greedily, each point going to the first net
-    point that covers it; the node's own centre comes first, so centres nest.
+    The node's own centre comes first, so centres nest; then the point farthest
+    from all centres, until every point is within ``shrink`` of the node's radius
+    or ``fan`` centres are found. Points go to their nearest centre. A node of at
+    most ``leaf`` points, or whose points are too spread for any child to be
+    smaller, is a leaf, so a level takes at most ``fan`` distances a point.
     """
-    root = Node(0, np.arange(len(apart)), float(apart[0].max()), n_queries)
+    root = Node(0, np.arange(len(points)), float(np.sqrt(((points - points[0]) ** 2).sum(axis=1).max())), n_queries)
     work = [root]
     while work:
         node = work.pop()
         if len(node.all) <= leaf or node.radius <= 0:
             continue
-        left, reach, centre, loose = node.all, node.radius * shrink, node.centre, []
-        while len(left):
-            row = apart[centre, left]
-            near = (row <= reach) | (left == centre)
-            inside = left[near]
-            if len(inside) == 1:
-                loose.append(inside[0])
-            else:
-                node.children.append(Node(centre, inside, float(row[near].max()), n_queries))
-            left = left[~near]
-            centre = left[0] if len(left) else -1
-        # net points that cover nothing but themselves share leaves
-        for k in range(0, len(loose), leaf):
-            some = np.array(loose[k:k + leaf])
-            node.children.append(Node(some[0], some, float(apart[some[0], some].max()), n_queries))
-        if len(node.children) == 1:  # all within reach of the centre: the ball is smaller than it looked
-            only = node.children.pop()
-            if len(only.all) == len(node.all) and only.radius < node.radius:
-                node.radius = only.radius
-                work.append(node)
+        own = points[node.all]
+        centres, home, gap, centre = [], np.zeros(len(own), np.int64), np.full(len(own), np.inf), node.centre
+        while True:
+            away = np.sqrt(((own - points[centre]) ** 2).sum(axis=1))
+            home = np.where(away < gap, len(centres), home)
+            gap = np.minimum(away, gap)
+            centres.append(centre)
+            far = int(gap.argmax())
+            if len(centres) == fan or gap[far] <= node.radius * shrink:
+                break
+            centre = int(node.all[far])
+        if len(centres) == 1:  # all near the centre: the ball is smaller than it looked
+            node.radius = float(gap.max())
+            work.append(node)
             continue
+        radii = [float(gap[home == k].max()) for k in range(len(centres))]
+        if np.bincount(home) @ np.array(radii) > 0.95 * node.radius * len(own):
+            continue  # a point's ball would hardly be smaller
+        node.children = [Node(c, node.all[home == k], radii[k], n_queries) for k, c in enumerate(centres)]
         work += node.children
     return root
 
 
-def best_of_block(queries: np.ndarray, q_id: np.ndarray, rows: np.ndarray, r_id: np.ndarray, k: int) -> pd.DataFrame:
-    """The ``k`` best rows of the block for every query, ties to the smaller id; a query's own id is no candidate."""
+def best_of_block(queries: np.ndarray, q_id: np.ndarray, rows: np.ndarray, r_id: np.ndarray, k: int,
+                  worst: np.ndarray | None = None) -> tuple[pd.DataFrame, int]:
+    """The ``k`` best rows of the block for every query, and how many scores were taken.
+
+    Ties go to the smaller id; a query's own id is no candidate, nor are scores
+    below the query's ``worst``.
+    """
     points = np.concatenate([queries, rows])
-    square = (points**2).sum(axis=1)
-    apart = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * points @ points.T, 0))
-    norm = np.sqrt(square)
+    norm = np.sqrt((points**2).sum(axis=1))
     slack = 1e-6 * (1 + norm.max() ** 2)  # rounding of distances
-    root = cover_tree(apart, len(queries))
-    best = [(np.empty(0), np.empty(0, np.int64))] * len(queries)
-    worst = np.full(len(queries), -np.inf)
+    root = cover_tree(points, len(queries))
+    worst = np.full(len(queries), -np.inf) if worst is None else worst.astype(np.float64)
+    best = np.full((len(queries), k), -np.inf)
+    best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
+    taken = 0
 
     def bound(a: Node, b: Node) -> float:
         x, y = a.centre, b.centre
@@ -92,15 +103,17 @@ def best_of_block(queries: np.ndarray, q_id: np.ndarray, rows: np.ndarray, r_id:
             continue
         if not a.children and not b.children:
             scores = queries[a.queries] @ rows[b.data].T
-            for i, line in zip(a.queries.tolist(), scores, strict=True):
-                use = (line >= worst[i]) & (r_id[b.data] != q_id[i])
-                if use.any():
-                    s = np.concatenate([best[i][0], line[use]])
-                    ids = np.concatenate([best[i][1], r_id[b.data][use]])
-                    order = np.lexsort((ids, -s))[:k]
-                    best[i] = s[order], ids[order]
-                    if len(order) == k:
-                        worst[i] = s[order[-1]]
+            taken += scores.size
+            ids = np.broadcast_to(r_id[b.data], scores.shape)
+            scores[(ids == q_id[a.queries, None]) | (scores < worst[a.queries, None])] = -np.inf
+            better = np.isfinite(scores).any(axis=1)
+            hit = a.queries[better]
+            if len(hit):
+                s = np.concatenate([best[hit], scores[better]], axis=1)
+                i = np.concatenate([best_id[hit], ids[better]], axis=1)
+                order = np.lexsort((i, -s), axis=-1)[:, :k]
+                best[hit], best_id[hit] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+                worst[hit] = np.maximum(worst[hit], best[hit, -1])
             continue
         split_a = bool(a.children) and (not b.children or a.radius >= b.radius)
         for x, y in ([(c, b) for c in a.children] if split_a else [(a, c) for c in b.children]):
@@ -109,13 +122,13 @@ def best_of_block(queries: np.ndarray, q_id: np.ndarray, rows: np.ndarray, r_id:
                 if top >= worst[x.queries].min():
                     tick += 1
                     heapq.heappush(heap, (-top, tick, x, y))
-    size = [len(s) for s, _ in best]
-    return pd.DataFrame({"query": np.repeat(q_id, size), "row": np.concatenate([i for _, i in best]),
-                         "score": np.concatenate([s for s, _ in best])})
+    q, place = np.nonzero(np.isfinite(best))
+    return pd.DataFrame({"query": q_id[q], "row": best_id[q, place], "score": best[q, place]}), taken
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vec: str = "embedding", scale: int = 1024,
-          rows_in_block: int = 2048, queries_in_block: int = 512, sample_rows: int = 20_000, most_pivots: int = 256) -> DataFrame:
+          rows_in_ball: int = 2048, rows_in_block: int = 16_384, queries_in_block: int = 2048, sample_rows: int = 20_000,
+          most_pivots: int = 256) -> DataFrame:
     """The ``k`` highest scores of each query over all rows but those of its own key.
 
     A vector becomes integers, floor(``scale`` * x); the score is the integer
@@ -123,50 +136,93 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
     query rows. Returns ``query_id, rank, vec_id, score``; ranks from 1, ties to
     the smaller key. Vectors that are null, empty or hold null or non-finite
     components, and null keys, take no part; vectors of different lengths do not
-    meet; equal rows count once. Queries meet data blockwise: a block holds at
-    most about ``rows_in_block`` rows and ``queries_in_block`` queries. Pivots
-    for the blocks are fitted on at most ``sample_rows`` rows.
+    meet; equal rows count once.
+
+    There is a pivot for every ``rows_in_ball`` rows, ``most_pivots`` at most,
+    fitted on at most ``sample_rows`` vectors of the commonest length. A ball of
+    more than ``rows_in_block`` rows is searched in several blocks. Queries that
+    begin in the same ball travel in teams of about ``queries_in_block``; a team
+    meets the balls only that one of its queries must search. Rows are stored
+    once by ball and copied to those teams alone.
     """
     stages = Stages(vectors.sparkSession, "cover-tree")
     ints = F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("double"))
     rows = vectors.where(usable(F.col(vec)) & F.col(key).isNotNull()).select(
         F.col(key).alias("id"), ints.alias("vec"), F.coalesce(is_query, F.lit(False)).alias("asks")).distinct()
     rows = stages.keep(rows.withColumn("dim", F.size("vec")), "rows")
-    n = rows.count()
-    if n == 0:
+    common = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    if common is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"),
                            F.lit(0).cast("long").alias("score"))
-    sample = spread_sample(rows, "id", sample_rows).select("vec", "dim").toPandas()
-    dim = int(sample["dim"].mode()[0])
-    pivots = k_means(np.array(sample[sample["dim"] == dim]["vec"].tolist(), np.float64),
-                     int(min(-(-n // rows_in_block), most_pivots)))
+    dim, n = common
+    sample = spread_sample(rows.where(F.col("dim") == dim), "id", max(1, min(sample_rows, VALUES // dim))).select("vec").toPandas()
+    pivots = k_means(np.array(sample["vec"].tolist(), np.float64), int(min(-(-n // rows_in_ball), most_pivots)))
+
+    @F.pandas_udf("struct<ball:int,gap:double>")
+    def placed(batch: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({"ball": np.full(len(batch), -1, np.int32), "gap": 0.0})  # other lengths: a ball without a pivot
+        own = np.flatnonzero(batch.map(len).to_numpy() == dim)
+        if len(own):
+            x = np.array(batch.iloc[own].tolist(), np.float64)
+            home = nearest(x, pivots)
+            out.loc[own, "ball"], out.loc[own, "gap"] = home.astype(np.int32), np.sqrt(((x - pivots[home]) ** 2).sum(axis=1))
+        return out
+
+    data = stages.keep(rows.select("id", "vec", "dim", placed("vec").alias("p")).select("id", "vec", "dim", "p.*"), "data")
+    sizes = stages.keep(data.groupBy("dim", "ball").agg(
+        F.ceil(F.count(F.lit(1)) / rows_in_block).cast("int").alias("parts"), F.max("gap").alias("radius")), "sizes")
+    balls = sizes.where((F.col("dim") == dim) & (F.col("ball") >= 0)).orderBy("ball").collect()  # a row a pivot
+    number, radius = np.array([b.ball for b in balls]), np.array([b.radius for b in balls])
+    middle = pivots[number]
+    length = np.sqrt((middle**2).sum(axis=1))
 
     @F.pandas_udf("int")
-    def pivot(batch: pd.Series) -> pd.Series:
-        return pd.Series([int(nearest(v[None], pivots)[0]) if len(v) == dim else 0 for v in batch], dtype="int32")
-
-    data = stages.keep(rows.select("id", "vec", "dim", pivot("vec").alias("pivot")), "data")
-    sizes = stages.keep(data.groupBy("dim", "pivot").agg(
-        F.ceil(F.count(F.lit(1)) / rows_in_block).cast("int").alias("parts")), "sizes")
-    asking = stages.again(rows).where("asks").select("id", "vec", "dim")
-    groups = -(-asking.count() // queries_in_block)
-    if groups == 0:
-        groups = 1
-    data = data.join(sizes, ["dim", "pivot"]).withColumn("part", blocks(F.col("id"), F.col("parts"))).withColumn(
-        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asking = asking.withColumn("group", blocks(F.col("id"), F.lit(groups))).join(stages.again(sizes), "dim").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    block = ["dim", "pivot", "part", "group"]
+    def begin(batch: pd.Series) -> pd.Series:
+        return pd.Series([int(number[np.argmax(middle @ v)]) if len(v) == dim else -1 for v in batch], dtype="int32")
+
+    @F.pandas_udf("array<int>")
+    def reached(vecs: pd.Series, starts: pd.Series, worst: pd.Series) -> pd.Series:
+        """The other balls that may hold a score of at least ``worst``."""
+        out = []
+        for v, start, least in zip(vecs, starts, worst.fillna(-np.inf), strict=True):
+            if start < 0:
+                out.append([])
+                continue
+            size = np.sqrt(v @ v)
+            top = middle @ v + size * radius + 1e-6 * (1 + size * (length + radius).max())
+            out.append(number[(top >= least) & (number != start)].tolist())
+        return pd.Series(out, dtype=object)
+
+    asking = stages.keep(rows.where("asks").select("id", "vec", "dim", begin("vec").alias("start")), "asking")
+    teams = asking.groupBy("dim", "start").agg(F.ceil(F.count(F.lit(1)) / queries_in_block).cast("int").alias("teams"))
+    asking = stages.keep(stages.again(asking).join(teams, ["dim", "start"]).select(
+        "id", "vec", "dim", "start", blocks(F.col("id"), F.col("teams")).alias("team")), "teams")
+    parts = sizes.select("dim", "ball", "parts")
+    data = data.join(parts, ["dim", "ball"]).select("id", "vec", "dim", "ball", blocks(F.col("id"), F.col("parts")).alias("part"))
+    block = ["dim", "ball", "part", "start", "team"]
 
     def search(ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if ask.empty or own.empty:
             return pd.DataFrame({"query": [], "row": [], "score": []}, dtype="int64")
         q, r = (np.array(x["vec"].tolist(), np.float64) for x in (ask, own))
-        out = best_of_block(q, ask["id"].to_numpy(), r, own["id"].to_numpy(), k)
-        return out.astype({"score": "int64"})
+        out, _ = best_of_block(q, ask["id"].to_numpy(), r, own["id"].to_numpy(), k,
+                               ask["worst"].fillna(-np.inf).to_numpy(np.float64))
+        return out.astype("int64")
+
+    def searched(ask: DataFrame) -> DataFrame:
+        """The best of each ball for the queries (id, vec, dim, start, team, ball, worst) that must search it."""
+        ask = ask.join(parts, ["dim", "ball"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        # columns of their own: the two sides are grouped apart
+        own = data.join(ask.select(*[F.col(c).alias(c) for c in block]).distinct(), ["dim", "ball", "part"])
+        return ask.select(*block, "id", "vec", "worst").groupBy(*block).cogroup(
+            own.select(*block, "id", "vec").groupBy(*block)).applyInPandas(search, "query long, row long, score long")
 
-    found = asking.select(*block, "id", "vec").groupBy(*block).cogroup(
-        data.select(*block, "id", "vec").groupBy(*block)).applyInPandas(search, "query long, row long, score long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "row")
+    first = stages.keep(searched(asking.select("*", F.col("start").alias("ball"), F.lit(None).cast("double").alias("worst"))).withColumn(
+        "rank", F.row_number().over(order)).where(F.col("rank") <= k), "first")
+    worst = first.where(F.col("rank") == k).select(F.col("query").alias("id"), F.col("score").cast("double").alias("worst"))
+    more = searched(stages.keep(stages.again(asking).join(worst, "id", "left").withColumn(
+        "ball", F.explode(reached("vec", "start", "worst"))), "more"))
+    found = first.select("query", "row", "score").unionByName(more)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         F.col("query").alias("query_id"), "rank", F.col("row").alias("vec_id"), "score")

@@ -89,11 +89,11 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long"), stages).count() == 0
 
 
-@pytest.mark.parametrize("sizes", [(2048, 512), (40, 3)])
+@pytest.mark.parametrize("sizes", [(2048, 16384, 2048), (20, 30, 3)])
 def test_top_k(spark, sizes):
     vecs, labels = crowd(250)
     vecs[50:60] = [vecs[50]] * 10  # ties
-    out = cover_tree.top_k(table(spark, vecs, labels), F.col("vec_id") % 10 == 0, k=7, rows_in_block=sizes[0], queries_in_block=sizes[1])
+    out = cover_tree.top_k(table(spark, vecs, labels), F.col("vec_id") % 10 == 0, k=7, rows_in_ball=sizes[0], rows_in_block=sizes[1], queries_in_block=sizes[2])
     got = {}
     for r in out.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -113,15 +113,49 @@ def test_top_k_of_nothing(spark):
     assert cover_tree.top_k(table(spark, [[1.0]], [1], [3]), F.col("vec_id") % 10 == 0).count() == 0
 
 
-def test_a_tree_covers_and_prunes():
-    rng = np.random.default_rng(8)
-    x = np.concatenate([rng.normal(size=(200, 4)) * 0.1 + c for c in rng.normal(size=(5, 4)) * 10])
-    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
-    todo = [cover_tree.cover_tree(apart, 100, leaf=8)]
-    assert len(todo[0].all) == len(x)
+def spots(n=4000, dim=64, seed=8):
+    rng = np.random.default_rng(seed)
+    return np.floor(1024 * (rng.normal(size=(40, dim)) * 3)[rng.integers(0, 40, n)] + 1024 * 0.1 * rng.normal(size=(n, dim)))
+
+
+def test_a_tree_covers():
+    x = spots(600, 4)
+    todo, seen = [cover_tree.cover_tree(x, 100, leaf=8)], 0
+    assert len(todo[0].all) == len(x) and todo[0].children
     while todo:
         node = todo.pop()
-        assert apart[node.centre, node.all].max() <= node.radius + 1e-9
+        assert np.sqrt(((x[node.all] - x[node.centre]) ** 2).sum(axis=1)).max() <= node.radius + 1e-6
         if node.children:
             assert sorted(i for c in node.children for i in c.all) == sorted(node.all)
+            seen += 1
             todo += node.children
+    assert seen > 5
+
+
+def test_pairs_of_nodes_are_dropped():
+    x = spots()
+    out, taken = cover_tree.best_of_block(x[:200], np.arange(200), x, np.arange(len(x)), 10)
+    assert taken < 0.2 * 200 * len(x)
+    scores = x[:200] @ x.T
+    scores[np.arange(200), np.arange(200)] = -np.inf
+    want = -np.sort(-scores, axis=1)[:, :10]
+    assert (out["score"].to_numpy().reshape(200, 10) == want).all()
+
+
+def test_balls_out_of_reach_are_not_searched(spark, monkeypatch):
+    x = spots(1500, 8, 3)
+    met = spark.sparkContext.accumulator(0)
+    real = cover_tree.best_of_block
+
+    def counted(queries, q_id, rows, *rest):
+        met.add(len(queries) * len(rows))
+        return real(queries, q_id, rows, *rest)
+
+    monkeypatch.setattr(cover_tree, "best_of_block", counted)
+    docs = spark.createDataFrame([(i, (v / 1024).tolist(), 0, "") for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int, extra string")
+    got = {}
+    for r in cover_tree.top_k(docs, F.col("vec_id") % 10 == 0, rows_in_ball=50).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, 1500, 10):
+        assert got[q] == sorted(set(range(1500)) - {q}, key=lambda i: (-(x[q] @ x[i]), i))[:10]
+    assert 0 < met.value < 0.5 * 150 * 1500
