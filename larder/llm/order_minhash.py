@@ -195,14 +195,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     rows = stages.keep(all_rows.select("id", *same), "rows")
     stages.drop(all_rows)
     stages.release()
-    # two length classes a text, so that lengths within the similarity meet in one
+    # first the sketches that two texts share, whatever their lengths: most are of one text only
     rung = F.floor(F.log(F.col("n")) / -math.log(similarity) + 1e-9).cast("int")
-    buckets = classes.select("rep", F.explode("sketch").alias("value"), rung.alias("rung")).select(
-        "rep", F.explode(F.array("rung", F.col("rung") + 1)).alias("rung"), "value")
-    bucket = F.xxhash64("rung", "value")
-    buckets = buckets.select("rep", bucket.alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("bucket")
-    buckets = stages.keep(buckets.join(shared, "bucket", "left_semi"), "buckets")
+    values = classes.select("rep", rung.alias("rung"), F.explode("sketch").alias("value"))
+
+    def common(rows: DataFrame, by: str) -> DataFrame:
+        several = rows.groupBy(by).agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select(by)
+        return rows.join(several, by, "left_semi")
+
+    shared = stages.keep(common(values, "value"), "shared")
+    reps = stages.keep(stages.again(classes).select(*same, "rep"), "reps")
+    stages.drop(classes)
+    stages.release()
+    # then two length classes a text, so that lengths within the similarity meet in one
+    buckets = shared.select("rep", F.explode(F.array("rung", F.col("rung") + 1)).alias("rung"), "value").select(
+        "rep", F.xxhash64("rung", "value").alias("bucket"))
+    buckets = stages.keep(common(buckets, "bucket"), "buckets")
+    stages.drop(shared)
     stages.release()
     texts = stages.keep(
         docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(buckets.select("rep").distinct(), "rep", "left_semi"),
@@ -266,7 +275,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         if left.isEmpty():
             break
         slots = max(leaders, 4 * slots)
-    member = rows.join(classes.select(*same, "rep"), same).join(found, "rep", "left").select(
+    member = rows.join(reps, same).join(found, "rep", "left").select(
         "id", F.coalesce("group", "rep").alias("group")).distinct()
     return docs.select(F.col(key).alias("id")).join(member, "id", "left").select(
         F.col("id").alias(key), F.coalesce("group", "id").alias("group_id"),
