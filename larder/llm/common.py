@@ -73,6 +73,14 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, stages: Stages, src: str = "a", dst: str = "b") -> DataFrame:
     """Connected components of an undirected graph, as (node, component): the
     smallest node of each component, for every node that is not itself the smallest.

@@ -19,13 +19,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import unit_hash, without
+from larder.llm.common import fresh, unit_hash
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in LETTERS.findall(text.lower()) if w.isalpha()] if text else []
+    """Runs of letters; anything else, superscripts too, ends a word."""
+    out: list[str] = []
+    for w in LETTERS.findall(text.lower()) if text else ():
+        out += [w] if w.isalpha() else "".join([c if c.isalpha() else " " for c in w]).split()
+    return out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -212,22 +216,26 @@ def held_out(key: Column) -> Column:
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 250,
-          most_chars: int = 20_000, most_languages: int = 100) -> LanguageField:
-    """A field learned from labelled rows that are not held out.
+          most_chars: int = 20_000, sample_chars: int = 40_000_000) -> LanguageField:
+    """A field learned from labelled rows that are not held out, with every label they have.
 
-    The sample is bounded: ``rows_per_language`` rows, by the hash of their key,
-    of the ``most_languages`` most frequent languages, none longer than
-    ``most_chars`` (longer rows are not sampled).
+    The sample is bounded: ``rows_per_language`` rows of each language by the
+    hash of their key, and of each row a stretch of ``most_chars`` that begins
+    where that hash falls; with very many languages the stretches are shorter,
+    so that all together hold no more than ``sample_chars``.
     """
-    usable = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & (F.length(text) <= most_chars) & (F.length(text) > 0))
-    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_languages).collect()
+    usable = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & (F.length(text) > 0))
+    counts = usable.groupBy(lang).count().collect()  # a row a label, as the model itself has
+    stretch = max(200, min(most_chars, sample_chars // (max(len(counts), 1) * (2 * rows_per_language))))
     draw = unit_hash(F.coalesce(F.col(key).cast("string"), F.lit("")), "crf")
     # a share that gives somewhat more than the wished rows of each language; the smallest hashes are taken
     share = {r[0]: min(1.0, (1.5 * rows_per_language + 50) / r[1]) for r in counts}
     rows = []
     if share:
-        wanted = F.coalesce(*[F.when(F.col(lang) == k, F.lit(v)) for k, v in share.items()], F.lit(-1.0))
-        sample = usable.where(draw < wanted).select(text, lang, draw.alias("draw"), F.col(key).alias("key"))
+        wanted = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col(lang)]
+        begin = (draw / wanted * F.greatest(F.length(text) - stretch, F.lit(0))).cast("int") + 1
+        sample = usable.where(draw < wanted).select(
+            F.substring(F.col(text), begin, F.lit(stretch)).alias("text"), lang, draw.alias("draw"), F.col(key).alias("key"))
         rows = sorted(sample.collect(), key=lambda r: (r[1], r[2], str(r[3])))
     taken, samples = Counter(), []
     for r in rows:
@@ -267,5 +275,6 @@ def identify(docs: DataFrame, field: LanguageField, text: str = "text", out: str
 
     names = {out.lower(), score.lower()}
     keep = [c for c in docs.columns if c.lower() not in names]
-    told = without(docs, ["_told"]).withColumn("_told", F.pandas_udf(run, "struct<lang:string,score:double>")(F.col(text)))
-    return told.select(*[F.col(f"`{c}`") for c in keep], F.col("_told.lang").alias(out), F.col("_told.score").alias(score))
+    name = fresh(docs, "_told")
+    told = docs.withColumn(name, F.pandas_udf(run, "struct<lang:string,score:double>")(F.col(text)))
+    return told.select(*[F.col(f"`{c}`") for c in keep], F.col(f"{name}.lang").alias(out), F.col(f"{name}.score").alias(score))
