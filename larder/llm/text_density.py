@@ -29,7 +29,9 @@ SILENT = RAW | frozenset(
     "fieldset datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike "
-    "strong sub sup time tt u var wbr ruby rb rt rp nobr".split())
+    "strong sub sup time tt u var wbr ruby rb rt rp nobr label output object picture slot meter progress "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded "
+    "menclose semantics annotation".split())
 #: An open element of the key ends when one of the values begins.
 ENDS = {
     "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -255,7 +257,7 @@ class Page:
         """Blocks of the content in page order, one a line."""
         chosen, block_of = self.content(), [0] * len(self.tag)
         for i in range(1, len(self.tag)):
-            block_of[i] = block_of[self.parent[i]] if self.tag[i] in INLINE else i
+            block_of[i] = block_of[self.parent[i]] if self.tag[i] in INLINE or "-" in self.tag[i] else i  # own elements flow
         blocks: list[str] = []
         parts: list[str] = []
         last = -1

@@ -1,6 +1,7 @@
 """Operators that map one text: encoding, token counts, main text, language."""
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -166,6 +167,83 @@ def test_names_that_only_look_like_boilerplate():
         assert "GONE" not in text_density.Page(f"<body><article><h1>T</h1>{prose}{gone}{prose}</article></body>").main_text()
 
 
+@pytest.mark.parametrize("part", ["by <label>K</label> and more", "so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds",
+                                  "an <x-term>own element</x-term> here", "is <output>3</output> of <picture><img src=a></picture> it"])
+def test_what_flows_in_a_line_stays_in_its_block(part):
+    prose = "<p>" + "words of plain prose " * 12 + "</p>"
+    lines = text_density.Page(f"<body><article><h1>T</h1><p>{part}</p>{prose}</article></body>").main_text().split("\n")
+    assert len(lines) == 3 and lines[1].split()[0] == part.split()[0] and lines[1].split()[-1] == part.split()[-1].replace("</picture>", "")
+
+
+def plain_choice(root):
+    """The chosen nodes of a tree of (tag, [text or child]), written from the definition."""
+    nodes = []
+
+    def walk(node, up, in_link):
+        me = {"tag": node[0], "up": up, "c": 0, "lc": 0, "t": 0, "lt": 0, "kids": []}
+        nodes.append(me)
+        for x in node[1]:
+            if isinstance(x, str):
+                me["c"] += len(x)
+                me["lc"] += len(x) * (in_link or node[0] == "a")
+            else:
+                kid = walk(x, me, in_link or node[0] == "a")
+                me["kids"].append(kid)
+                for k in ("c", "lc", "t", "lt"):
+                    me[k] += kid[k]
+                me["t"] += 1
+                me["lt"] += kid["tag"] == "a"
+        return me
+
+    body = walk(root, None, False)
+    for x in nodes:
+        x["d"] = 0.0
+        if x["c"]:
+            c, lc, t, lt = x["c"], max(x["lc"], 1), max(x["t"], 1), max(x["lt"], 1)
+            base = math.log(c / max(c - x["lc"], 1) * x["lc"] + body["lc"] / body["c"] * c + math.e)
+            x["d"] = c / t * math.log(c / lc * t / lt) / math.log(base) if base > 1 else c / t * math.log(c / lc * t / lt)
+    for x in nodes:
+        x["sum"] = sum(k["d"] for k in x["kids"])
+    best = max(nodes, key=lambda x: (x["sum"], x["c"]))
+    path, x = [], best
+    while x is not None:
+        path.append(x["d"])
+        x = x["up"]
+    out = []
+    for x in nodes:
+        up = x["up"]
+        x["in"] = x is best or (x is not body and x["c"] > 0 and x["d"] >= min(path)) or (up is not None and up["in"])
+        out.append(x["in"])
+    return out
+
+
+def test_density_sums_by_a_plain_tree():
+    rng = random.Random(4)
+
+    def tree(depth):
+        kids = []
+        for _ in range(rng.randint(1, 5)):
+            k = rng.random()
+            if depth and k < 0.5:
+                kids.append(tree(depth - 1))
+            elif k < 0.65:
+                kids.append(("a", ["l" * rng.randint(1, 20)]))
+            else:
+                kids.append(("p", ["w" * rng.randint(1, 300)]))
+        return ("div", kids)
+
+    def shown(node):
+        return f"<{node[0]}>" + "".join(x if isinstance(x, str) else shown(x) for x in node[1]) + f"</{node[0]}>"
+
+    chosen = 0
+    for _ in range(200):
+        root = ("body", [tree(3) for _ in range(3)])
+        got = text_density.Page(shown(root)).content()[1:]
+        assert got == plain_choice(root)
+        chosen += sum(got) < len(got)
+    assert chosen > 50
+
+
 # --- language ----------------------------------------------------------------------------
 
 
@@ -227,3 +305,24 @@ def test_held_out_rows_are_crc32(spark):
 
     got = spark.range(50).select("id", crf_languages.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
+
+
+def test_letters_beside_other_signs_are_words():
+    assert crf_languages.words_of("m² x_y 12ab ½ Große") == ["m", "x", "y", "ab", "große"]
+    assert crf_languages.words_of(None) == [] and crf_languages.words_of("² 3") == []
+
+
+def test_every_label_is_learned_also_of_long_rows(spark):
+    rows = [(i, ("alpha beta " if i % 2 else "gamma delta ") * 4000, "long" if i % 2 else "other") for i in range(12)]
+    docs = spark.createDataFrame([*rows, (50, "m²", None)], "doc_id long, text string, lang string").withColumn("_told", F.lit(3))
+    field = crf_languages.learn(docs, rows_per_language=4, most_chars=300)
+    assert field.labels == ["long", "other"]
+    out = crf_languages.identify(docs, field)
+    assert out.columns == ["doc_id", "text", "lang", "_told", "lang_pred", "score"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[i].lang_pred == lang and got[i]._told == 3 for i, _, lang in rows) and got[50].lang_pred != "und"
+
+
+def test_a_column_named_like_the_coded_struct_stays(spark):
+    docs = spark.createDataFrame([(1, "some text", 7)], "doc_id long, text string, _coded int")
+    assert viterbi_pieces.encode(docs, MODEL).first()._coded == 7
