@@ -393,7 +393,7 @@ def score(docs: DataFrame, tables: DataFrame, model: Model, shards: int, tokens_
         keys, held, size = [], [], 0
         for batch in batches:
             for key, lang, t in zip(batch["id"], batch["lang"], batch["text"], strict=True):
-                keys.append((None if pd.isna(key) else int(key), lang))
+                keys.append((key, lang))
                 held.append(words.of(t or ""))
                 size += len(held[-1])
                 if size >= tokens_at_once or len(held) >= docs_at_once:
@@ -437,11 +437,11 @@ def score(docs: DataFrame, tables: DataFrame, model: Model, shards: int, tokens_
         for blob in group["blob"][~group["head"]].sort_values(key=lambda s: s.map(zlib.crc32)):  # one order of addition
             doc, part = unpack(blob)
             sums[doc] += part
-        return pd.DataFrame({"id": pd.array([k for k, _ in keys], "Int64"), "lang": [x for _, x in keys], "n_words": size, "log_prob": sums})
+        return pd.DataFrame({"id": [k for k, _ in keys], "lang": [x for _, x in keys], "n_words": size, "log_prob": sums})
 
     asked = docs.mapInPandas(ask, "batch long, shard int, head boolean, blob binary")
     answers = asked.groupBy("shard").cogroup(tables.groupBy("part")).applyInPandas(answer, "batch long, head boolean, blob binary")
-    return answers.groupBy("batch").applyInPandas(collect, "id long, lang string, n_words long, log_prob double")
+    return answers.groupBy("batch").applyInPandas(collect, "id string, lang string, n_words long, log_prob double")
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -467,10 +467,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
              for t, k in ((merged, "sizes"), (merged, "hot"), (rare, "seen"))}
     model = Model(top, words, small["sizes"], small["hot"], small["seen"])
     stages.release()
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     tables = merged.where("kind = 'pairs'").select("kind", "part", "blob").unionByName(rare.where("kind <> 'seen'"))
     out = score(rows, tables, model, shards, tokens_at_once)
-    return stages.keep(out.select("id", "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")
+    own = docs.schema[key].dataType
+    return stages.keep(out.select(F.col("id").cast(own).alias("id"), "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")
 
 
 def in_fold(key: Column) -> Column:
@@ -488,17 +489,18 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: flo
     of ``slack * (1 + least / n)``, which widens smoothly as there are fewer. A
     document above the limit of its language is rejected. Texts without words,
     and documents of a language that has no held-out trusted document, are kept:
-    nothing speaks against them. Their limit is null.
+    nothing speaks against them. Their limit is null. Keys may be of any type;
+    they meet those of the labels as text.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("string").alias("_id")).where("_id IS NOT NULL").distinct()
     # A first sieve drops most other documents before the join moves their texts: at most 2**20 hash values
-    sieve = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(1 << 20))
+    sieve = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20))
     values = good.where(~in_fold(F.col("_id"))).select(sieve(F.col("_id")).alias("_sieve")).distinct()
-    train = docs.select(F.col(key).cast("long").alias("_id"), text).withColumn("_sieve", sieve(F.col("_id"))).join(
+    train = docs.select(F.col(key).cast("string").alias("_id"), text).withColumn("_sieve", sieve(F.col("_id"))).join(
         F.broadcast(values), "_sieve", "left_semi").join(good.where(~in_fold(F.col("_id"))), "_id", "left_semi")
     scores = perplexities(docs, train, key, text, lang, **model)
     # rounded values: exact quantiles over a few ten thousand distinct numbers at most
-    held = scores.join(good.where(in_fold(F.col("_id"))), scores["id"] == F.col("_id"), "left_semi").select(
+    held = scores.join(good.where(in_fold(F.col("_id"))), scores["id"].cast("string") == F.col("_id"), "left_semi").select(
         "lang", F.round("log_ppl", 3).alias("x")).where("x IS NOT NULL")
     # null and the empty string are languages of their own
     named = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
