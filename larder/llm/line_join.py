@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import Stages, without
+from larder.llm.common import Stages, fresh, without
 
 CUT = r"[^\p{L}\p{N}]+"
 SLOTS = 1 << 20  # word counts are kept by hash slot
@@ -136,12 +136,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
         F.col("similar") | (F.col("at.id").isNotNull() & ~F.col("at.id").eqNullSafe(F.col("id"))) | (F.col("at.no") != F.col("no"))
         | (F.col("at.id").isNull() & F.col("id").isNotNull()))
     # the lines of one document: as many as its own text holds
-    cut = out.groupBy("id").agg(F.collect_set("no").alias("_cut"))
     rest = without(docs, ["n_lines", "n_removed"])
-    told = rest.join(cut, rest[key].eqNullSafe(cut["id"]), "left").drop("id") if "id" not in rest.columns else rest.join(
-        cut.withColumnRenamed("id", "_of"), rest[key].eqNullSafe(F.col("_of")), "left").drop("_of")
+    of, name = fresh(rest, "_of"), fresh(rest, "_cut")
+    cut = out.groupBy(F.col("id").alias(of)).agg(F.collect_set("no").alias(name))
+    told = rest.join(cut, rest[key].eqNullSafe(cut[of]), "left")
     parts = F.split(F.col(text), "\n")
-    gone = F.coalesce("_cut", F.array().cast("array<int>"))
+    gone = F.coalesce(name, F.array().cast("array<int>"))
     kept = F.filter(parts, lambda x, i: ~F.array_contains(gone, i))
     columns = [F.when(F.col(text).isNotNull(), F.array_join(kept, "\n")).alias(text) if c == text else F.col(f"`{c}`") for c in rest.columns]
     return told.select(*columns, F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),

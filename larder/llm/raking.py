@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import Stages, unit_hash, without
+from larder.llm.common import Stages, fresh, unit_hash, without
 
 NONE = "(none)"
 
@@ -65,7 +65,7 @@ def raked_weights(cells: DataFrame, margins: Sequence[str], power: float, rounds
 
 def mix(docs: DataFrame, key: str = "doc_id", source: Column | str = "source", lang: Column | str = "lang",
         topic: Column | None = None, text: str = "text", keep: float = 0.7, power: float = 0.5, rounds: int = 8,
-        salt: str = "mix", targets: Mapping[str, DataFrame] | None = None, most_cells: int = 50_000) -> DataFrame:
+        salt: str = "mix", targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """``docs`` with ``topic``, ``n_tokens``, ``weight``, ``probability`` and ``sampled``.
 
     ``weight`` is the raked share of the document's cell over its actual share;
@@ -76,28 +76,25 @@ def mix(docs: DataFrame, key: str = "doc_id", source: Column | str = "source", l
     carry no weight to rake: they count 1. ``targets`` gives tables (value,
     target) for "source", "lang" or "topic"; other margins keep their shares to
     ``power``. Columns of these names in ``docs`` are replaced.
-    Up to ``most_cells`` cells are broadcast, counted first; more meet the
-    documents in a join.
     """
     stages = Stages(docs.sparkSession, "raking")
     c = lambda x: F.col(x) if isinstance(x, str) else x
     whole = F.coalesce(F.col(text), F.lit(""))
     new = ["topic", "n_tokens", "weight", "probability", "sampled"]
     topic = kind_of_text(whole, word_count(whole)) if topic is None else topic
-    told = docs.select("*", F.coalesce(c(source), F.lit(NONE)).alias("_source"), F.coalesce(c(lang), F.lit(NONE)).alias("_lang"),
-                       F.coalesce(topic, F.lit(NONE)).alias("_topic"), word_count(whole).alias("_n"))
-    margins = ["_source", "_lang", "_topic"]
-    cells = told.groupBy(*margins).agg(F.sum("_n").alias("tokens"))
-    goals = {f"_{m}": t for m, t in (targets or {}).items()}
+    names = {m: fresh(docs, f"_{m}") for m in ("source", "lang", "topic", "n", "weight")}
+    margins, n, own = [names[m] for m in ("source", "lang", "topic")], names["n"], names["weight"]
+    told = docs.select("*", *[F.coalesce(x, F.lit(NONE)).alias(m) for m, x in zip(margins, (c(source), c(lang), topic), strict=True)],
+                       word_count(whole).alias(n))
+    cells = told.groupBy(*margins).agg(F.sum(n).alias("tokens"))
+    goals = {names[m]: t for m, t in (targets or {}).items()}
     rates = raked_weights(cells, margins, power, rounds, stages, goals).select(
-        *margins, F.round(F.col("w") / F.col("share"), 6).alias("_weight"))
-    if rates.count() <= most_cells:
-        rates = F.broadcast(rates)
-    out = without(told, new).join(rates, margins, "left").withColumn("_weight", F.coalesce("_weight", F.lit(1.0)))
-    chance = F.round(F.least(F.lit(1.0), F.lit(keep) * F.col("_weight")), 6)
-    kept = [x for x in out.columns if x not in (*margins, "_n", "_weight")]
-    return out.select(*[F.col(f"`{x}`") for x in kept], F.col("_topic").alias("topic"), F.col("_n").alias("n_tokens"),
-                      F.col("_weight").alias("weight"), chance.alias("probability"),
+        *margins, F.round(F.col("w") / F.col("share"), 6).alias(own))
+    out = without(told, new).join(rates, margins, "left").withColumn(own, F.coalesce(own, F.lit(1.0)))
+    chance = F.round(F.least(F.lit(1.0), F.lit(keep) * F.col(own)), 6)
+    kept = [x for x in out.columns if x not in (*margins, n, own)]
+    return out.select(*[F.col(f"`{x}`") for x in kept], F.col(margins[2]).alias("topic"), F.col(n).alias("n_tokens"),
+                      F.col(own).alias("weight"), chance.alias("probability"),
                       (unit_hash(F.coalesce(F.col(key).cast("string"), F.lit("")), salt) < chance).alias("sampled"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.bpe_counts import SPACE, pre_tokens
-from larder.llm.common import without
+from larder.llm.common import fresh, without
 
 
 NEVER = float("-inf")
@@ -285,9 +285,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
     coded = F.pandas_udf(run, "struct<ids:array<int>,exact:boolean>")(F.col(text))
     names = [out, *([exact] if exact else [])]
     keep = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
-    done = docs.withColumn("_coded", coded)
-    return done.select(*[F.col(f"`{c}`") for c in keep], F.col("_coded.ids").alias(out),
-                       *([F.col("_coded.exact").alias(exact)] if exact else []))
+    name = fresh(docs, "_coded")
+    done = docs.withColumn(name, coded)
+    return done.select(*[F.col(f"`{c}`") for c in keep], F.col(f"{name}.ids").alias(out),
+                       *([F.col(f"{name}.exact").alias(exact)] if exact else []))
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

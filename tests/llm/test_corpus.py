@@ -294,6 +294,25 @@ def test_given_targets(spark):
     assert raking.mix(mixed(spark).limit(0)).count() == 0
 
 
+def test_columns_named_like_internal_ones_stay(spark):
+    own = ["_cut", "_of", "id", "_source", "_lang", "_topic", "_weight", "_n"]
+    docs = spark.createDataFrame([(1, "one two three\nfour", "en", "s"), (2, "one two three", "en", "s")],
+                                 "doc_id long, text string, lang string, source string").select("*", *[F.lit(5).alias(c) for c in own])
+    cut = {r.doc_id: r for r in line_join.dedup_lines(docs).collect()}
+    assert cut[2].text == "" and cut[1].text == "one two three\nfour"
+    mixed_in = raking.mix(docs).collect()
+    assert all(r[c] == 5 for r in [*cut.values(), *mixed_in] for c in own) and len(mixed_in) == 2
+
+
+def test_quality_of_text_keys(spark):
+    rows = [(f"k{i}", " ".join(prose(30)), "en") for i in range(30)]
+    docs = spark.createDataFrame([*rows, (None, "some words", None), ("e", "", "en")], "doc_id string, text string, lang string")
+    labels = spark.createDataFrame([(f"k{i}", 1) for i in range(20)], "doc_id string, quality int")
+    out = kneser_ney.judge(docs, labels)
+    assert out.schema["doc_id"].dataType.simpleString() == "string"
+    assert sorted(map(str, (r.doc_id for r in out.collect()))) == sorted(map(str, [*(k for k, _, _ in rows), None, "e"]))
+
+
 # --- the pipeline -----------------------------------------------------------------------------
 
 DIR = "/root/testdata/sf0.001"
@@ -331,3 +350,31 @@ def test_pipeline_stage_by_stage(spark):
             assert {x[0] for x in want} == set(after["doc_id"])
         if name == "encoding":
             assert after["round_trip"].all() and len(after) == len(before)
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    text = " ".join(prose(60))
+    other = " ".join(prose(60))
+    rows = [(1, text, "en", "s"), (2, text, "en", "s"), (2, text, "en", "s"), (3, other, None, None), (4, None, "en", "s"),
+            (5, "", "en", "s"), (6, " \n ", None, "s"), (None, other + " end", "en", "s"), (7, "x" * 200_000, "en", "s"),
+            (8, " ".join(prose(40_000)), "en", "t")]
+    schema = "doc_id long, text string, lang string, source string"
+    docs = spark.createDataFrame(rows, schema).withColumn("n_chars", F.length("text").cast("long"))
+    odd = docs.select("*", *[F.lit("own").alias(c) for c in ("id", "kept", "group_id", "_cut", "topic", "ids", "weight")])
+    spark.createDataFrame([(3, 1), (None, 1), (8, None)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = {"quality": 10, "line_dedup": 10, "mixing": None, "encoding": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, str(tmp_path)).collect()
+        if name != "encoding":
+            assert list(out[0].asDict()) == corpus_pipeline.COLUMNS
+        if want.get(name):
+            assert len(out) == want[name]
+        if name == "line_dedup":
+            assert sorted(r.text or "" for r in out if r.doc_id == 1) == [text] and {r.text for r in out if r.doc_id == 4} == {None}
+        if name == "near_dedup":  # copies, rows of one key apart; texts without words as one; a null key stays
+            assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 1), (False, 3), (False, 4), (False, 7), (False, 8), (True, 0)]
+        if name == "mixing":
+            assert {r.doc_id for r in out} <= {r[0] for r in rows}
+        if name == "encoding":
+            assert all(r.round_trip and (r.n_ids == 0) == (r.doc_id in (4, 5)) for r in out)
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
