@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the documents of the next one. All but the last return
-the columns of ``documents``.
+the columns of ``documents``; other columns are dropped, whatever their names.
+
+An empty table gives an empty one. A row without doc_id is never removed by
+quality or near dedup. A null text stays null and an empty one empty until the
+encoding, where both have no ids; quality keeps them, near dedup counts them as one
+group with all texts without words. Rows that repeat a doc_id are judged alike.
+Texts of any length are read whole.
 """
 
 from __future__ import annotations
