@@ -14,7 +14,9 @@ boundaries has the same ids wherever it occurs; a task remembers them.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -170,19 +172,20 @@ class PieceLattice:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.cumsum(sizes) - sizes
         char = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        word = np.repeat(np.arange(len(words)), sizes)
-        at = np.arange(len(char)) - starts[word]
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        at = (np.arange(len(char)) - starts[word]).astype(np.int32)
+        left = (sizes[word] - at).astype(np.int32)
         # all pieces at all places, by walking the tree from every character at once
-        live, node, found = np.arange(len(char)), self.first_step[char], []
+        live, node, found = np.arange(len(char), dtype=np.int32), self.first_step[char], []
         whole = np.zeros(len(char), bool)
         for length in range(1, self.longest + 1):
             known = node >= 0
             live, node = live[known], node[known]
             hit = self.piece_at[node] >= 0
-            found.append((live[hit], np.full(hit.sum(), length), self.piece_at[node[hit]], self.score_at[node[hit]]))
+            found.append((live[hit], np.full(hit.sum(), length, np.int32), self.piece_at[node[hit]], self.score_at[node[hit]]))
             if length == 1:
                 whole[live[hit]] = True
-            inside = at[live] + length < sizes[word[live]]
+            inside = left[live] > length
             live, node = live[inside], node[inside]
             if not len(live):
                 break
@@ -190,26 +193,30 @@ class PieceLattice:
             k = np.minimum(np.searchsorted(self.step_key, key), len(self.step_key) - 1)
             node = np.where(self.step_key[k] == key, self.step_to[k], -1)
         bare = np.flatnonzero(~whole)
-        found.append((bare, np.ones(len(bare), np.int64), -3 - char[bare], np.full(len(bare), self.unknown_score)))
+        found.append((bare, np.ones(len(bare), np.int32), -3 - char[bare], np.full(len(bare), self.unknown_score)))
         begin, length, piece, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(at[begin], kind="stable")
+        order = np.argsort(at[begin].astype(np.uint16), kind="stable")  # sorted by radix
         begin, length, piece, score = (x[order] for x in (begin, length, piece, score))
-        row, place = word[begin], at[begin]
+        place = at[begin]
+        # a row of boundaries for each word, end to end
+        first = starts + np.arange(len(words))
+        begins = begin + word[begin]
         longest = int(sizes.max()) + 1
-        best = np.full((len(words), longest), NEVER)
-        best[:, 0] = 0.0
-        back, via = np.zeros((2, len(words), longest), np.int32)
+        best = np.full(len(char) + len(words), NEVER)
+        best[first] = 0.0
+        back, via = np.zeros((2, len(best)), np.int32)
         cut = np.searchsorted(place, np.arange(longest + 1))
         for i in range(longest):
             one = slice(cut[i], cut[i + 1])
-            w, to, total = row[one], i + length[one], best[row[one], i] + score[one]
-            better = total > best[w, to]  # a boundary gets one piece at most from each beginning
-            w, to = w[better], to[better]
-            best[w, to], back[w, to], via[w, to] = total[better], i, piece[one][better]
-        every, end, steps = np.arange(len(words)), sizes.copy(), []
+            cell = begins[one] + length[one]  # a boundary gets one piece at most from each beginning
+            total = best[begins[one]] + score[one]
+            better = total > best[cell]
+            cell = cell[better]
+            best[cell], back[cell], via[cell] = total[better], i, piece[one][better]
+        end, steps = sizes.copy(), []
         while end.any():
-            steps.append(np.where(end > 0, via[every, end], -2))
-            end = np.where(end > 0, back[every, end], 0)
+            steps.append(np.where(end > 0, via[first + end], -2))
+            end = np.where(end > 0, back[first + end], 0)
         path = np.array(steps[::-1]).T
         kept = path != -2
         unknown = (path < -2).any(axis=1).tolist()  # -3 - a character that is no piece
@@ -218,23 +225,37 @@ class PieceLattice:
         return [[i for x in flat[a:b] for i in self._ids(x, chr(max(-3 - x, 0)))] if u else flat[a:b]
                 for a, b, u in zip([0, *ends], ends, unknown, strict=False)]
 
-    def encode(self, texts: list[str], known: Recent, short: int = 40, at_once: int = 10_000) -> list[list[int]]:
+    def encode(self, texts: list[str], known: Recent) -> list[list[int]]:
+        return [ids.tolist() for ids in self.encode_arrays(texts, known)]
+
+    def encode_arrays(self, texts: list[str], known: Recent, short: int = 40, at_once: int = 10_000) -> list[np.ndarray]:
         """Ids of each text. Stretches up to ``short`` characters that are new go ``together``, others ``stream``."""
         cut = [pre_tokens(t) for t in texts]
-        new = [w for w in {w for words in cut for w in words if w not in known.new} if known.get(w) is None]
-        fresh = {w: [i for part in self.stream(w) for i in part] for w in new if len(w) > short}
-        new = [w for w in new if len(w) <= short]
-        for k in range(0, len(new), at_once):
-            fresh.update(zip(new[k:k + at_once], self.together(new[k:k + at_once]), strict=True))
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for w in words:
-                ids += known.new.get(w) or fresh[w]
-            out.append(ids)
-        for w, ids in fresh.items():
-            known[w] = ids
-        return out
+        held = np.fromiter(map(len, cut), np.int64, len(cut))
+        number: dict[str, int] = defaultdict(count().__next__)  # distinct stretches in the order they come
+        code = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, int(held.sum()))
+        del cut
+        words = list(number)
+        found = list(map(known.get, words))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        brief = [k for k in new if len(words[k]) <= short]
+        for k in new:
+            if len(words[k]) > short:
+                found[k] = [i for part in self.stream(words[k]) for i in part]
+        for n in range(0, len(brief), at_once):
+            some = brief[n:n + at_once]
+            for k, ids in zip(some, self.together([words[k] for k in some]), strict=True):
+                found[k] = ids
+        for k in new:
+            known[words[k]] = found[k]
+        # the ids of distinct stretches once, end to end; each text then gathers its own
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
+        start = np.cumsum(size) - size
+        size = size[code]
+        end = np.r_[0, np.cumsum(size)]
+        ids = flat[np.repeat(start[code] - end[:-1], size) + np.arange(end[-1])]
+        return np.split(ids, end[np.cumsum(held)][:-1]) if texts else []
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: pieces joined, bytes decoded, spaces restored, the added first space dropped."""
@@ -277,7 +298,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids
                 group.append(t or "")
                 held += len(group[-1])
                 if held >= chars_at_once or k == len(batch):
-                    ids = [np.array(x, np.int32) for x in lattice.encode(group, known)]
+                    ids = lattice.encode_arrays(group, known)
                     same = [lattice.decode(i) == t.replace(SPACE, " ") for i, t in zip(ids, group, strict=True)] if exact else True
                     yield pd.DataFrame({"ids": ids, "exact": same})
                     group, held = [], 0
