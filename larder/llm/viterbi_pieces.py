@@ -37,17 +37,18 @@ class Recent:
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def get(self, key: str) -> list[int] | None:
-        """A key found in the older half moves to the newer one."""
-        found = self.new.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.new[key] = found
+    def get_all(self, keys: list[str]) -> list[list[int] | None]:
+        """What is known of each key. Those found in the older half move to the newer one."""
+        found, old = list(map(self.new.get, keys)), self.old.get
+        for k, ids in enumerate(found):
+            if ids is None and (ids := old(keys[k])) is not None:
+                found[k] = self.new[keys[k]] = ids
         return found
 
-    def __setitem__(self, key: str, value: list[int]) -> None:
+    def put_all(self, keys: list[str], values: list[list[int]]) -> None:
         if len(self.new) >= self.size:
             self.old, self.new = self.new, {}
-        self.new[key] = value
+        self.new.update(zip(keys, values, strict=True))
 
 
 class PieceLattice:
@@ -236,7 +237,7 @@ class PieceLattice:
         code = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, int(held.sum()))
         del cut
         words = list(number)
-        found = list(map(known.get, words))
+        found = known.get_all(words)
         new = [k for k, ids in enumerate(found) if ids is None]
         brief = [k for k in new if len(words[k]) <= short]
         for k in new:
@@ -246,8 +247,7 @@ class PieceLattice:
             some = brief[n:n + at_once]
             for k, ids in zip(some, self.together([words[k] for k in some]), strict=True):
                 found[k] = ids
-        for k in new:
-            known[words[k]] = found[k]
+        known.put_all([words[k] for k in new], [found[k] for k in new])
         # the ids of distinct stretches once, end to end; each text then gathers its own
         size = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
