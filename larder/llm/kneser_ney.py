@@ -34,6 +34,7 @@ from larder.llm.common import Stages, text_bytes
 
 BITS = 17  # of the number of a frequent word; number 0 begins a text
 WORDS = 1 << 20  # words that the uniform distribution below all others allows for, unless more are seen
+SIEVE = 26  # bits of the places of a table that tells what was never seen
 PAIR = np.uint64((1 << 2 * BITS) - 1)
 SCATTER = np.uint64(0x9E3779B97F4A7C15 & ((1 << 2 * BITS) - 1) | 1)
 
@@ -95,6 +96,27 @@ def by_shard(keys: np.ndarray, shards: int, bits: int = 2 * BITS) -> np.ndarray:
     return np.r_[np.searchsorted(keys, np.array(edges, np.uint64)), len(keys)]
 
 
+def sieve_slice(keys: np.ndarray, part: int, parts: int, bits: int = 2 * BITS) -> bytes:
+    """The part of a bit table that the keys of one of ``parts`` ranges set, by their leading bits."""
+    low, high = ((k << SIEVE) // parts for k in (part, part + 1))
+    marks = np.zeros(high - low + 1, bool)
+    marks[(keys >> np.uint64(bits - SIEVE)).astype(np.int64) - low] = True
+    return pack(np.array([low, len(marks)]), np.packbits(marks))
+
+
+def sieve_of(slices: Sequence[bytes]) -> np.ndarray:
+    table = np.zeros((1 << SIEVE) + 8, bool)
+    for (low, size), marks in map(unpack, slices):
+        table[low:low + size] |= np.unpackbits(marks, count=size).astype(bool)
+    return np.packbits(table)
+
+
+def may_hold(table: np.ndarray, keys: np.ndarray, bits: int = 2 * BITS) -> np.ndarray:
+    """False for keys that were certainly never seen."""
+    at = (keys >> np.uint64(bits - SIEVE)).astype(np.int64)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
 def looked_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The place of each wanted key in sorted keys, and whether it is there."""
     if not len(keys):
@@ -186,14 +208,15 @@ def count_pairs(texts: DataFrame, top: np.ndarray, shards: int, tokens_at_once:
     return texts.mapInPandas(run, "shard int, blob binary")
 
 
-def merge_counts(packed: DataFrame, top: np.ndarray, ranges: int, spans: int, hot: int) -> DataFrame:
+def merge_counts(packed: DataFrame, top: np.ndarray, shards: int, ranges: int, spans: int, hot: int) -> DataFrame:
     """Counts of each shard's pairs, and what its contexts and words need: (kind, part, origin, blob).
 
     kind "pairs": the shard's pairs of frequent words and counts, then its other
     pairs (hashes of both words) and counts; "words": for a range of frequent
     words, continuations of contexts by count and predecessors of words; "rare":
     the same for a span of hashes of the other words, from the shard ``origin``;
-    "sizes": how many pairs have count 1, 2, 3, 4; "hot": the most frequent pairs.
+    "sizes": how many pairs have count 1, 2, 3, 4; "hot": the most frequent pairs;
+    "near", "far": bits of the shard's pairs of either kind.
     """
     span = (1 << BITS) // ranges
 
@@ -206,7 +229,9 @@ def merge_counts(packed: DataFrame, top: np.ndarray, ranges: int, spans: int, ho
         first = np.unique(far, return_index=True)[1]
         m = summed(far, m.astype(np.int64))[1]
         v, w = v[first], w[first]
-        out = [("pairs", shard, shard, pack(gaps(pairs), n, v, w, m))]
+        out = [("pairs", shard, shard, pack(gaps(pairs), n, v, w, m)),
+               ("near", shard, shard, sieve_slice(pairs, shard, shards)),
+               ("far", shard, shard, sieve_slice(pair_keys(v, w), shard, shards, 64))]
         plain = pairs * UNSCATTER & PAIR
         left, right = (plain >> np.uint64(BITS)).astype(np.int64), (plain & np.uint64((1 << BITS) - 1)).astype(np.int64)
         (v_at, v_top), (w_at, w_top) = looked_up(top, v), looked_up(top, w)
@@ -249,12 +274,12 @@ def word_tables(parts: DataFrame) -> DataFrame:
     return parts.groupBy("part").applyInPandas(run, "part int, blob binary")
 
 
-def rare_tables(parts: DataFrame, shards: int) -> DataFrame:
+def rare_tables(parts: DataFrame, shards: int, spans: int) -> DataFrame:
     """Sums of the "rare" parts of a span of hashes: (kind, part, blob).
 
     kind "back": sums for the words of one shard's pairs; "facts": for the words
     whose own hash belongs to a shard; "seen": words by number of predecessors
-    (0 to 4, 5 or more), and all predecessors.
+    (0 to 4, 5 or more), and all predecessors; "known": bits of the span's words.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -267,6 +292,7 @@ def rare_tables(parts: DataFrame, shards: int) -> DataFrame:
             out.append(("back", int(origin), pack(gaps(own), *(x[at] for x in stats))))
         cut = by_shard(words, shards, 64)
         out += [("facts", s, pack(gaps(words[a:b]), *(x[a:b] for x in stats))) for s, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
+        out.append(("known", span, sieve_slice(words, span, spans, 64)))
         out.append(("seen", span, pack(np.r_[np.bincount(np.minimum(stats[4], 5), minlength=6), stats[4].sum()].astype(np.int64))))
         return pd.DataFrame(out, columns=["kind", "part", "blob"])
 
@@ -284,10 +310,11 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """The parts of bounded size: discounts, log p, log g and totals of frequent words, frequent pairs."""
+    """The parts of bounded size: discounts, log p, log g and totals of frequent words, frequent pairs, bit tables."""
 
-    def __init__(self, top: np.ndarray, words: list[bytes], sizes: list[bytes], hot: list[bytes], seen: list[bytes]):
-        self.top = top
+    def __init__(self, top: np.ndarray, words: list[bytes], sizes: list[bytes], hot: list[bytes], seen: list[bytes],
+                 near: list[bytes], far: list[bytes], known: list[bytes]):
+        self.top, self.near, self.far, self.known = top, sieve_of(near), sieve_of(far), sieve_of(known)
         table = np.zeros(len(top) * 8, np.int64)
         for blob in words:
             at, n = unpack(blob)
@@ -374,8 +401,12 @@ def score(docs: DataFrame, tables: DataFrame, model: Model, shards: int, tokens_
             sums = np.bincount(doc, weights=known, minlength=len(held))
             last = np.zeros(len(w), bool)
             last[(np.cumsum(size) - 1)[size > 0]] = True
-            wanted = [ordered(pair[~hot], doc[near][~hot]), ordered(pair_keys(v[~near], w[~near]), doc[~near]),
-                      ordered(w[~top], doc[~top], last[~top])]
+            # what no shard has seen adds nothing and need not be asked
+            ask_near = ~hot & may_hold(model.near, pair)
+            far, rare = pair_keys(v[~near], w[~near]), w[~top]
+            ask_far, ask_rare = may_hold(model.far, far, 64), may_hold(model.known, rare, 64)
+            wanted = [ordered(pair[ask_near], doc[near][ask_near]), ordered(far[ask_far], doc[~near][ask_far]),
+                      ordered(rare[ask_rare], doc[~top][ask_rare], last[~top][ask_rare])]
             cuts = [by_shard(x[0], shards, bits) for x, bits in zip(wanted, (2 * BITS, 64, 64), strict=True)]
             rows = []
             for s in range(shards):
@@ -452,7 +483,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     ``log_ppl`` is rounded to four digits, and null for a text without words.
     Everything is counted over all rows. Shards follow the size of the input;
     ``hot_pairs`` frequent pairs and arrays of ``hot_words`` (less than 2**17)
-    frequent words travel with the job (under 10 MB together).
+    frequent words travel with the job (under 10 MB together), and three bit
+    tables of 8 MB that tell which pairs and words no shard can know.
     """
     stages = Stages(docs.sparkSession, "kneser-ney")
     shards = min(max(16, -(-text_bytes(docs, text) // bytes_in_shard)), 1 << 16)
@@ -460,15 +492,15 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     texts = trusted.select(F.col(text).alias("text"))
     top = frequent_words(texts, spans, hot_words, tokens_at_once)
     packed = count_pairs(texts, top, shards, tokens_at_once)
-    merged = stages.keep(merge_counts(packed, top, 64, spans, -(-hot_pairs // shards)), "counts")
-    rare = stages.keep(rare_tables(merged.where("kind = 'rare'").select("part", "origin", "blob"), shards), "rare")
+    merged = stages.keep(merge_counts(packed, top, shards, 64, spans, -(-hot_pairs // shards)), "counts")
+    rare = stages.keep(rare_tables(merged.where("kind = 'rare'").select("part", "origin", "blob"), shards, spans), "rare")
     words = [bytes(r[0]) for r in word_tables(merged.where("kind = 'words'").select("part", "blob")).select("blob").toLocalIterator()]
     small = {k: [bytes(r[0]) for r in t.where(F.col("kind") == k).select("blob").toLocalIterator()]
-             for t, k in ((merged, "sizes"), (merged, "hot"), (rare, "seen"))}
-    model = Model(top, words, small["sizes"], small["hot"], small["seen"])
+             for t, k in ((merged, "sizes"), (merged, "hot"), (rare, "seen"), (merged, "near"), (merged, "far"), (rare, "known"))}
+    model = Model(top, words, *small.values())
     stages.release()
     rows = docs.select(F.col(key).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    tables = merged.where("kind = 'pairs'").select("kind", "part", "blob").unionByName(rare.where("kind <> 'seen'"))
+    tables = merged.where("kind = 'pairs'").select("kind", "part", "blob").unionByName(rare.where("kind IN ('back', 'facts')"))
     out = score(rows, tables, model, shards, tokens_at_once)
     own = docs.schema[key].dataType
     return stages.keep(out.select(F.col("id").cast(own).alias("id"), "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")
