@@ -378,3 +378,17 @@ def test_stages_on_odd_rows(spark, tmp_path):
         if name == "encoding":
             assert all(r.round_trip and (r.n_ids == 0) == (r.doc_id in (4, 5)) for r in out)
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_bit_tables_hold_every_key():
+    rng = np.random.default_rng(5)
+    for bits, parts in ((34, 16), (64, 16), (64, 37), (34, 1)):
+        keys = np.unique(np.r_[rng.integers(0, 1 << min(bits, 62), 5000).astype(np.uint64) << np.uint64(max(bits - 62, 0)),
+                               np.array([0, (1 << bits) - 1], np.uint64)])
+        cut = kneser_ney.by_shard(keys, parts, bits)
+        slices = [kneser_ney.sieve_slice(keys[a:b], k, parts, bits) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False))]
+        table = kneser_ney.sieve_of(slices)
+        assert kneser_ney.may_hold(table, keys, bits).all()
+        others = np.setdiff1d(rng.integers(0, 1 << min(bits, 62), 5000).astype(np.uint64) << np.uint64(max(bits - 62, 0)), keys)
+        assert kneser_ney.may_hold(table, others, bits).mean() < 0.01
+    assert not kneser_ney.may_hold(kneser_ney.sieve_of([]), np.array([0, 7], np.uint64)).any()
