@@ -1,5 +1,6 @@
 """Parsing, selection, extraction: edge rows."""
 
+import random
 import time
 
 import pytest
@@ -151,6 +152,41 @@ def test_slashes_and_text_elements():
     assert shown == {"a": "text", "br": "", "i": "", "title": "a<b & c", "textarea": "<p>", "b": ""}
 
 
+def test_both_readers_read_alike():
+    """The reader of regular pages gives what the careful one gives, or leaves the page to it."""
+    from larder.operators import markup
+
+    def seen(parts):
+        p = object.__new__(Page)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(markup, "_regular", lambda source: parts)
+            Page.__init__(p, source)
+        return p.text, p.tag, p.attrs, p.parent, p.depth, p.end, p.start, p.stop, p.begin, p.to, p.single()
+
+    bits = ["<", ">", '"', "'", "/", "-->", "<!--", "<!-->", "<!d>", "<p>", "</p>", "<li>", "<ul>", "</ul>", '<div class="a>b">', "</div>",
+            "<script>", "</Script ", "</script>", "<title>", "</title>", "<textarea/>", "\u017fcript", "<\u017fcript>", "&amp;", "é", " x=", "<br/>", "<a href=/x/>"]
+    rnd, regular = random.Random(7), 0
+    for _ in range(5_000):
+        source = "".join(rnd.choices(bits, k=rnd.randrange(1, 14)))
+        parts = markup._regular(source)
+        regular += parts is not None
+        assert parts is None or seen(parts) == seen(markup._any(source)), source
+    assert regular > 2_000
+
+
+def test_a_repeated_tag_is_read_once(monkeypatch):
+    """Pages of a site repeat their tags; what a tag says is taken from its text once."""
+    from larder.operators import markup
+
+    read, plain = [], markup._attributes
+    monkeypatch.setattr(markup, "_attributes", lambda rest: read.append(rest) or plain(rest))
+    markup._known.clear()
+    rows = markup.NodeRows()
+    for i in range(50):
+        rows.add('<div class="once"><li id=n>1<li id=n>2</div>' + str(i), frozenset((".once", "li")), frozenset(), True)
+    assert len(read) == 2 and rows.count == 150
+
+
 def list_page(items):
     return ('<div class="ingredients-info"><ol class="ingredient-groups"><li class="ingredient-group"><strong>Höme</strong><ul>'
             + "".join(f"<li>{i} cups of flöur" for i in range(items)) + "</ul></li></ol></div>")
