@@ -96,6 +96,24 @@ def test_incremental_scrape_logs_each_repeat(spark, tmp_path):
     assert sorted(r.path for r in rs.read_errors(spark, errors).collect()) == ["a"] * 4 + ["b"]
 
 
+def test_incremental_scrape_keeps_only_keys_in_state(spark, tmp_path):
+    """Pages are told apart by Spark's own deduplication; no function runs once for every page."""
+    from larder.sources.pages import write_corpus
+    from larder.streaming.incremental import corpus_stream, first_seen
+
+    corpus, out = str(tmp_path / "corpus"), []
+    for rows in ([("/a", "x"), ("/a", "w"), ("/b", None)], [("/a", "v"), ("/c", "y")]):
+        write_corpus(spark.createDataFrame(rows, "path string, html string"), corpus)
+        query = first_seen(corpus_stream(spark, corpus, "d")).writeStream.foreachBatch(lambda b, n: out.append(b.collect()))
+        run = query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        (state,) = run.lastProgress["stateOperators"]
+        assert state["operatorName"] == "dedupe"
+    assert [sorted((r.path, r.html or "") for r in batch if not r.is_new) for batch in out] == [
+        [("a", "w"), ("a", "x"), ("b", "")], [("a", "v"), ("c", "y")]]
+    assert [sorted(r.path for r in batch if r.is_new) for batch in out] == [["a", "b"], ["c"]]
+
+
 def test_running_totals_equal_a_plain_loop(spark):
     rnd = random.Random(3)
     rows = [(f"k{i:04d}", rnd.randrange(9)) for i in range(500)]
