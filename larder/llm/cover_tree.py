@@ -140,10 +140,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
 
     There is a pivot for every ``rows_in_ball`` rows, ``most_pivots`` at most,
     fitted on at most ``sample_rows`` vectors of the commonest length. A ball of
-    more than ``rows_in_block`` rows is searched in several blocks. Queries that
-    begin in the same ball travel in teams of about ``queries_in_block``; a team
+    more than ``rows_in_block`` rows is searched in several blocks. Queries travel
+    in teams of about ``queries_in_block``, those that begin in the same ball
+    together, several balls a team where they are few; a team
     meets the balls only that one of its queries must search. Rows are stored
-    once by ball and copied to those teams alone.
+    once by ball and copied to those teams alone: how often follows the number of
+    queries, not that of the balls.
     """
     stages = Stages(vectors.sparkSession, "cover-tree")
     ints = F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("double"))
@@ -194,12 +196,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
         return pd.Series(out, dtype=object)
 
     asking = stages.keep(rows.where("asks").select("id", "vec", "dim", begin("vec").alias("start")), "asking")
-    teams = asking.groupBy("dim", "start").agg(F.ceil(F.count(F.lit(1)) / queries_in_block).cast("int").alias("teams"))
+    # a row for each ball that queries begin in: small ones share a team, large ones have several
+    earlier = Window.partitionBy("dim").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    teams = asking.groupBy("dim", "start").agg(F.count(F.lit(1)).alias("n")).select(
+        "dim", "start", F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / queries_in_block).cast("int").alias("team"),
+        F.ceil(F.col("n") / queries_in_block).cast("int").alias("teams"))
     asking = stages.keep(stages.again(asking).join(teams, ["dim", "start"]).select(
-        "id", "vec", "dim", "start", blocks(F.col("id"), F.col("teams")).alias("team")), "teams")
+        "id", "vec", "dim", "start", (F.col("team") + blocks(F.col("id"), F.col("teams"))).alias("team")), "teams")
     parts = sizes.select("dim", "ball", "parts")
     data = data.join(parts, ["dim", "ball"]).select("id", "vec", "dim", "ball", blocks(F.col("id"), F.col("parts")).alias("part"))
-    block = ["dim", "ball", "part", "start", "team"]
+    block = ["dim", "ball", "part", "team"]
 
     def search(ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if ask.empty or own.empty:
@@ -210,7 +216,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
         return out.astype("int64")
 
     def searched(ask: DataFrame) -> DataFrame:
-        """The best of each ball for the queries (id, vec, dim, start, team, ball, worst) that must search it."""
+        """The best of each ball for the queries (id, vec, dim, team, ball, worst) that must search it."""
         ask = ask.join(parts, ["dim", "ball"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         # columns of their own: the two sides are grouped apart
         own = data.join(ask.select(*[F.col(c).alias(c) for c in block]).distinct(), ["dim", "ball", "part"])

@@ -159,3 +159,23 @@ def test_balls_out_of_reach_are_not_searched(spark, monkeypatch):
     for q in range(0, 1500, 10):
         assert got[q] == sorted(set(range(1500)) - {q}, key=lambda i: (-(x[q] @ x[i]), i))[:10]
     assert 0 < met.value < 0.5 * 150 * 1500
+
+
+def test_few_queries_share_their_copies_of_the_rows(spark, monkeypatch):
+    x = np.floor(1024 * np.random.default_rng(11).normal(size=(1200, 32)))  # evenly spread: nothing can be dropped
+    copied = spark.sparkContext.accumulator(0)
+    real = cover_tree.best_of_block
+
+    def counted(queries, q_id, rows, *rest):
+        copied.add(len(rows))
+        return real(queries, q_id, rows, *rest)
+
+    monkeypatch.setattr(cover_tree, "best_of_block", counted)
+    docs = spark.createDataFrame([(i, (v / 1024).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in cover_tree.top_k(docs, F.col("vec_id") % 10 == 0, rows_in_ball=50).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, 1200, 10):
+        assert got[q] == sorted(set(range(1200)) - {q}, key=lambda i: (-(x[q] @ x[i]), i))[:10]
+    # one team for all 120 queries: the rows once in the ball where queries begin, and once elsewhere
+    assert 0 < copied.value <= 2 * 1200
