@@ -67,8 +67,9 @@ def title_clusters(titles: DataFrame, keys: Sequence[str], similarity: float = 0
 
     Each distinct word set is compared once, however many recipes carry it. The
     cluster is named by its smallest word set; titles without words are one cluster.
+    ``titles`` is read once: its word sets are stored, and counted and looked up from there.
     """
-    named = titles.where(F.col("title").isNotNull()).select(*keys, title_key("title").alias("title_key"))
+    named = materialize(titles.where(F.col("title").isNotNull()).select(*keys, title_key("title").alias("title_key")), "title_keys")
     sets = materialize(named.groupBy("title_key").agg(F.count(F.lit(1)).alias("_rows")), "titles")
     found = clusters(sets.withColumn("words", F.split("title_key", " ")).where("title_key <> ''"), "title_key", "words", similarity)
     table = materialize(

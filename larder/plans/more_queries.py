@@ -70,7 +70,7 @@ def insights() -> dict[str, Query]:
         "g2_index_search": lambda s, d: index(s, d).search(["blue bolt"], ["red ring", "hot rod"]),
         "g2_index_search_without": lambda s, d: index(s, d).search([], ["red ring", "hot rod"]),
         "g3_averaged_recipes": lambda s, d: ins.averaged_recipes(
-            _parsed(s, d), v.recipes(s, d).select("path", "title"), ["path"]
+            _parsed(s, d), v.titled_orders(s, d).select("path", "title"), ["path"]
         ).select("cluster", "cleaned", "recipes", F.round("mean_share", 6).alias("mean_share")),
         "g3_similar_titles": lambda s, d: ins.title_clusters(named(s, d), ["path"]),
         "g4_coverage": lambda s, d: ins.coverage(_parsed(s, d)).select(

@@ -1,5 +1,6 @@
 """Similar titles, components, the ingredient index, heavy keys and medians against plain versions."""
 
+import os
 import random
 import statistics
 
@@ -11,6 +12,7 @@ from larder.operators.graph import components
 from larder.operators.normalize import conversion_table
 from larder.operators.search import IngredientIndex
 from larder.operators.similar import clusters, similar_pairs
+from larder.plans import views
 from larder.session import stage_path
 
 
@@ -115,3 +117,27 @@ def test_conversion_table_is_the_median_of_all_portions(spark):
     cups = {"1 cup": 1, "1/2 cup": 0.5, "2 cups": 2}
     assert got["flour"] == (pytest.approx(statistics.median(g / cups[m] for i, m, g in rows if i == "flour")), None)
     assert got["egg"][0] == 240 and "air" not in got
+
+
+def test_titles_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.range(300).select("id", F.concat(F.lit("pie "), (F.col("id") % 7).cast("string")).alias("title"))
+    titles = rows.mapInArrow(counted, rows.schema)
+    assert insights.title_clusters(titles, ["id"]).count() == 300
+    assert read.value == 300
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_titles_need_no_lists_of_lines(spark):
+    d = "/root/testdata/sf0.001"
+    titled = views.titled_orders(spark, d)
+    assert "collect_list" not in titled._jdf.queryExecution().optimizedPlan().toString()
+    full = views.recipes(spark, d).select("path", "title")
+    assert titled.count() == full.count() > 0
+    assert titled.select("path", "title").exceptAll(full).isEmpty()
