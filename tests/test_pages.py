@@ -187,6 +187,33 @@ def test_a_repeated_tag_is_read_once(monkeypatch):
     assert len(read) == 2 and rows.count == 150
 
 
+def test_what_a_tag_says_is_made_once_a_batch(monkeypatch):
+    """Elements take the name, classes and attributes of their tag from one Arrow value, on however many pages it stands."""
+    from larder.operators import markup
+
+    split = []
+    plain = markup.Tag.classes.fget
+    monkeypatch.setattr(markup.Tag, "classes", property(lambda tag: split.append(tag.rest) or plain(tag)))
+    markup._known.clear()
+    rows = markup.NodeRows()
+    for i in range(50):
+        rows.add(f'<div class="once k"><p id=n>é{i}<p id=n>2</div>', None, frozenset(), True)
+    text, nodes = rows.arrays()
+    assert len(split) == 2 and len(nodes) == 50
+    assert [(n["tag"], n["classes"], n["attrs"], n["parent"], n["end"], n["start"], n["stop"], n["single"]) for n in nodes[7].as_py()] == [
+        ("div", ["once", "k"], [("class", "once k")], -1, 2, 0, 4, False), ("p", [], [("id", "n")], 0, 1, 0, 3, True), ("p", [], [("id", "n")], 0, 2, 3, 4, True)]
+
+
+@pytest.mark.parametrize("html, single", [
+    ("<b>x</b>", [True]), ("<b></b>", [False]), ("<p><b>x</b></p>", [True, True]), ("<p><b>x</b> </p>", [False, True]),
+    ("<p><b>x</b><i></i></p>", [False, True, False]), ("<p>x<!--c--></p>", [False]), ("<p><b>x<!--c--></b></p>", [False, False]),
+    ("<p><!--c--><b>x</b></p>", [False, True]), ("<p>x<br></p>", [False, False]), ("<b>x</i></b>", [True]), ("<b>x</i>y</b>", [False]),
+    ("<b>&#1;</b>", [True]), ("<b><i>x", [True, True]), ("<b><!d>x</b>", [True]), ("<p><b><i></i></b>x</p>", [False, False, False]),
+])
+def test_elements_of_one_text(html, single):
+    assert Page(html).single() == single
+
+
 def list_page(items):
     return ('<div class="ingredients-info"><ol class="ingredient-groups"><li class="ingredient-group"><strong>Höme</strong><ul>'
             + "".join(f"<li>{i} cups of flöur" for i in range(items)) + "</ul></li></ol></div>")
