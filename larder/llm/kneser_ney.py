@@ -19,6 +19,7 @@ shard.
 
 from __future__ import annotations
 
+import copy
 import math
 import pickle
 import zlib
@@ -338,6 +339,12 @@ class Model:
         self.hot, self.hot_gain = self.hot[order], self.gain(self.hot[order], n[order]).astype(np.float32)
         self.log_p, self.log_g = self.log_p.astype(np.float32), self.log_g.astype(np.float32)
 
+    def for_shards(self) -> Model:
+        """The model without what only the asking side looks at: bit tables and frequent pairs."""
+        out = copy.copy(self)
+        del out.near, out.far, out.known, out.hot, out.hot_gain
+        return out
+
     def p_of(self, before: np.ndarray) -> np.ndarray:
         """log p of words with so many predecessors."""
         return np.log(np.maximum(before - self.low[np.minimum(before, 3)], 0) / self.pairs + self.base)
@@ -376,6 +383,7 @@ class Model:
 def score(docs: DataFrame, tables: DataFrame, model: Model, shards: int, tokens_at_once: int) -> DataFrame:
     """(id, lang, n_words, log_prob) of docs (id, lang, text); ``tables``: (kind, part, blob) of each shard."""
     docs_at_once = 1 << 16
+    own_model = model.for_shards()
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, task, done = Words(), TaskContext.get().partitionId(), 0
@@ -441,9 +449,9 @@ def score(docs: DataFrame, tables: DataFrame, model: Model, shards: int, tokens_
 
         seen, n, v, w, m = next((unpack(b) for b in own["blob"][own["kind"] == "pairs"]), [np.empty(0, t) for t in (np.uint64, np.int64, np.uint64, np.uint64, np.int64)])
         seen, far = np.cumsum(seen).astype(np.uint64), pair_keys(v, w)
-        gain, far_gain = model.gain(seen, n), model.far_gain(v, w, m, *table("back"))
+        gain, far_gain = own_model.gain(seen, n), own_model.far_gain(v, w, m, *table("back"))
         rare, stats = table("facts")
-        log_p, log_g = model.p_of(stats[4]) - model.unseen, model.g_of(stats[:3], stats[3])
+        log_p, log_g = own_model.p_of(stats[4]) - own_model.unseen, own_model.g_of(stats[:3], stats[3])
         out = []
         for batch, head, blob in zip(asked["batch"], asked["head"], asked["blob"], strict=True):
             if head:
@@ -491,19 +499,26 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     spans = max(16, shards // 16)  # of word hashes
     texts = trusted.select(F.col(text).alias("text"))
     top = frequent_words(texts, spans, hot_words, tokens_at_once)
+    stages.release()
     packed = count_pairs(texts, top, shards, tokens_at_once)
     merged = stages.keep(merge_counts(packed, top, shards, 64, spans, -(-hot_pairs // shards)), "counts")
+    stages.release()
     rare = stages.keep(rare_tables(merged.where("kind = 'rare'").select("part", "origin", "blob"), shards, spans), "rare")
     words = [bytes(r[0]) for r in word_tables(merged.where("kind = 'words'").select("part", "blob")).select("blob").toLocalIterator()]
     small = {k: [bytes(r[0]) for r in t.where(F.col("kind") == k).select("blob").toLocalIterator()]
              for t, k in ((merged, "sizes"), (merged, "hot"), (rare, "seen"), (merged, "near"), (merged, "far"), (rare, "known"))}
     model = Model(top, words, *small.values())
+    # documents ask for these only; what the model took from the others need not lie beside the asks
+    tables = stages.keep(merged.where("kind = 'pairs'").select("kind", "part", "blob").unionByName(rare.where("kind IN ('back', 'facts')")), "tables")
+    stages.drop(merged, rare)
     stages.release()
     rows = docs.select(F.col(key).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    tables = merged.where("kind = 'pairs'").select("kind", "part", "blob").unionByName(rare.where("kind IN ('back', 'facts')"))
     out = score(rows, tables, model, shards, tokens_at_once)
     own = docs.schema[key].dataType
-    return stages.keep(out.select(F.col("id").cast(own).alias("id"), "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")
+    scores = stages.keep(out.select(F.col("id").cast(own).alias("id"), "lang", "n_words", F.when(F.col("n_words") > 0, F.round(-F.col("log_prob") / F.col("n_words"), 4)).alias("log_ppl")), "scores")
+    stages.drop(tables)
+    stages.release()
+    return scores
 
 
 def in_fold(key: Column) -> Column:

@@ -177,6 +177,22 @@ def test_rare_words_by_brute_force(spark, frequent):
     assert len(out) == len(texts) and all(r.log_ppl == pytest.approx(want(texts[r.id]), abs=2e-3) for r in out)
 
 
+def test_only_scores_are_left_of_a_model(spark):
+    """Tables of counts go when they are read, and the shards' side gets no bit tables."""
+    import glob
+    import pickle
+
+    from larder.session import shared_dir
+
+    docs = spark.createDataFrame([(i, f"a b c{i % 7} d", "en") for i in range(40)], "doc_id long, text string, lang string")
+    before = set(glob.glob(f"{shared_dir(spark)}/kneser-ney-*"))
+    out = kneser_ney.perplexities(docs, docs.where("doc_id < 30"))
+    base, = set(glob.glob(f"{shared_dir(spark)}/kneser-ney-*")) - before
+    assert [os.path.basename(p).split("-")[0] for p in glob.glob(f"{base}/*")] == ["scores"] and out.count() == 40
+    model = kneser_ney.Model(np.zeros(1, np.uint64), [], [], [], [], [], [], [])
+    assert len(pickle.dumps(model)) > 20_000_000 and len(pickle.dumps(model.for_shards())) < 10_000
+
+
 def test_unseen_words_share_no_counts(spark):
     import xxhash
 
