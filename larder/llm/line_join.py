@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from larder.llm.common import Stages, fresh, without
 
 CUT = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]"
 SLOTS = 1 << 20  # word counts are kept by hash slot
 SLOT_BLOCK = 1 << 12
+PASSES = 4  # shared words are looked for in so many turns, so that only a part of the entries is on disk at once
 
 
 def words_of(line: Column) -> Column:
@@ -30,10 +32,10 @@ def slot(h: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str, stages: Stages) -> DataFrame:
-    """One row, one array: for each hash slot, twice the binary logarithm of how often its words occur."""
+    """One row, one array: for each hash slot, twice the binary logarithm of how often its words occur, in the high eight bits."""
     counts = docs.select(F.explode(words_of(F.col(text))).alias("w")).groupBy(slot(F.xxhash64("w")).alias("slot")).count()
     every = docs.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(counts, "slot", "left")
-    level = F.floor(2 * F.log2(F.coalesce("count", F.lit(1)).cast("double"))).cast("tinyint")
+    level = F.shiftleft(F.floor(2 * F.log2(F.coalesce("count", F.lit(1)).cast("double"))).cast("long"), 56)
     part = every.groupBy((F.col("slot") / SLOT_BLOCK).cast("int").alias("block")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("slot", level.alias("level")))), lambda x: x["level"]).alias("levels"))
     return stages.keep(part.agg(F.flatten(F.transform(
@@ -42,10 +44,15 @@ def rarity(docs: DataFrame, text: str, stages: Stages) -> DataFrame:
 
 def coded(line: Column, levels: Column) -> Column:
     """The words of a line as sorted numbers: rarity in the high bits, so rarest first, and 56 bits of hash."""
-    hashes = F.transform(words_of(line), lambda w: F.xxhash64(w))
-    numbers = F.transform(hashes, lambda h: F.shiftleft(F.element_at(levels, slot(h) + 1).cast("long"), 56).bitwiseOR(
-        h.bitwiseAND(F.lit((1 << 56) - 1))))
-    return F.sort_array(F.array_distinct(numbers))
+    hashes = F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1))))
+    return F.sort_array(F.transform(hashes, lambda h: F.get(levels, slot(h)).bitwiseOR(h)))
+
+
+def with_codes(lines: DataFrame, keep: list[str], levels: Column) -> DataFrame:
+    """``keep`` and ``codes`` of the lines that have words. ``levels``, a scalar, is set beside the
+    line first: higher-order functions take no subquery before the optimizer has moved it there."""
+    worded = lines.where(F.col("line").rlike(WORD))  # on the text: as a test of the codes it would make them twice
+    return worded.select(*keep, "line", levels.alias("levels")).select(*keep, coded(F.col("line"), F.col("levels")).alias("codes"))
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -54,30 +61,33 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, stages: Stages) -> tuple[DataFrame, DataFrame]:
     """(lines, sets): every line with its set, and for every set its first line and whether an earlier set is similar."""
-    levels = rarity(docs, text, stages)
-    # the array is one row of a fixed size
-    codes = lines_of(docs, key, text).crossJoin(F.broadcast(levels)).select("id", "no", coded(F.col("line"), F.col("levels")).alias("codes")).where("size(codes) > 0")
+    # one row of a fixed size; as a scalar it is not copied into the row of every line
+    levels = rarity(docs, text, stages).scalar()
+    codes = with_codes(lines_of(docs, key, text), ["id", "no"], levels)
     # how many of n words an equal-or-better set must share, and how far two sets may differ
     need = F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int")
+    # of each word one bit of 128, so that sets of many words, too, differ in more bits than similar ones can
     lines = stages.keep(codes.select(
         "id", "no", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), F.size("codes").alias("n"),
-        F.expr("aggregate(codes, 0L, (a, c) -> a ^ shiftleft(1L, cast(c & 63 AS int)))").alias("sketch"), "codes").select(
-        "id", "no", "h1", "h2", "n", "sketch",
+        F.expr("aggregate(codes, 0L, (a, c) -> a ^ shiftleft(~shiftright(c, 6) & 1L, cast(c & 63 AS int)))").alias("low"),
+        F.expr("aggregate(codes, 0L, (a, c) -> a ^ shiftleft(shiftright(c, 6) & 1L, cast(c & 63 AS int)))").alias("high"), "codes").select(
+        "id", "no", "h1", "h2", "n", "low", "high",
         F.transform(F.slice("codes", 1, F.col("n") - need + 1), lambda c: c.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("prefix")), "lines")
     sets = stages.keep(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("id", "no")).alias("at"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")]), "sets")
+        F.min(F.struct("id", "no")).alias("at"), *[F.any_value(c).alias(c) for c in ("n", "low", "high", "prefix")]), "sets")
     # from here on a line is known by its set only
     full, lines = lines, stages.keep(lines.select("id", "no", "h1", "h2"), "lines")
     stages.drop(full)
     stages.release()
-    entries = sets.select("at", "n", "sketch", F.posexplode("prefix").alias("place", "word"))
+    told = ["at", "n", "low", "high", "place"]
+    entries = sets.select(*told[:-1], F.posexplode("prefix").alias("place", "word"))
 
     def close(a: str, b: str) -> Column:
         """Length, positional and bit filters; ``place`` is where the shared word stands."""
         n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
         share = F.ceil(threshold / (1 + threshold) * (n + m) - 1e-9)
         rest = 1 + F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place")) - 1
-        differ = F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch")))  # at most the words not shared
+        differ = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("low", "high"))  # at most the words not shared
         return ((F.least(n, m) >= F.ceil(F.lit(threshold) * F.greatest(n, m) - 1e-9))
                 & (F.least(F.col(f"{a}.place"), F.col(f"{b}.place")) + rest >= share) & (differ <= n + m - 2 * share))
 
@@ -90,8 +100,8 @@ def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, s
             F.broadcast(ids.select(sieve(F.col("at.id")).alias("_sieve")).distinct()), "_sieve", "left_semi")
         wanted = ids.select(F.col("at.id").alias("id"), F.col("at.no").alias("no"), "at")
         sources = lines_of(some, key, text).withColumn("_line", F.struct("id", "no"))
-        found = sources.join(wanted, sources["id"].eqNullSafe(wanted["id"]) & (sources["no"] == wanted["no"])).select(
-            "at", "line").crossJoin(F.broadcast(levels)).select("at", coded(F.col("line"), F.col("levels")).alias("codes")).groupBy("at").agg(F.any_value("codes").alias("codes"))
+        found = sources.join(wanted, sources["id"].eqNullSafe(wanted["id"]) & (sources["no"] == wanted["no"])).select("at", "line")
+        found = with_codes(found, ["at"], levels).groupBy("at").agg(F.any_value("codes").alias("codes"))
         found = stages.keep(found, "words")
         both = pairs.join(found.select(F.col("at").alias("a"), F.col("codes").alias("x")), "a").join(
             stages.again(found).select(F.col("at").alias("b"), F.col("codes").alias("y")), "b")
@@ -103,21 +113,37 @@ def similar_to_earlier(docs: DataFrame, key: str, text: str, threshold: float, s
         return out
 
     # First the earliest line of each rare word only: it settles most near copies at one comparison each
-    first = entries.where("place < 4").select("word", "at", "n", "sketch", "place")
-    leaders = first.groupBy("word").agg(F.min(F.struct("at", "n", "sketch", "place")).alias("l"), F.count("*").alias("k")).where("k > 1")
+    first = entries.where("place < 4").select("word", *told)
+    leaders = first.groupBy("word").agg(F.min(F.struct(*told)).alias("l"), F.count("*").alias("k")).where("k > 1")
     near = first.alias("a").join(leaders.select("word", "l.*").alias("b"), "word").where((F.col("b.at") < F.col("a.at")) & close("a", "b"))
     settled = verified(stages.keep(near.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "pairs"))
     # then whatever is left against all earlier lines
-    open_ = sets.join(settled, "at", "left_anti").select("at", "n", "sketch", F.posexplode("prefix").alias("place", "word"))
-    near = open_.alias("a").join(entries.alias("b"), F.col("a.word") == F.col("b.word")).where(
-        (F.col("b.at") < F.col("a.at")) & close("a", "b"))
-    rest = verified(stages.keep(near.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "pairs"))
+    open_ = stages.keep(sets.join(settled.withColumn("settled", F.lit(True)), "at", "left").select(
+        "h1", "h2", "at", "n", "low", "high", "prefix", F.col("settled").isNull().alias("open")), "open")
+    stages.drop(sets)
+    stages.release()
+    sets, found = open_, []
+    entries = sets.select("open", *told[:-1], F.posexplode("prefix").alias("place", "word"))
+    # a test of one side alone would be made below the shuffle, and the sides could not share one
+    asks = F.col("a.open") | (F.col("b.open") & (F.col("a.at") == F.col("b.at")))
+    for turn in range(PASSES):
+        some = entries.where(F.pmod("word", F.lit(PASSES)) == turn)
+        near = some.alias("a").join(some.alias("b"), F.col("a.word") == F.col("b.word")).where(
+            (F.col("b.at") < F.col("a.at")) & asks & close("a", "b"))
+        found.append(stages.keep(near.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "near"))
+        stages.release()
+    near = found[0]
+    for more in found[1:]:
+        near = near.unionByName(more)
+    near = stages.keep(near.distinct(), "pairs")
+    stages.drop(*found)
+    rest = verified(near)
     similar = settled.unionByName(rest).withColumn("similar", F.lit(True))
-    told = stages.keep(sets.select("h1", "h2", "at").join(similar, "at", "left").select(
-        "h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar")), "told")
+    judged = stages.keep(sets.select("h1", "h2", "at").join(similar, "at", "left").select(
+        "h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar")), "judged")
     stages.drop(sets)
     stages.release()
-    return lines, told
+    return lines, judged
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:

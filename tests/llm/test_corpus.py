@@ -272,6 +272,20 @@ def test_lines_by_brute_force(spark):
     assert line_join.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_long_lines_of_common_words_are_told_apart_without_their_words(spark, monkeypatch):
+    rng, made = random.Random(17), []
+    words = [f"w{i}" for i in range(600)]
+    lines = [rng.sample(words, 150) for _ in range(300)]
+    lines += [changed(lines[i], 0.05, rng) for i in range(20)]
+    rows = [(i, " ".join(line)) for i, line in enumerate(lines)]
+    keep = line_join.Stages.keep
+    monkeypatch.setattr(line_join.Stages, "keep", lambda self, df, name: made.append((name, keep(self, df, name))) or made[-1][1])
+    monkeypatch.setattr(line_join.Stages, "drop", lambda self, *tables: None)
+    out = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_join.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == brute_lines(rows) and sum(n for _, _, n in out.values()) == 20
+    assert sum(df.count() for name, df in made if name == "pairs") < 100  # of 51,040
+
+
 def test_lines_of_null_keys(spark):
     docs = spark.createDataFrame([(None, "one two three\nfour"), (1, "one two three\nfive")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in line_join.dedup_lines(docs).collect()} == {None: "one two three\nfour", 1: "five"}
