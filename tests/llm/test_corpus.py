@@ -108,6 +108,47 @@ def test_recall_where_copies_are_least_alike(spark):
     assert len(set(got.values())) >= 120  # and nothing else
 
 
+def test_a_common_passage_costs_no_alignment_of_every_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = prose(50, rng)
+    texts = [prose(20, rng) + passage + [f"{rng.choice(VOCABULARY)}{rng.randint(0, 10**6)}" for _ in range(40)] for _ in range(400)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    rows += [(1000 + k, " ".join(texts[k][:100] + ["other"] * 10)) for k in range(0, 400, 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keep, counted = order_minhash.Stages.keep, Counter()
+
+    def counting(self, df, name):
+        out = keep(self, df, name)
+        counted[name] += out.count() if name in ("pairs", "cut") else 0
+        return out
+
+    monkeypatch.setattr(order_minhash.Stages, "keep", counting)
+    got = {r.doc_id: r.group_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert got == {k: k - 1000 if k >= 1000 else k for k, _ in rows}
+    assert counted["cut"] and counted["pairs"] < 25_000  # of 83,028
+
+
+def test_texts_that_are_alike_share_one_of_their_rarest_words():
+    rng, known = random.Random(9), {}
+    for _ in range(400):
+        a = [f"w{rng.randint(0, rng.choice([3, 30, 300]))}" for _ in range(rng.randint(5, 60))]
+        b = a[:]
+        for _ in range(rng.randint(0, len(a) // 4)):
+            i = rng.randrange(len(b)) if b else 0
+            b[i:i + rng.randint(0, 1)] = [f"w{rng.randint(0, 300)}"] * rng.randint(0, 1)
+        counts = np.random.default_rng(rng.randint(0, 99)).integers(0, 9, order_minhash.PLACES).astype(np.uint32)  # any order will do
+        if len(b) >= 5 and order_minhash.alike(a, b, 0.8):
+            one, two = (set(order_minhash.rarest(order_minhash.word_hashes(x, known), counts, 0.8).tolist()) for x in (a, b))
+            assert one & two and len(one) == math.floor(0.2 * len(a) + 1e-9) + 1
+
+
+def test_a_word_has_one_hash_wherever_it_stands():
+    words = ["a", "b", "\u00e9" * 256, "x" * 300, "\ud800", "y" * 100_000, "ab", "ba"]
+    first = order_minhash.word_hashes(words, {})
+    assert len(set(first.tolist())) == len(words)
+    assert (order_minhash.word_hashes(words[::-1] * 300, {}, 7).reshape(300, -1) == first[::-1]).all()
+
+
 def test_order_of_words_counts():
     words = np.arange(400, dtype=np.uint64) * np.uint64(977)
     turned = np.r_[words[200:], words[:200]]  # nearly the same 5-mers, halves swapped
