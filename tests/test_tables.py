@@ -30,6 +30,19 @@ def test_scan_saved_pages(spark, tmp_path):
     assert got == {"recipes/food?a": ("d", "<h1>one\n</h1>"), "home now+1": ("d", "<h1>two</h1>")}
 
 
+def test_pages_are_saved_and_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(f"{k % 3:03}", f"/p/{k}", f"\ufeff<p>\u00e9 {k}\r\n") for k in range(60)]
+    one = spark.createDataFrame(rows, "domain string, path string, html string").coalesce(1)  # as a table of one row group is read
+    parts, run = [], type(one).mapInArrow
+    monkeypatch.setattr(type(one), "mapInArrow", lambda self, *a: parts.append(self.rdd.getNumPartitions()) or run(self, *a))
+    assert pg.save_pages(one, str(tmp_path / "saved")) == 60 and parts == [4]
+    (tmp_path / "saved" / "domain=000" / "odd.html").write_bytes(b"\xff<p>")
+    read = pg.read_saved_pages(spark, str(tmp_path / "saved"))
+    got = {(r.domain, r.path, bytes(r.html)) for r in read.withColumn("html", F.col("html").cast("binary")).collect()}
+    assert got == {(d, p.lstrip("/"), h.encode()) for d, p, h in rows} | {("000", "odd", b"\xff<p>")}
+    assert "binaryFile" in read._jdf.queryExecution().toString()  # the text source takes three times as long for each file
+
+
 def test_image_manifest(spark, tmp_path):
     write(str(tmp_path), "home.png", "x")
     write(str(tmp_path), "r%2F1+2.png", "x")
